@@ -12,13 +12,13 @@ PROFILE_GRAMS, UNSEEN_SHARE, MARGIN = 400, 0.00001, 100
 
 
 def grams(text: Column, n: int = 3) -> Column:
-    """All runs of ``n`` characters of the lowercased text, blanks made single."""
-    clean = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")),
-                     F.lit(" "))
-    last = F.length(clean) - (n - 1)
-    return F.when(last > 0, F.transform(F.sequence(F.lit(1), last),
-                                        lambda i: F.substring(clean, i, F.lit(n)))
-                  ).otherwise(F.array().cast("array<string>"))
+    """All runs of ``n`` characters of the lowercased text, other signs made one blank.
+
+    A lookahead finds the overlapping runs in a single pass over the text.
+    """
+    letters = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "))
+    return F.regexp_extract_all(F.concat(F.lit(" "), letters, F.lit(" ")),
+                                F.lit(f"(?=(.{{{n}}}))"), F.lit(1))
 
 
 def train(labelled: DataFrame) -> DataFrame:
