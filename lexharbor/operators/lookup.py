@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lexharbor.functions.edits import deletion_keys, swap_distance
-from lexharbor.functions.text import kept_length
 from lexharbor.operators.prefixes import RAW, match_prefixes
 from lexharbor.session import BROADCAST_ROWS, broadcast_within, count_up_to
 
@@ -32,6 +31,12 @@ def bm25(weight: Column, tf: Column, length: Column, avg_len: Column) -> Column:
     return weight * tf / (tf + norm)
 
 
+def exact_sum(value: Column) -> Column:
+    """Sum in steps of 2**-40: whole numbers, so no order of adding changes a rank."""
+    step = float(2 ** 40)
+    return F.sum(F.floor(value * F.lit(step))) / F.lit(step)
+
+
 def with_stats(index, qterms: DataFrame) -> tuple[DataFrame, int]:
     """Query terms with ``df, n_docs, avg_len``, and a bound on their number.
 
@@ -81,7 +86,7 @@ def phrase_hits(index, phrases: DataFrame) -> DataFrame:
         F.expr("transform(positions, p -> p - place)").alias("starts"))
     per_doc = (shifted.groupBy("query_id", "path", "field")
                .agg(F.count(F.lit(1)).alias("found"), F.first("n").alias("n_terms"),
-                    F.sum("weight").alias("weight"), F.first("avg_len").alias("avg_len"),
+                    exact_sum(F.col("weight")).alias("weight"), F.first("avg_len").alias("avg_len"),
                     F.first("len").alias("len"), F.collect_list("starts").alias("lists"))
                .filter("found = n_terms"))
     common = F.aggregate(F.slice("lists", 2, F.size("lists")), F.col("lists")[0],
@@ -172,4 +177,5 @@ def either_clause(*clauses: DataFrame) -> DataFrame:
     every = rows[0]
     for more in rows[1:]:
         every = every.unionByName(more)
-    return every.groupBy("query_id", "path").agg(F.sum("score").alias("score"))
+    return every.groupBy("query_id", "path").agg(
+        exact_sum(F.col("score")).alias("score"))

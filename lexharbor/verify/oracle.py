@@ -46,6 +46,11 @@ fstats AS (SELECT lang, field, count(*) AS n_docs, sum(len)::BIGINT AS sum_len,
 IDF = "ln(1.0::DOUBLE + (n_docs - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE))"
 
 
+def exact_sum(value: str) -> str:
+    """Sum in steps of 2**-40, so that no order of adding changes a rank."""
+    return f"(sum(floor(({value}) * 1099511627776.0::DOUBLE)::BIGINT) / 1099511627776.0::DOUBLE)"
+
+
 def bm25(weight: str, tf: str) -> str:
     norm = "(1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * kept_len / avg_len))"
     return f"({weight}) * {tf} / ({tf} + {norm})"
@@ -66,9 +71,9 @@ WORDS = f"""words AS (
 WORD_TERMS = """qterms AS (
   SELECT query_id, 'en' AS lang, unnest(['body', 'title']) AS field, word AS term FROM words)"""
 
-WORD_HITS = """clauses AS (
+WORD_HITS = f"""clauses AS (
   SELECT query_id, field, path, score FROM qterms JOIN scored USING (lang, field, term)),
-hits AS (SELECT query_id, path, sum(score) AS score FROM clauses GROUP BY ALL)"""
+hits AS (SELECT query_id, path, {exact_sum('score')} AS score FROM clauses GROUP BY ALL)"""
 
 RANKED = """ranked AS (
   SELECT query_id, path, score,
@@ -85,22 +90,31 @@ TYPOS = """typos AS (
 asked AS (
   SELECT query_id, unnest(['body', 'title']) AS field, text AS word FROM typos)"""
 
-# one swap of neighbours plus at most one more edit before or after it, or none
-WITHIN_TWO = """near AS (
-  SELECT *, CASE
+# edit distances in SQL count bytes, so each accented letter of the data first becomes
+# one capital (terms are in lower case)
+ACCENTS, CAPITALS = "ßäçèéêíñóöü", "ABCDEFGHIJK"
+
+
+def plain(name: str) -> str:
+    return f"translate({name}, '{ACCENTS}', '{CAPITALS}')"
+
+
+# at most one edit, or one swap of neighbours plus at most one edit before or after it
+WITHIN_TWO = f"""near AS (
+  SELECT field, word, term, df, CASE
     WHEN lev <= 1 THEN lev
     WHEN dam = 1 THEN 1
     WHEN lev = 2 THEN 2
-    WHEN dam <= 2 AND len(list_filter(range(1, length(word)), i -> len(list_filter([i - 1, i, i + 1],
-           j -> j >= 1 AND j < length(term) AND word[i] = term[j + 1] AND word[i + 1] = term[j]
-                AND damerau_levenshtein(substring(word, 1, i - 1), substring(term, 1, j - 1))
-                  + damerau_levenshtein(substring(word, i + 2), substring(term, j + 2)) <= 1)) > 0)) > 0
+    WHEN dam <= 2 AND len(list_filter(range(1, length(a)), lambda i: len(list_filter([i - 1, i, i + 1],
+           lambda j: j >= 1 AND j < length(b) AND a[i] = b[j + 1] AND a[i + 1] = b[j]
+                AND damerau_levenshtein(substring(a, 1, i - 1), substring(b, 1, j - 1))
+                  + damerau_levenshtein(substring(a, i + 2), substring(b, j + 2)) <= 1)) > 0)) > 0
     THEN 2 ELSE 9 END AS edits
-  FROM (SELECT field, word, term, df, levenshtein(word, term) AS lev,
-               damerau_levenshtein(word, term) AS dam
-        FROM (SELECT DISTINCT field, word FROM asked)
-        JOIN (SELECT * FROM tstats WHERE lang = 'en') USING (field)
-        WHERE abs(length(word) - length(term)) <= 2) WHERE lev <= 4),
+  FROM (SELECT *, levenshtein(a, b) AS lev, damerau_levenshtein(a, b) AS dam
+        FROM (SELECT field, word, term, df, {plain('word')} AS a, {plain('term')} AS b
+              FROM (SELECT DISTINCT field, word FROM asked)
+              JOIN (SELECT * FROM tstats WHERE lang = 'en') USING (field)
+              WHERE abs(length(word) - length(term)) <= 2)) WHERE lev <= 4),
 best AS (
   SELECT field, word, term, df, edits, 1.0::DOUBLE - edits / least(length(word), length(term)) AS boost
   FROM near WHERE edits <= 2 AND edits < least(length(word), length(term))),
@@ -110,12 +124,12 @@ expanded AS (
     FROM best) WHERE rank <= 50)"""
 
 FUZZY_HITS = f"""fuzzy AS (
-  SELECT query_id, path, sum({bm25('boost * ' + IDF.replace('df', 'top_df'), 'tf')}) AS score
+  SELECT query_id, path, {exact_sum(bm25('boost * ' + IDF.replace('df', 'top_df'), 'tf'))} AS score
   FROM asked JOIN expanded USING (field, word)
   JOIN posts p ON p.lang = 'en' AND p.field = expanded.field AND p.term = expanded.term
   JOIN klens k ON k.lang = 'en' AND k.field = p.field AND k.path = p.path
   JOIN fstats f ON f.lang = 'en' AND f.field = p.field
-  GROUP BY ALL)""".replace("query_id, path, sum", "query_id, p.path AS path, sum")
+  GROUP BY ALL)""".replace("query_id, path, (sum", "query_id, p.path AS path, (sum")
 
 
 def phrases(place: str) -> str:
@@ -125,8 +139,8 @@ def phrases(place: str) -> str:
     SELECT item_id, ws, unnest(range(0, len(ws), 5)) AS s FROM (
       SELECT item_id, regexp_extract_all(text, '{W}') AS ws FROM benchmark))),
 pwords AS (
-  SELECT query_id, field, lower(w) AS term, at FROM (
-    SELECT query_id, unnest(ws) AS w, unnest(range(len(ws))) AS at FROM runs),
+  SELECT query_id, field, lower(w) AS term, idx FROM (
+    SELECT query_id, unnest(ws) AS w, unnest(range(len(ws))) AS idx FROM runs),
     (SELECT unnest(['body', 'title']) AS field)
   WHERE NOT (field = 'body' AND lower(w) IN {STOP})),
 pterms AS (
@@ -139,18 +153,18 @@ starts AS (
 """.replace("SELECT query_id, field, path, pos - place", "SELECT query_id, q.field AS field, path, pos - place") + f""",
 freqs AS (SELECT query_id, field, path, count(*) AS freq FROM starts GROUP BY ALL),
 weights AS (
-  SELECT query_id, q.field, sum({IDF}) AS weight, any_value(avg_len) AS avg_len
+  SELECT query_id, q.field, {exact_sum(IDF)} AS weight, any_value(avg_len) AS avg_len
   FROM pterms q JOIN tstats t ON t.lang = 'en' AND t.field = q.field AND t.term = q.term
   JOIN fstats f ON f.lang = 'en' AND f.field = q.field GROUP BY ALL),
 phits AS (
-  SELECT query_id, path, sum({bm25('weight', 'freq')}) AS score
+  SELECT query_id, path, {exact_sum(bm25('weight', 'freq'))} AS score
   FROM freqs JOIN weights USING (query_id, field)
   JOIN (SELECT field, path, kept_len FROM klens WHERE lang = 'en') USING (field, path)
   GROUP BY ALL)"""
 
 
-CONSECUTIVE = "row_number() OVER (PARTITION BY query_id, field ORDER BY at) - 1"
-TRUE_PLACE = "at - min(at) OVER (PARTITION BY query_id, field)"
+CONSECUTIVE = "row_number() OVER (PARTITION BY query_id, field ORDER BY idx) - 1"
+TRUE_PLACE = "idx - min(idx) OVER (PARTITION BY query_id, field)"
 
 # the words of each body with the characters before them and their own
 PIECES = f"""pieces AS (
@@ -181,8 +195,8 @@ def fragment_rows(source: str) -> str:
     FROM {source})),
 ftoks AS (
   SELECT qid, path, pos, term, stop - width AS start, stop, total,
-         a + least(0, coalesce(min(CASE WHEN may THEN floor(stop / 70) - a END)
-             OVER (PARTITION BY qid, path ORDER BY k), 0))::BIGINT AS frag_no FROM counted),
+         (a + least(0, coalesce(min(CASE WHEN may THEN floor(stop / 70)::BIGINT - a END)
+             OVER (PARTITION BY qid, path ORDER BY k), 0)))::BIGINT AS frag_no FROM counted),
 spans AS (
   SELECT qid, path, frag_no,
          coalesce(lag(last) OVER o, 0)::BIGINT AS start,
@@ -354,10 +368,10 @@ ORACLE = {
         CASE WHEN certain AND detected = 'fr' THEN 'fr' ELSE 'en' END AS lang FROM found""",
     "analyze_queries": f"""WITH q AS (
         SELECT item_id, 'body' AS field, list_filter(list_transform(regexp_extract_all(
-          regexp_replace(text, '{POSS}', '\\1\\2', 'g'), '{W}'), w -> lower(w)),
-          w -> w NOT IN {STOP}) AS ws FROM benchmark
+          regexp_replace(text, '{POSS}', '\\1\\2', 'g'), '{W}'), lambda w: lower(w)),
+          lambda w: w NOT IN {STOP}) AS ws FROM benchmark
         UNION ALL
-        SELECT item_id, 'title', list_transform(regexp_extract_all(text, '{W}'), w -> lower(w))
+        SELECT item_id, 'title', list_transform(regexp_extract_all(text, '{W}'), lambda w: lower(w))
         FROM benchmark)
         SELECT item_id AS query_id, field, len(ws) AS n_terms,
                array_to_string(ws, ' ') AS terms FROM q""",
@@ -369,7 +383,7 @@ ORACLE = {
           upper(kind) || ' query should contain exactly one word.' END AS reason FROM q""",
     "highlight_mark": f"""WITH {DOCS}, m AS (
         SELECT path, array_to_string(list_transform(list_zip(
-          string_split_regex(body, '{W}'), regexp_extract_all(body, '{W}')), p -> p[1] ||
+          string_split_regex(body, '{W}'), regexp_extract_all(body, '{W}')), lambda p: p[1] ||
           CASE WHEN p[2] IS NULL THEN '' WHEN lower(p[2]) IN {STOP} THEN '<b>' || p[2] || '</b>'
                ELSE p[2] END), '') AS body FROM docs)
         SELECT path, md5(body) AS digest, length(body) AS n_chars FROM m""",
@@ -413,7 +427,7 @@ ORACLE = {
         SELECT word, lang || ':' || query_id AS query_id, lang, field FROM words,
           (SELECT unnest(['en', 'de', 'es', 'fr']) AS lang),
           (SELECT unnest(['body', 'title']) AS field))
-        SELECT query_id, path, round(sum(score), 4) AS score FROM asked a
+        SELECT query_id, path, round({exact_sum('score')}, 4) AS score FROM asked a
         JOIN scored s ON s.lang = a.lang AND s.field = a.field AND s.term = a.word
         GROUP BY query_id, path""",
     "bm25_scores": f"""{BASE} SELECT lang, field, term, path, round(score, 4) AS score
@@ -432,11 +446,12 @@ ORACLE = {
         SELECT field, word, term, df, edits::BIGINT AS edits, round(boost, 4) AS boost, rank,
                top_df FROM expanded""",
     "fuzzy_levenshtein": f"""WITH {DOCS}, {TOKS}, {STATS}, {WORDS}, {TYPOS}
-        SELECT field, word, term, levenshtein(word, term) AS edits
-        FROM (SELECT DISTINCT field, word FROM asked)
-        JOIN (SELECT field, term FROM tstats WHERE lang = 'en') USING (field)
-        WHERE abs(length(word) - length(term)) <= 2 AND levenshtein(word, term) <= 2
-          AND levenshtein(word, term) < least(length(word), length(term))""",
+        SELECT field, word, term, edits FROM (
+          SELECT field, word, term, levenshtein({plain('word')}, {plain('term')}) AS edits
+          FROM (SELECT DISTINCT field, word FROM asked)
+          JOIN (SELECT field, term FROM tstats WHERE lang = 'en') USING (field)
+          WHERE abs(length(word) - length(term)) <= 2)
+        WHERE edits <= 2 AND edits < least(length(word), length(term))""",
     "search_fuzzy": f"""{BASE}, {WORDS}, {TYPOS}, {WITHIN_TWO}, {FUZZY_HITS}
         SELECT query_id, path, round(score, 4) AS score FROM fuzzy""",
     "search_prefix": f"""WITH {DOCS}, q AS (
@@ -507,7 +522,7 @@ ORACLE = {
         UNION ALL SELECT 'segment', seq, path, body FROM seg_live""",
     "apply_changes": f"""WITH {EVENTS}, {FOLDED}
         SELECT path, replace(split_part(path, '/', -1), '.', ' ') AS title, body,
-               len(list_filter(regexp_extract_all(body, '{W}'), w -> lower(w) NOT IN {STOP}))
+               len(list_filter(regexp_extract_all(body, '{W}'), lambda w: lower(w) NOT IN {STOP}))
                  AS n_terms FROM seg_live""",
     "events_in_roots": f"""WITH {EVENTS} SELECT seq, kind, path FROM changes c WHERE EXISTS (
         SELECT 1 FROM events e WHERE event_type = 'signup' AND (

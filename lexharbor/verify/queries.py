@@ -39,7 +39,7 @@ def _score():
 
 def scan_docs(spark: Spark, sf: str) -> Frame:
     return I.docs(spark, sf).select("path", "lang", "title",
-                                    F.length("body").alias("n_chars"), _digest())
+                                    F.length("body").cast("long").alias("n_chars"), _digest())
 
 
 def _typed(spark: Spark, sf: str) -> Frame:
@@ -64,7 +64,7 @@ def media_type_filter(spark: Spark, sf: str) -> Frame:
 
 def extract_text(spark: Spark, sf: str) -> Frame:
     raw = I.docs(spark, sf).select("path", F.encode("body", "UTF-8").alias("content"))
-    return files.extract(raw).select("path", F.length("body").alias("n_chars"), _digest())
+    return files.extract(raw).select("path", F.length("body").cast("long").alias("n_chars"), _digest())
 
 
 def extractor_hook(spark: Spark, sf: str) -> Frame:
@@ -73,7 +73,7 @@ def extractor_hook(spark: Spark, sf: str) -> Frame:
 
     raw = I.docs(spark, sf).select("path", F.encode("body", "UTF-8").alias("content"))
     return files.extract_with(raw, flat).select(
-        "path", F.length("body").alias("n_chars"), _digest(), "error")
+        "path", F.length("body").cast("long").alias("n_chars"), _digest(), "error")
 
 
 def list_roots(spark: Spark, sf: str) -> Frame:
@@ -116,7 +116,7 @@ def _detected(spark: Spark, sf: str) -> Frame:
 
 
 def lang_detect(spark: Spark, sf: str) -> Frame:
-    return _detected(spark, sf)
+    return _detected(spark, sf).withColumn("n_grams", F.col("n_grams").cast("long"))
 
 
 def lang_route(spark: Spark, sf: str) -> Frame:
@@ -148,7 +148,7 @@ def query_validate(spark: Spark, sf: str) -> Frame:
 def highlight_mark(spark: Spark, sf: str) -> Frame:
     terms = F.array(*[F.lit(t) for t in STOP_EN])
     return (I.docs(spark, sf).select("path", mark_words(F.col("body"), terms).alias("body"))
-            .select("path", _digest(), F.length("body").alias("n_chars")))
+            .select("path", _digest(), F.length("body").cast("long").alias("n_chars")))
 
 
 # -- index tables --------------------------------------------------------------
