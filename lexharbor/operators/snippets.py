@@ -6,63 +6,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexharbor.functions.cutting import cut_words
 from lexharbor.functions.text import one_line
 from lexharbor.operators.analysis import DEFAULT, Registry
 
-# Fragment size in characters, smallest last piece, fragments per hit.
-FRAGMENT, LAST_PIECE, BEST = 70, 35, 10
+# Fixed value: fragments per hit.
+BEST = 10
 
 
-def body_tokens(docs: DataFrame, registry: Registry = DEFAULT,
-                keys: tuple[str, ...] = ("path",), blocked: DataFrame | None = None) -> DataFrame:
-    """``(*keys, pos, term, start, end, size, frag_no)`` of the kept words of each body.
+def cut_bodies(docs: DataFrame, registry: Registry = DEFAULT,
+               keys: tuple[str, ...] = ("path",), blocked: DataFrame | None = None) -> DataFrame:
+    """``(*keys, size, words)``: kept words of each body with offsets and fragment numbers.
 
-    A word starts a new fragment once its end passes the next multiple of
-    ``FRAGMENT``, unless fewer than ``LAST_PIECE`` characters remain after it. One
-    fragment starts per word at most, so a very long word leaves the count behind and
-    the next words catch up; that count is ``a + min(f - a)`` over the words so far,
-    with ``a`` the words that may start one and ``f`` the multiples passed.
-    ``blocked(*keys, pos)`` lists places inside a phrase match, where none may start.
-    Only lengths travel with the rows, never the text, and one document is one group.
+    Done within each document row, without a shuffle. ``blocked(*keys, pos)`` lists
+    places inside a phrase match, where no fragment may start.
     """
-    text = F.col("body")
-    rows = docs.select(
-        *keys, F.length(text).alias("text_size"),
-        F.inline(registry.spans("body", F.col("lang"), text)))
-    so_far = Window.partitionBy(*keys).orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.select(
-        *keys, "k", "term", F.col("text_size").alias("total"),
-        F.sum(F.col("gap") + F.col("size")).over(so_far).cast("int").alias("end"),
-        F.col("size").alias("width"),
-        (F.col("k") - F.sum(F.col("tail").cast("int")).over(so_far)).cast("int").alias("pos"))
-    kept = placed.filter("term is not null").select(
-        *keys, "k", "pos", "term", (F.col("end") - F.col("width")).alias("start"), "end", "total")
-    may = (F.col("total") - F.col("end")) >= LAST_PIECE
-    if blocked is not None:
-        inside = blocked.select(*keys, "pos").distinct().withColumn("inside", F.lit(True))
-        kept = kept.join(inside, [*keys, "pos"], "left")
-        may = may & F.col("inside").isNull()
-    first = F.row_number().over(Window.partitionBy(*keys).orderBy("k")) == 1
-    may = kept.withColumn("may", may & ~first)
-    counted = may.withColumn("a", F.sum(F.col("may").cast("int")).over(so_far))
-    behind = F.when(F.col("may"), F.floor(F.col("end") / FRAGMENT) - F.col("a"))
-    return counted.select(
-        *keys, "pos", "term", "start", "end", F.col("total").alias("size"),
-        (F.col("a") + F.least(F.lit(0), F.coalesce(F.min(behind).over(so_far), F.lit(0))))
-        .cast("int").alias("frag_no"))
-
-
-def fragments(tokens: DataFrame, keys: tuple[str, ...] = ("path",)) -> DataFrame:
+    if blocked is None:
+        walls = docs.withColumn("blocked", F.array().cast("array<int>"))
+    else:
+        places = blocked.groupBy(*keys).agg(F.collect_set("pos").alias("blocked"))
+        walls = docs.join(places, [*keys], "left").withColumn(
+            "blocked", F.coalesce("blocked", F.array().cast("array<int>")))
+    spans = registry.spans("body", F.col("lang"), F.col("body"))
+    return walls.select(*keys, F.length("body").alias("size"),
+                        cut_words(spans, F.col("blocked")).alias("words"))
+
+
+def words_of_cut(cut: DataFrame, keys: tuple[str, ...] = ("path",)) -> DataFrame:
+    """``(*keys, pos, term, start, end, frag_no)``, one row per kept word."""
+    return cut.select(*keys, F.inline("words"))
+
+
+def fragments(cut: DataFrame, keys: tuple[str, ...] = ("path",)) -> DataFrame:
     """``(*keys, frag_no, start, end)``: each fragment runs from the last word of the one
     before to its own last word, the final one to the end of the text."""
-    ends = tokens.groupBy(*keys, "frag_no").agg(F.max("end").alias("last"),
-                                                F.max("size").alias("size"))
-    order = Window.partitionBy(*keys).orderBy("frag_no")
-    return ends.select(
-        *keys, "frag_no",
-        F.coalesce(F.lag("last").over(order), F.lit(0)).alias("start"),
-        F.when(F.lead("last").over(order).isNull(), F.col("size"))
-        .otherwise(F.col("last")).alias("end"))
+    full = cut.filter(F.size("words") > 0)
+    last = F.size("words") - 1
+    ends = full.withColumn("lasts", F.filter(
+        F.sequence(F.lit(0), last),
+        lambda i: (i == last) | (F.get("words", i)["frag_no"] != F.get("words", i + 1)["frag_no"])))
+    rows = F.transform("lasts", lambda i, n: F.struct(
+        F.get("words", i)["frag_no"].alias("frag_no"),
+        F.when(n == 0, F.lit(0)).otherwise(
+            F.get("words", F.get("lasts", n - 1))["end"]).alias("start"),
+        F.when(i == last, F.col("size")).otherwise(F.get("words", i)["end"]).alias("end")))
+    return ends.select(*keys, F.inline(rows))
 
 
 def fragment_scores(tokens: DataFrame, wanted: DataFrame,

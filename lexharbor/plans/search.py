@@ -133,10 +133,11 @@ def winning_fragments(index: Index, queries: DataFrame, shown: DataFrame, rows:
     if TERM in kinds or FUZZY in kinds:
         # fragments of a document are the same for every such query: cut once per path
         bodies = _bodies(index, hits.select("path").distinct(), rows)
-        tokens = snippets.body_tokens(bodies, index.registry)
+        cut = snippets.cut_bodies(bodies, index.registry)
         wanted = hits.join(wanted_terms(index, queries, kinds), "query_id")
-        best = snippets.best_fragments(snippets.fragment_scores(tokens, wanted))
-        parts.append(snippets.merged(best, snippets.fragments(tokens)))
+        best = snippets.best_fragments(snippets.fragment_scores(
+            snippets.words_of_cut(cut), wanted))
+        parts.append(snippets.merged(best, snippets.fragments(cut)))
     if PHRASE in kinds:
         keys = ("query_id", "path")
         phrases = phrase_clauses(analyze_queries(
@@ -145,10 +146,10 @@ def winning_fragments(index: Index, queries: DataFrame, shown: DataFrame, rows:
             broadcast_within(hits, rows), ["query_id", "path"], "left_semi")
         places = snippets.phrase_places(matched, phrases)
         bodies = _bodies(index, matched.select("query_id", "path").distinct(), rows)
-        tokens = snippets.body_tokens(bodies, index.registry, keys, places.filter("place > 0"))
+        cut = snippets.cut_bodies(bodies, index.registry, keys, places.filter("place > 0"))
         best = snippets.best_fragments(snippets.fragment_scores(
-            tokens, places.drop("place").distinct(), keys))
-        parts.append(snippets.merged(best, snippets.fragments(tokens, keys), keys))
+            snippets.words_of_cut(cut, keys), places.drop("place").distinct(), keys))
+        parts.append(snippets.merged(best, snippets.fragments(cut, keys), keys))
     if not parts:
         return None
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])

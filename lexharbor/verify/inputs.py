@@ -22,6 +22,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash a table that lies in fewer files than there are cores over all of them.
+
+    Text work is heavy and one file may be one task; a table in many files is read as
+    it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if len(df.inputFiles()) >= cores else df.repartition(2 * cores, *keys)
+
+
 def doc_path():
     return F.concat(F.lit("/corpus/"), "source", F.lit("/"), "source", F.lit("."), "lang",
                     F.lit("."), F.col("doc_id").cast("string"), F.lit(".txt"))
@@ -30,7 +40,8 @@ def doc_path():
 def docs_with_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, source, path, lang, title, body)``."""
     rows = table(spark, sf_dir, "documents").withColumn("path", doc_path())
-    return rows.select("doc_id", "source", "path", "lang",
+    wide = spread(rows.select("doc_id", "source", "path", "lang", "text"), "path")
+    return wide.select("doc_id", "source", "path", "lang",
                        title_of(F.col("path")).alias("title"), F.col("text").alias("body"))
 
 

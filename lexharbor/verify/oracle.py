@@ -294,9 +294,10 @@ INDEXED = """(mime LIKE '%opendocument.text%' OR mime LIKE '%rtf%' OR mime LIKE
 GRAMS = f"""clean AS (
   SELECT path, lang, ' ' || trim(regexp_replace(lower(body), '[^\\p{{L}}]+', ' ', 'g')) || ' ' AS t
   FROM docs),
+chars AS (SELECT path, lang, string_split(t, '') AS c FROM clean),
 cut AS (
-  SELECT path, lang, substring(t, i, 3) AS gram, greatest(length(t) - 2, 0) AS n_grams
-  FROM (SELECT *, unnest(range(1, length(t) - 1)) AS i FROM clean)),
+  SELECT path, lang, len(c) - 2 AS n_grams, unnest(list_transform(range(1, len(c) - 1),
+         lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram FROM chars),
 counts AS (SELECT lang, gram, count(*) AS n FROM cut GROUP BY ALL),
 profile AS (
   SELECT lang, gram, round(1000.0::DOUBLE * ln((n::DOUBLE / total::DOUBLE)

@@ -364,31 +364,27 @@ def search_fetch(spark: Spark, sf: str) -> Frame:
                        _digest())
 
 
-def _fragment_tokens(spark: Spark, sf: str) -> Frame:
-    return snippets.body_tokens(I.docs(spark, sf), PLAIN)
-
-
 def fragments(spark: Spark, sf: str) -> Frame:
-    return snippets.fragments(_fragment_tokens(spark, sf)).select(
+    return snippets.fragments(snippets.cut_bodies(I.docs(spark, sf), PLAIN)).select(
         "path", *[F.col(c).cast("long").alias(c) for c in ("frag_no", "start", "end")])
 
 
-def _fragment_scores(spark: Spark, sf: str) -> tuple[Frame, Frame]:
+def _fragment_scores(spark: Spark, sf: str) -> Frame:
     index, queries = I.stored_index(spark, sf), I.word_queries(spark, sf)
     hits = _top(spark, sf).select("query_id", "path")
     wanted = hits.join(S.wanted_terms(index, queries, [S.TERM]), "query_id")
-    tokens = snippets.body_tokens(index.docs, PLAIN)
-    return snippets.fragment_scores(tokens, wanted), tokens
+    words = snippets.words_of_cut(snippets.cut_bodies(index.docs, PLAIN))
+    return snippets.fragment_scores(words, wanted)
 
 
 def fragment_scores(spark: Spark, sf: str) -> Frame:
-    return _fragment_scores(spark, sf)[0].select(
+    return _fragment_scores(spark, sf).select(
         "query_id", "path", F.col("frag_no").cast("long").alias("frag_no"), _score(),
         F.size("marks").cast("long").alias("n_marks"))
 
 
 def snippets_top(spark: Spark, sf: str) -> Frame:
-    best = snippets.best_fragments(_fragment_scores(spark, sf)[0])
+    best = snippets.best_fragments(_fragment_scores(spark, sf))
     return best.select("query_id", "path", F.col("frag_no").cast("long").alias("frag_no"),
                        F.col("place").cast("long").alias("place"))
 
