@@ -133,8 +133,13 @@ def field_tokens(docs: DataFrame, registry: Registry = DEFAULT, *carry: str) ->
 
 
 def explode_tokens(tokens: DataFrame, *keys: str) -> DataFrame:
-    """``(*keys, pos, term)`` from rows with a ``tokens`` array."""
-    return tokens.select(*keys, F.inline("tokens")).select(*keys, "pos", "term")
+    """``(*keys, pos, term)`` from rows with a ``tokens`` array.
+
+    Outer, then filtered: an inner explode adds a test of the array's size, which the
+    optimizer moves below and which would tokenise every text twice.
+    """
+    rows = tokens.select(*keys, F.inline_outer("tokens")).filter("term is not null")
+    return rows.select(*keys, "pos", "term")
 
 
 def analyze(df: DataFrame, key: str, text: str, analyzer: Analyzer = STANDARD) -> DataFrame:

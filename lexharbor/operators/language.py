@@ -28,7 +28,8 @@ def train(labelled: DataFrame) -> DataFrame:
     whole number of thousandths, so sums do not depend on their order. The model holds
     ``PROFILE_GRAMS`` rows per language at most, whatever the size of the sample.
     """
-    counts = (labelled.select("lang", F.explode(grams(F.col("text"))).alias("gram"))
+    counts = (labelled.select("lang", F.explode_outer(grams(F.col("text"))).alias("gram"))
+              .filter("gram is not null")
               .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")))
     of_lang = Window.partitionBy("lang")
     kept = (counts.withColumn("place", F.row_number().over(of_lang.orderBy(F.desc("n"), "gram")))
@@ -50,7 +51,8 @@ def detect(docs: DataFrame, profile: DataFrame, key: str = "path", text: str = "
     per gram. Documents without a known gram have no language.
     """
     cut = (docs.select(key, grams(F.col(text)).alias("grams"))
-           .select(key, F.size("grams").alias("n_grams"), F.explode("grams").alias("gram")))
+           .select(key, F.size("grams").alias("n_grams"), F.explode_outer("grams").alias("gram"))
+           .filter("gram is not null"))
     sums = (cut.join(F.broadcast(profile), "gram")
             .groupBy(key, "n_grams", "lang").agg(F.sum("weight").alias("score")))
     ranked = sums.groupBy(key, "n_grams").agg(F.sort_array(F.collect_list(

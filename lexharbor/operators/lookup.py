@@ -108,9 +108,9 @@ def fuzzy_candidates(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
     """
     rows = count_up_to(words, BROADCAST_ROWS)
     # no word emits more than 1 + 10 + 45 keys
-    keys = words.withColumn("key", F.explode(deletion_keys(F.col("word"))))
+    keys = words.withColumn("key", F.explode_outer(deletion_keys(F.col("word"))))
     terms = (vocabulary.select("lang", "field", "term", "df")
-             .withColumn("key", F.explode(deletion_keys(F.col("term")))))
+             .withColumn("key", F.explode_outer(deletion_keys(F.col("term")))))
     near = (terms.join(broadcast_within(keys, rows * 56), ["lang", "field", "key"])
             .filter(F.abs(F.length("term") - F.length("word")) <= MAX_EDITS)
             .filter(F.levenshtein("term", "word", 2 * MAX_EDITS) >= 0))

@@ -34,16 +34,17 @@ def cut_bodies(docs: DataFrame, registry: Registry = DEFAULT,
 
 def words_of_cut(cut: DataFrame, keys: tuple[str, ...] = ("path",)) -> DataFrame:
     """``(*keys, pos, term, start, end, frag_no)``, one row per kept word."""
-    return cut.select(*keys, F.inline("words"))
+    # outer, then filtered: an inner one adds a size test that would cut the text twice
+    return cut.select(*keys, F.inline_outer("words")).filter("term is not null")
 
 
 def fragments(cut: DataFrame, keys: tuple[str, ...] = ("path",)) -> DataFrame:
     """``(*keys, frag_no, start, end)``: each fragment runs from the last word of the one
     before to its own last word, the final one to the end of the text."""
-    full = cut.filter(F.size("words") > 0)
     last = F.size("words") - 1
-    ends = full.withColumn("lasts", F.filter(
-        F.sequence(F.lit(0), last),
+    places = F.when(last >= 0, F.sequence(F.lit(0), last))
+    ends = cut.withColumn("lasts", F.filter(
+        places,
         lambda i: (i == last) | (F.get("words", i)["frag_no"] != F.get("words", i + 1)["frag_no"])))
     rows = F.transform("lasts", lambda i, n: F.struct(
         F.get("words", i)["frag_no"].alias("frag_no"),

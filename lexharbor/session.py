@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Arrow batches are counted in rows; documents are big rows
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
     "spark.ui.enabled": "false",

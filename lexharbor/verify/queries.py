@@ -10,7 +10,7 @@ from lexharbor.operators import changes, language, lookup, maintain, ranking, sn
 from lexharbor.operators import postings as P
 from lexharbor.operators.analysis import (
     ENGLISH, ENGLISH_STOP, PLAIN, STANDARD, STOP_EN, analyze, analyze_queries,
-    analyze_with_tables)
+    analyze_with_tables, explode_tokens)
 from lexharbor.operators.prefixes import RAW, SEGMENT
 from lexharbor.operators.suggest import suggest_terms
 from lexharbor.plans import search as S
@@ -102,7 +102,8 @@ def analyze_lang_tables(spark: Spark, sf: str) -> Frame:
     """Tables from the data: terms of up to three letters are stop words, and a final s
     of longer ones is cut."""
     docs = I.docs(spark, sf).filter("lang <> 'en'")
-    tokens = docs.select("path", "lang", F.inline(STANDARD.tokens(F.col("body"))))
+    tokens = explode_tokens(docs.select("path", "lang", STANDARD.tokens(F.col("body")).alias(
+        "tokens")), "path", "lang")
     terms = tokens.select("lang", "term").distinct()
     stopwords = terms.filter(F.length("term") <= 3)
     stems = terms.filter(F.col("term").endswith("s")).select(
