@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexharbor.operators import lookup, ranking, snippets
 from lexharbor.operators.analysis import analyze_queries, single_term
 from lexharbor.plans.index import Index
-from lexharbor.session import BROADCAST_ROWS, broadcast_within, count_up_to
+from lexharbor.session import BROADCAST_ROWS, broadcast_within, count_up_to, materialize
 
 # Kinds of query.
 TERM, PHRASE, FUZZY, PREFIX = "term", "phrase", "fuzzy", "prefix"
@@ -95,6 +95,9 @@ def search(index: Index, queries: DataFrame, k: int | None = None, details: bool
     k = ranking.check_limit(k)
     accepted, rejected = validate(queries)
     hits = search_hits(index, accepted, kinds, gap_aware)
+    if k is None:
+        # ranking everything reads the hits several times: look them up once
+        hits = materialize(hits, "hits")
     n_queries = count_up_to(queries, BROADCAST_ROWS)
     shown = ranking.ranked(hits, k, n_queries)
     found = Found(shown, ranking.hit_counts(hits), rejected)

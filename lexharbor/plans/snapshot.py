@@ -98,7 +98,8 @@ class Snapshots:
         def place(df: DataFrame) -> DataFrame:
             split = F.pmod(F.hash("path"), F.lit(self.splits))
             return (df.withColumn("bucket", path_bucket(F.col("path"), buckets))
-                    .repartition(max(1, min(buckets * self.splits, 100_000)), "bucket", split))
+                    .repartitionById(buckets * self.splits,
+                                     (F.col("bucket") * self.splits + split).cast("int")))
 
         def save(df: DataFrame, name: str, *by: str) -> None:
             df.write.mode("overwrite").partitionBy(*by).parquet(f"{self.root}/{name}/v={v}")
