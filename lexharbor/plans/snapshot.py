@@ -176,7 +176,7 @@ class Snapshots:
 
     def reconcile(self, scan: DataFrame) -> Index:
         """Bring the index level with a full scan, rewriting only buckets that differ."""
-        body = F.xxhash64("lang", "title", "body").alias("hash")
+        body = F.md5(F.concat_ws("\u0000", "lang", "title", "body")).alias("hash")
         docs = self.open().docs
         diff = materialize(changes.snapshot_diff(
             docs.select("path", body), scan.select("path", body), ["hash"]), "diff")
