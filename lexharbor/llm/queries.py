@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import substrings
+from . import containment, mixing, substrings, tokens
 from .common import documents_of
 
 
@@ -12,13 +12,33 @@ def op1_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated_words(documents_of(spark, sf_dir)).drop("kept")
 
 
+def op4_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.tokenised(spark, documents_of(spark, sf_dir))
+
+
+def op6_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(documents_of(spark, sf_dir)).select("doc_id", "size", "source_size",
+                                                          "target", "taken")
+
+
+def op9_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containment.contained_items(documents_of(spark, sf_dir),
+                                       documents_of(spark, sf_dir, "benchmark"))
+
+
 def op5_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated_bytes(documents_of(spark, sf_dir)).drop("kept")
 
 
 QUERIES = {
     "op1_recompression": op1_recompression,
+    "op4_seekable_tokens": op4_seekable_tokens,
     "op5_prefix_doubling": op5_prefix_doubling,
+    "op6_water_filling": op6_water_filling,
+    "op9_containment": op9_containment,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_water_filling": mixing.SQL,
+    "op9_containment": containment.SQL,
+}
