@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, mixing, substrings, tokens
+from . import containment, mixing, neardup, substrings, tokens
 from .common import documents_of
 
 
@@ -12,6 +12,10 @@ def op1_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated_words(documents_of(spark, sf_dir)).drop("kept")
 
 
+def op3_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents_of(spark, sf_dir), width=2)
+
+
 def op4_seekable_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.tokenised(spark, documents_of(spark, sf_dir))
 
@@ -32,6 +36,7 @@ def op5_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_recompression": op1_recompression,
+    "op3_setsketch": op3_setsketch,
     "op4_seekable_tokens": op4_seekable_tokens,
     "op5_prefix_doubling": op5_prefix_doubling,
     "op6_water_filling": op6_water_filling,
@@ -39,6 +44,7 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op3_setsketch": neardup.SQL,
     "op6_water_filling": mixing.SQL,
     "op9_containment": containment.SQL,
 }
