@@ -120,6 +120,10 @@ def byte_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _BYTES = np.random.default_rng(20).integers(1, 2 ** 63, 256, dtype=np.uint64)
 _GAP = np.zeros(256, dtype=bool)
 _GAP[[0x20, 9, 10, 11, 12, 13]] = True
+# ASCII signs that are neither letters nor digits, for words without punctuation.
+SIGNS = np.zeros(256, dtype=bool)
+SIGNS[:128] = True
+SIGNS[48:58] = SIGNS[65:91] = SIGNS[97:123] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -127,12 +131,10 @@ _LOWER[65:91] += 32
 class Words:
     """The words of many texts: names, byte spans and how many each text has."""
 
-    __slots__ = ("names", "starts", "ends", "counts", "raw", "offsets")
-
-    def __init__(self, column, lower: bool = False):
+    def __init__(self, column, lower: bool = False, gaps: np.ndarray = _GAP):
         raw, offsets = texts_buffer(column)
         self.raw, self.offsets = raw, offsets
-        gap = _GAP[raw]
+        gap = gaps[raw]
         first = ~gap
         last = first.copy()
         first[1:] &= gap[:-1]
@@ -144,13 +146,21 @@ class Words:
             last[inner - 1] = ~gap[inner - 1]
         self.starts = np.flatnonzero(first)
         self.ends = np.flatnonzero(last) + 1
-        power, inverse = byte_powers(len(raw))
-        sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[_LOWER[raw] if lower else raw] * power[:-1], out=sums[1:])
-        names = (sums[self.ends] - sums[self.starts]) * inverse[self.starts]
-        self.names = settle(names + (self.ends - self.starts).astype(np.uint64) * K1)
+        power, self.inverse = byte_powers(len(raw))
+        self.sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum(_BYTES[_LOWER[raw] if lower else raw] * power[:-1], out=self.sums[1:])
+        self.names = self.named(self.starts, self.ends)
         self.counts = np.diff(np.searchsorted(self.starts, offsets))
 
+    def named(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Names of byte strings of the texts."""
+        names = (self.sums[end] - self.sums[start]) * self.inverse[start]
+        return settle(names + (end - start).astype(np.uint64) * K1)
+
+    def heads(self, size: int) -> np.ndarray:
+        """Names of the first ``size`` bytes of each word, of all of it if it is shorter."""
+        return self.named(self.starts, np.minimum(self.starts + size, self.ends))
+
 
 def in_sorted(values: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which values occur in ``keys``, which is sorted."""

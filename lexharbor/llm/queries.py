@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, mixing, neardup, substrings, tokens
+from . import containment, mixing, neardup, substrings, tokens, toxicity
 from .common import documents_of
 
 
@@ -25,6 +25,10 @@ def op6_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                           "target", "taken")
 
 
+def op8_text_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(documents_of(spark, sf_dir), documents_of(spark, sf_dir, "labels"))
+
+
 def op9_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment.contained_items(documents_of(spark, sf_dir),
                                        documents_of(spark, sf_dir, "benchmark"))
@@ -40,6 +44,7 @@ QUERIES = {
     "op4_seekable_tokens": op4_seekable_tokens,
     "op5_prefix_doubling": op5_prefix_doubling,
     "op6_water_filling": op6_water_filling,
+    "op8_text_cnn": op8_text_cnn,
     "op9_containment": op9_containment,
 }
 
