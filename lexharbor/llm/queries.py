@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, mixing, neardup, substrings, tokens, toxicity
+from . import containment, mixing, neardup, phrases, substrings, tokens, toxicity
 from .common import documents_of
 
 
@@ -38,6 +38,10 @@ def op5_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated_bytes(documents_of(spark, sf_dir)).drop("kept")
 
 
+def op10_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.edited_fingerprints(documents_of(spark, sf_dir))
+
+
 QUERIES = {
     "op1_recompression": op1_recompression,
     "op3_setsketch": op3_setsketch,
@@ -46,6 +50,7 @@ QUERIES = {
     "op6_water_filling": op6_water_filling,
     "op8_text_cnn": op8_text_cnn,
     "op9_containment": op9_containment,
+    "op10_phrase_fingerprint": op10_phrase_fingerprint,
 }
 
 ORACLE: dict[str, str] = {
