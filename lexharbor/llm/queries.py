@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, mixing, neardup, phrases, substrings, tokens, toxicity
+from . import containment, mixing, neardup, pages, phrases, substrings, tokens, toxicity
 from .common import documents_of
 
 
@@ -25,6 +25,10 @@ def op6_water_filling(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                           "target", "taken")
 
 
+def op7_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(documents_of(spark, sf_dir, "pages"))
+
+
 def op8_text_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(documents_of(spark, sf_dir), documents_of(spark, sf_dir, "labels"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op4_seekable_tokens": op4_seekable_tokens,
     "op5_prefix_doubling": op5_prefix_doubling,
     "op6_water_filling": op6_water_filling,
+    "op7_page_differencing": op7_page_differencing,
     "op8_text_cnn": op8_text_cnn,
     "op9_containment": op9_containment,
     "op10_phrase_fingerprint": op10_phrase_fingerprint,

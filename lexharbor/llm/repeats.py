@@ -10,195 +10,257 @@ and in the order of places; the rounds over the corpus are the same:
 2. For anchors with a shared name, the name of the whole stretch covered by the windows that
    chose them is compared. A stretch seen earlier settles all its windows; a name with one
    single stretch settles them too. This leaves the ends of repeated passages.
-3. The windows of what is left are compared one by one.
+3. What neighbouring windows of such an anchor have in common is compared (if the scheme says
+   so), then the windows that are still in doubt, one by one.
 
 What a round finds goes back to the blocks as names. A block sends each name once, with its first
 place, so a passage that stands in a third of all documents costs a row for each block, not for
-each document, and rows that meet at one key are bounded by the number of blocks. Names of 64 bits
-are always compared together with the anchor's name, 128 bits in all.
+each document. Rounds that only sort out candidates keep as many bits of a name as the size of the
+corpus asks for; a chance match there costs a comparison. What decides compares 64 bits of the
+longer string together with the anchor's name.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import order_ids, pair_names, settle, signed, unsigned
+from .common import in_blocks, in_sorted, order_ids, pair_names, settle, signed, unsigned
 
 DUPLICATE, OPEN, WINDOW = 1, 2, 3
 
 
 @dataclass
 class Parsed:
-    """Windows of one block: start, document, place in the document, anchor, names."""
+    """Tokens of one block: where documents begin, and for every window start its anchor."""
 
-    start: np.ndarray     # token index of each window's first token in the block
-    row: np.ndarray       # which document of the block
-    anchor: np.ndarray    # token index of the chosen anchor
-    core: np.ndarray      # name around the anchor
-    name: np.ndarray      # name of the window
-    place: np.ndarray     # order within a document; all 0 where only documents count
+    bounds: np.ndarray                                    # token offsets of the documents
+    width: int
+    anchor: np.ndarray                                    # anchor of the window at each start
+    core_of: Callable[[np.ndarray], np.ndarray]           # names around anchors
+    name_all: Callable[[], np.ndarray]                    # names of the windows at all starts
+    common_of: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+    share: int = 0                                        # offsets that one common name covers
+
+    @cached_property
+    def name(self) -> np.ndarray:
+        return self.name_all()
 
 
 class Stretches:
-    """Runs of windows that chose the same anchor, with the earliest of equal ones."""
-
-    def __init__(self, parsed: Parsed, ids: np.ndarray):
-        p = parsed
-        n = len(p.start)
-        change = np.ones(n, dtype=bool)
-        change[1:] = (p.anchor[1:] != p.anchor[:-1]) | (p.row[1:] != p.row[:-1])
-        self.first = np.flatnonzero(change)
-        self.last = np.append(self.first[1:], n) - 1 if n else self.first
-        self.of_window = np.cumsum(change) - 1
-        f, t = self.first, self.last
-        self.core = p.core[f]
-        reach = ((p.anchor[f] - p.start[f]) * 4096 + (p.start[t] - p.start[f])).astype(np.uint64)
-        self.name = settle(pair_names(pair_names(p.name[f], p.name[t]), reach))
-        self.doc = ids[p.row[f]]
-        self.place = p.place[f]
-        order = np.lexsort((self.place, self.doc, self.name, self.core))
-        c, x = self.core[order], self.name[order]
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (c[1:] != c[:-1]) | (x[1:] != x[:-1])
-        self.heads = order[new]
-        group = np.empty(len(order), dtype=np.int64)
-        group[order] = np.cumsum(new) - 1
-        self.head = self.heads[group] if len(order) else group
-        self.later = (self.doc > self.doc[self.head]) | \
-            ((self.doc == self.doc[self.head]) & (self.place > self.place[self.head]))
-
-
-def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    out = np.empty(len(a), dtype=[("a", np.uint64), ("b", np.uint64)])
-    out["a"], out["b"] = a, b
-    return out
-
-
-def _among(a: np.ndarray, b: np.ndarray, ka: np.ndarray, kb: np.ndarray) -> np.ndarray:
-    """Which pairs (a, b) are among the pairs (ka, kb)."""
-    if not len(ka) or not len(a):
-        return np.zeros(len(a), dtype=bool)
-    maybe = np.isin(b, kb)
-    out = np.zeros(len(a), dtype=bool)
-    out[maybe] = np.isin(_pairs(a[maybe], b[maybe]), _pairs(ka, kb))
-    return out
-
-
-def _table(**columns) -> pa.Table:
-    return pa.table(columns)
-
-
-def repeats(blocks: DataFrame, parse: Callable[[pa.Table], Parsed],
-            finish: Callable[[pa.Table, Parsed, np.ndarray], pa.Table], schema: str) -> DataFrame:
-    """Run the rounds over ``blocks`` and give each block to ``finish`` with a mark per window."""
-
-    def names(key, docs):
-        p = parse(docs)
-        s = Stretches(p, order_ids(docs.column("doc_id")))
-        core, count = np.unique(s.core, return_counts=True)
-        return _table(block=pa.array(np.full(len(core), key[0].as_py(), np.int32)),
-                      core=signed(core), many=count > 1)
-
-    found = blocks.groupBy("block").applyInArrow(names, "block int, core long, many boolean")
-    same = Window.partitionBy("core")
-    shared = (found.withColumn("n", F.count("*").over(same))
-              .withColumn("m", F.max("many").over(same))
-              .filter("n > 1 OR m").select("block", "core"))
-
-    def stretches(key, docs, known):
-        empty = _table(core=pa.array([], pa.int64()), name=pa.array([], pa.int64()),
-                       doc=pa.array([], pa.int64()), place=pa.array([], pa.int32()),
-                       block=pa.array([], pa.int32()))
-        if not docs.num_rows or not known.num_rows:
-            return empty
-        s = Stretches(parse(docs), order_ids(docs.column("doc_id")))
-        h = s.heads[np.isin(s.core[s.heads], unsigned(known.column("core")))]
-        return _table(core=signed(s.core[h]), name=signed(s.name[h]), doc=s.doc[h],
-                      place=s.place[h].astype(np.int32),
-                      block=np.full(len(h), key[0].as_py(), np.int32))
+    """Runs of windows that chose the same anchor; documents stand in ascending order of ids."""
+
+    def __init__(self, p: Parsed, ids: np.ndarray, by_place: bool, bits: int):
+        self.p, self.by_place, self.ids = p, by_place, ids
+        n = len(p.anchor)
+        if n:
+            change = np.ones(n, dtype=bool)
+            np.not_equal(p.anchor[1:], p.anchor[:-1], out=change[1:])
+            inner = p.bounds[1:-1]
+            change[inner[inner < n]] = True
+            first = np.flatnonzero(change)
+            row = np.searchsorted(p.bounds, first, side="right") - 1
+            limit = p.bounds[row + 1] - p.width
+            last = np.minimum(np.append(first[1:], n) - 1, limit)
+            real = first <= limit
+            first, last, row = first[real], last[real], row[real]
+        else:
+            first = last = row = np.zeros(0, dtype=np.int64)
+        self.first, self.last, self.row = first, last, row
+        self.at = p.anchor[first].astype(np.int64)
+        self.core = p.core_of(self.at) >> np.uint64(64 - bits)
+        self.doc = ids[row]
+
+    @cached_property
+    def place(self) -> np.ndarray:
+        return self.first - self.p.bounds[self.row] if self.by_place else np.zeros_like(self.first)
+
+    @cached_property
+    def name(self) -> np.ndarray:
+        p, f, t = self.p, self.first, self.last
+        reach = ((self.at - f) * 4096 + (t - f)).astype(np.uint64)
+        return settle(pair_names(pair_names(p.name[f], p.name[t]), reach))
+
+    @cached_property
+    def grouped(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first of equal stretches, and which are later than the first."""
+        return first_of_equals(settle(pair_names(self.core, self.name)), self.doc, self.place)
+
+    def windows(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All window starts of some stretches, and the stretch of each."""
+        size = self.last[which] - self.first[which] + 1
+        own = np.repeat(which, size)
+        return np.arange(len(own)) + np.repeat(self.first[which] - (np.cumsum(size) - size),
+                                               size), own
+
+
+def first_of_equals(key: np.ndarray, doc: np.ndarray, place: np.ndarray):
+    """Of entries in order of place: the first of each key, and which entries come after it."""
+    order = np.argsort(key, kind="stable")
+    sorted_key = key[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = sorted_key[1:] != sorted_key[:-1]
+    heads = order[new]
+    head = np.empty(len(order), dtype=np.int64)
+    head[order] = heads[np.cumsum(new) - 1]
+    later = (doc > doc[head]) | ((doc == doc[head]) & (place > place[head]))
+    return heads, later
+
+
+def _ordered(docs: pa.Table) -> pa.Table:
+    """Documents by id (null first); rows that repeat an id by text."""
+    keys = [("doc_id", "ascending"), ("text", "ascending")]
+    ids = docs.column("doc_id")
+    if len(pc.unique(ids)) == len(ids):
+        keys = keys[:1]
+    return docs.take(pc.sort_indices(docs, sort_keys=keys, null_placement="at_start"))
+
+
+def _rows(s: Stretches | None, core=None, name=None, doc=None, place=None) -> pa.Table:
+    empty = np.zeros(0, dtype=np.int64)
+    if s is None:
+        core, name, doc, place = empty.view(np.uint64), empty.view(np.uint64), empty, empty
+    return pa.table({"core": signed(core), "name": signed(name), "doc": doc,
+                     "place": place.astype(np.int32)})
+
+
+def repeats(docs: DataFrame, parse: Callable[[pa.Table], Parsed], by_place: bool,
+            finish: Callable[[pa.Table, Parsed, np.ndarray], pa.Table], schema: str,
+            refine: bool = False) -> DataFrame:
+    """Run the rounds over ``docs`` and give each block to ``finish`` with a mark per window start.
+
+    ``by_place``: an earlier start in the same document counts as earlier too.
+    """
+    blocks, block_of_doc, bits = in_blocks(docs)
+    place = F.struct("doc", "place")
+    at_name = Window.partitionBy("core", "name")
+
+    def read(table):
+        table = _ordered(table)
+        return table, Stretches(parse(table), order_ids(table.column("doc_id")), by_place, bits)
+
+    def counted(key, names):
+        name, count = np.unique(names, return_counts=True)
+        return pa.table({"block": np.full(len(name), key[0].as_py(), np.int32),
+                         "core": signed(name), "many": count > 1})
+
+    def kept_shared(found: DataFrame) -> DataFrame:
+        """Names that several blocks have, or one block more than once; a row for each block."""
+        same = Window.partitionBy("core")
+        return (found.withColumn("n", F.count("*").over(same))
+                .withColumn("m", F.max("many").over(same))
+                .filter("n > 1 OR m").select("block", "core"))
+
+    def cores(key, table):
+        return counted(key, read(table)[1].core)
+
+    shared = kept_shared(blocks.groupBy("block").applyInArrow(
+        cores, "block int, core long, many boolean"))
+
+    def stretches(key, table, known):
+        if not table.num_rows or not known.num_rows:
+            return _rows(None)
+        _, s = read(table)
+        heads = s.grouped[0]
+        h = heads[in_sorted(s.core[heads], np.sort(unsigned(known.column("core"))))]
+        return _rows(s, s.core[h], s.name[h], s.doc[h], s.place[h])
 
     by_stretch = (blocks.groupBy("block").cogroup(shared.groupBy("block"))
-                  .applyInArrow(stretches,
-                                "core long, name long, doc long, place int, block int"))
-    at_core, at_name = Window.partitionBy("core"), Window.partitionBy("core", "name")
-    place = F.struct("doc", "place")
+                  .applyInArrow(stretches, "core long, name long, doc long, place int"))
+    at_core = Window.partitionBy("core")
     judged = (by_stretch.withColumn("least", F.min("name").over(at_core))
               .withColumn("most", F.max("name").over(at_core))
               .withColumn("first", F.min(place).over(at_name))
               .withColumn("kind", F.when(place > F.col("first"), F.lit(DUPLICATE))
                           .when(F.col("least") != F.col("most"), F.lit(OPEN)))
               .filter("kind IS NOT NULL")
-              .select("block", F.col("kind").cast("int").alias("kind"), "core", "name"))
+              .select(block_of_doc.alias("block"), F.col("kind").cast("int").alias("kind"), "name"))
+    doubtful = judged.filter(F.col("kind") == OPEN)
+
+    def said_of(said, kind):
+        return np.sort(unsigned(said.filter(pc.equal(said.column("kind"), kind)).column("name")))
 
-    def settled(s: Stretches, said: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    def settled(s: Stretches, said):
         """Of stretches: duplicates, and those whose windows must be compared."""
-        kind = said.column("kind").to_numpy()
-        core, name = unsigned(said.column("core")), unsigned(said.column("name"))
-        d, o = kind == DUPLICATE, kind == OPEN
-        duplicate = s.later | _among(s.core, s.name, core[d], name[d])
-        return duplicate, ~duplicate & _among(s.core, s.name, core[o], name[o])
-
-    def windows_of(p: Parsed, s: Stretches, ids: np.ndarray, open_: np.ndarray):
-        """Windows to compare: their indices, and which of them have an equal earlier one here."""
-        w = np.flatnonzero(open_[s.of_window]) if len(p.start) else np.zeros(0, np.int64)
-        doc, at = ids[p.row[w]], p.place[w]
-        order = np.lexsort((at, doc, p.name[w], p.core[w]))
-        c, x = p.core[w][order], p.name[w][order]
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (c[1:] != c[:-1]) | (x[1:] != x[:-1])
-        heads = order[new]
-        group = np.empty(len(order), dtype=np.int64)
-        group[order] = np.cumsum(new) - 1
-        head = heads[group] if len(order) else group
-        later = (doc > doc[head]) | ((doc == doc[head]) & (at > at[head]))
-        return w, heads, later
-
-    def windows(key, docs, said):
-        ids = order_ids(docs.column("doc_id")) if docs.num_rows else np.zeros(0, np.int64)
-        if not docs.num_rows or not said.num_rows:
-            return _table(core=pa.array([], pa.int64()), name=pa.array([], pa.int64()),
-                          doc=pa.array([], pa.int64()), place=pa.array([], pa.int32()),
-                          block=pa.array([], pa.int32()))
-        p = parse(docs)
-        s = Stretches(p, ids)
-        _, open_ = settled(s, said)
-        w, heads, _ = windows_of(p, s, ids, open_)
-        h = w[heads]
-        return _table(core=signed(p.core[h]), name=signed(p.name[h]), doc=ids[p.row[h]],
-                      place=p.place[h].astype(np.int32),
-                      block=np.full(len(h), key[0].as_py(), np.int32))
-
-    by_window = (blocks.groupBy("block").cogroup(judged.groupBy("block"))
-                 .applyInArrow(windows, "core long, name long, doc long, place int, block int"))
+        duplicate = s.grouped[1] | in_sorted(s.name, said_of(said, DUPLICATE))
+        return duplicate, ~duplicate & in_sorted(s.name, said_of(said, OPEN))
+
+    def commons(s: Stretches, start, own):
+        """For windows, the name of what they have in common with their neighbours."""
+        part = (s.at[own] - start) // s.p.share
+        return settle(s.p.common_of(s.at[own], part) + part.astype(np.uint64)) \
+            >> np.uint64(64 - bits)
+
+    if refine:
+        def parts(key, table, said):
+            names = np.zeros(0, dtype=np.uint64)
+            if table.num_rows and said.num_rows:
+                _, s = read(table)
+                start, own = s.windows(np.flatnonzero(settled(s, said)[1]))
+                part = (s.at[own] - start) // s.p.share
+                once = np.ones(len(own), dtype=bool)
+                once[1:] = (own[1:] != own[:-1]) | (part[1:] != part[:-1])
+                names = commons(s, start[once], own[once])
+            return counted(key, names)
+
+        near = kept_shared(blocks.groupBy("block").cogroup(doubtful.groupBy("block"))
+                           .applyInArrow(parts, "block int, core long, many boolean"))
+        doubtful = doubtful.unionByName(near.select(
+            "block", F.lit(WINDOW).cast("int").alias("kind"), F.col("core").alias("name")))
+
+    def windows_of(s: Stretches, open_, said):
+        """Windows to compare: start, stretch, heads among equals, which have an earlier one here."""
+        start, own = s.windows(np.flatnonzero(open_))
+        if refine:
+            near = in_sorted(commons(s, start, own), said_of(said, WINDOW))
+            start, own = start[near], own[near]
+        name = s.p.name[start] if len(start) else np.zeros(0, dtype=np.uint64)
+        at = start - s.p.bounds[s.row[own]] if by_place else np.zeros_like(start)
+        heads, later = first_of_equals(settle(pair_names(s.core[own], name)), s.doc[own], at)
+        return start, own, name, at, heads, later
+
+    def windows(key, table, said):
+        if not table.num_rows or not said.num_rows:
+            return _rows(None)
+        _, s = read(table)
+        _, own, name, at, h, _ = windows_of(s, settled(s, said)[1], said)
+        return _rows(s, s.core[own[h]], name[h], s.doc[own[h]], at[h])
+
+    by_window = (blocks.groupBy("block").cogroup(doubtful.groupBy("block"))
+                 .applyInArrow(windows, "core long, name long, doc long, place int"))
     earlier = (by_window.withColumn("first", F.min(place).over(at_name))
                .filter(place > F.col("first"))
-               .select("block", F.lit(WINDOW).cast("int").alias("kind"), "core", "name"))
+               .select(block_of_doc.alias("block"), F.lit(0).cast("int").alias("kind"), "name"))
+    answers = judged.unionByName(earlier)
+    if refine:
+        answers = answers.unionByName(doubtful.filter(F.col("kind") == WINDOW))
 
-    def last(key, docs, said):
-        ids = order_ids(docs.column("doc_id"))
-        p = parse(docs)
-        s = Stretches(p, ids)
+    def last(key, table, said):
+        table, s = read(table)
         duplicate, open_ = settled(s, said)
-        mark = duplicate[s.of_window] if len(p.start) else np.zeros(0, dtype=bool)
-        w, _, later = windows_of(p, s, ids, open_)
-        kind = said.column("kind").to_numpy() == WINDOW
-        core, name = unsigned(said.column("core"))[kind], unsigned(said.column("name"))[kind]
-        mark[w] = later | _among(p.core[w], p.name[w], core, name)
-        return finish(docs, p, mark)
-
-    return (blocks.groupBy("block").cogroup(judged.unionByName(earlier).groupBy("block"))
+        n = len(s.p.anchor)
+        step = np.zeros(n + 1, dtype=np.int32)
+        step[s.first[duplicate]] += 1
+        step[s.last[duplicate] + 1] -= 1
+        mark = np.cumsum(step[:-1], dtype=np.int32) > 0
+        start, _, name, _, _, later = windows_of(s, open_, said)
+        mark[start[later | in_sorted(name, said_of(said, 0))]] = True
+        return finish(table, s.p, mark)
+
+    return (blocks.groupBy("block").cogroup(answers.groupBy("block"))
             .applyInArrow(last, schema))
 
 
-def covered(start: np.ndarray, mark: np.ndarray, width: int, size: int) -> np.ndarray:
-    """Which of ``size`` tokens lie in a marked window."""
+def covered(mark: np.ndarray, width: int, size: int) -> np.ndarray:
+    """Which of ``size`` tokens lie in a window whose start is marked."""
     step = np.zeros(size + 1, dtype=np.int32)
-    np.add.at(step, start[mark], 1)
-    np.add.at(step, start[mark] + width, -1)
-    return np.cumsum(step[:-1]) > 0
+    step[:len(mark)] += mark
+    step[width:width + len(mark)] -= mark
+    return np.cumsum(step[:-1], dtype=np.int32) > 0

@@ -8,28 +8,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import (Words, doubled_names, id_and_text, in_blocks, pair_names, settle,
-                     texts_buffer)
+from .common import Words, doubled_names, id_and_text, pair_names, settle, texts_buffer
 from .repeats import Parsed, covered, repeats
 
 WINDOW_WORDS = 20
 WINDOW_BYTES = 50
 # Bytes around an anchor whose name is compared first in the prefix doubling.
 CORE_BYTES = 20
+# Neighbouring windows of one anchor, so many at a time, are first compared by what they share.
+SHARE = 5
 # After naming runs of two, and pairs twice, the parse at a gap rests on this many words each side.
 REACH = 7
 
 
-def _windows(counts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, document and place of all windows of documents with so many tokens each."""
-    each = np.maximum(counts - width + 1, 0)
-    row = np.repeat(np.arange(len(counts)), each)
-    ends = np.cumsum(each)
-    place = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - each, each)
-    begin = np.cumsum(counts) - counts
-    return begin[row] + place, row, place
-
-
 def _least(values: np.ndarray, span: int) -> np.ndarray:
     """The minimum of every ``span`` neighbours, by doubling."""
     have, at = 1, values
@@ -77,47 +68,79 @@ def recompress(names: np.ndarray, row: np.ndarray, pairings: int = 2) -> np.ndar
     return begin
 
 
-def parse_words(docs: pa.Table, width: int = WINDOW_WORDS) -> Parsed:
-    """Windows of words; the anchor is a symbol boundary well inside the window."""
-    words = Words(docs.column("text"))
-    return _parse_words(words, width)
+def _picked(values: np.ndarray, span: int) -> np.ndarray:
+    """Position of the least of every ``span`` neighbours, the leftmost of equals; -1 if all empty.
 
+    ``values`` has its least bits replaced by positions, so its minima name their place.
+    """
+    low = (np.uint64(1) << np.uint64(max(len(values), 2).bit_length())) - np.uint64(1)
+    best = _least((values & ~low) | np.arange(len(values), dtype=np.uint64), span)
+    return np.where(best >= EMPTY & ~low, -1, (best & low).view(np.int64))
 
-def _parse_words(words: Words, width: int) -> Parsed:
-    start, row, place = _windows(words.counts, width)
-    none = np.zeros(0, np.uint64)
-    if not len(start):
-        return Parsed(start, row, start, none, none, place)
-    owner = np.repeat(np.arange(len(words.counts)), words.counts)
+
+EMPTY = ~np.uint64(0)
+
+
+def parse_words(docs: pa.Table, width: int = WINDOW_WORDS) -> Parsed:
+    """Windows of words; the anchor is a symbol boundary well inside the window.
+
+    The boundary of least hashed surroundings among those that the window's own words determine;
+    a window without one takes its middle.
+    """
+    words = Words(docs.column("text"))
+    bounds = np.concatenate([[0], np.cumsum(words.counts)])
     n = len(words.names)
-    around = doubled_names(words.names, 2 * REACH)       # around[g - REACH]: both sides of gap g
-    bits = np.uint64(max(n, 2).bit_length())
-    low = (np.uint64(1) << bits) - np.uint64(1)
-    pick = np.full(n + 1, ~np.uint64(0))
+    if n < width:
+        none = np.zeros(0, dtype=np.int64)
+        return Parsed(bounds, width, none, lambda at: at.view(np.uint64),
+                      lambda: none.view(np.uint64))
+    owner = np.repeat(np.arange(len(words.counts)), words.counts)
+    around = settle(doubled_names(words.names, 2 * REACH))    # around[g - REACH]: gap g
+    pick = np.full(n + 1, EMPTY)
     gaps = recompress(words.names, owner)
     gaps = gaps[(gaps >= REACH) & (gaps <= n - REACH)]
-    pick[gaps] = (settle(around[gaps - REACH]) & ~low) | gaps.astype(np.uint64)
-    best = _least(pick, width - 2 * REACH + 1)[start + REACH]
-    anchor = np.where(best == ~np.uint64(0), start + width // 2, (best & low).astype(np.int64))
-    return Parsed(start, row, anchor, settle(around[anchor - REACH]),
-                  settle(doubled_names(words.names, width)[start]), place)
+    pick[gaps] = around[gaps - REACH] >> np.uint64(1)
+    start = np.arange(n - width + 1)
+    found = _picked(pick, width - 2 * REACH + 1)[REACH:REACH + len(start)]
+    anchor = np.where(found < 0, start + width // 2, found)
+    return Parsed(bounds, width, anchor, lambda at: around[at - REACH],
+                  lambda: settle(doubled_names(words.names, width)))
 
 
 def parse_bytes(docs: pa.Table, width: int = WINDOW_BYTES) -> Parsed:
-    """Windows of bytes; the anchor is the least named string of ``CORE_BYTES`` in the window."""
-    raw, offsets = texts_buffer(docs.column("text"))
-    start, row, place = _windows(np.diff(offsets), width)
-    none = np.zeros(0, np.uint64)
-    if not len(start):
-        return Parsed(start, row, start, none, none, place)
-    names = settle(raw.astype(np.uint64) + np.uint64(1))
-    core = settle(doubled_names(names, CORE_BYTES))
-    bits = np.uint64(max(len(raw), 2).bit_length())
-    low = (np.uint64(1) << bits) - np.uint64(1)
-    pick = (core & ~low) | np.arange(len(core), dtype=np.uint64)
-    anchor = (_least(pick, width - CORE_BYTES + 1)[start] & low).astype(np.int64)
-    whole = doubled_names(names, width)[start]
-    return Parsed(start, row, anchor, core[anchor], settle(whole), np.zeros_like(place))
+    """Windows of bytes; the anchor is the least named string of ``CORE_BYTES`` in the window.
+
+    Eight bytes are their own first name; further names come by doubling, at offsets 8, 16 and on.
+    """
+    raw, bounds = texts_buffer(docs.column("text"))
+    n = len(raw)
+    if n < width:
+        none = np.zeros(0, dtype=np.int64)
+        return Parsed(bounds, width, none, lambda at: at.view(np.uint64),
+                      lambda: none.view(np.uint64))
+    eight = np.ndarray((n - 7,), dtype="<u8", buffer=np.ascontiguousarray(raw), strides=(1,)) \
+        .astype(np.uint64)
+    names = {8: eight}
+
+    def named(size: int) -> np.ndarray:
+        """Names of all strings of ``size`` bytes: two strings of half the size or more."""
+        if size not in names:
+            half = 8
+            while 2 * half < size:
+                half *= 2
+            part = named(half)
+            names[size] = pair_names(part[:n - size + 1], part[size - half:])
+        return names[size]
+
+    core = settle(named(CORE_BYTES))
+    anchor = _picked(core >> np.uint64(1), width - CORE_BYTES + 1)
+    common = width - SHARE + 1
+
+    def common_of(at: np.ndarray, part: np.ndarray) -> np.ndarray:
+        return named(common)[at - part * SHARE]
+
+    return Parsed(bounds, width, anchor, lambda at: core[at], lambda: settle(named(width)),
+                  common_of, SHARE)
 
 
 def remove_repeated_words(docs: DataFrame, width: int = WINDOW_WORDS) -> DataFrame:
@@ -130,7 +153,7 @@ def remove_repeated_words(docs: DataFrame, width: int = WINDOW_WORDS) -> DataFra
     """
     def finish(table: pa.Table, p: Parsed, mark: np.ndarray) -> pa.Table:
         words = Words(table.column("text"))
-        gone = covered(p.start, mark, width, len(words.names))
+        gone = covered(mark, width, len(words.names))
         raw = words.raw.tobytes()
         end = np.cumsum(words.counts)
         kept, removed = [], []
@@ -146,7 +169,7 @@ def remove_repeated_words(docs: DataFrame, width: int = WINDOW_WORDS) -> DataFra
             "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
             "kept": pa.array([k.decode() for k in kept], pa.string())})
 
-    return repeats(in_blocks(id_and_text(docs)), lambda t: parse_words(t, width), finish,
+    return repeats(id_and_text(docs), lambda t: parse_words(t, width), True, finish,
                    "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
 
 
@@ -159,7 +182,7 @@ def remove_repeated_bytes(docs: DataFrame, width: int = WINDOW_BYTES) -> DataFra
     """
     def finish(table: pa.Table, p: Parsed, mark: np.ndarray) -> pa.Table:
         raw, offsets = texts_buffer(table.column("text"))
-        gone = covered(p.start, mark, width, len(raw))
+        gone = covered(mark, width, len(raw))
         removed, spans, kept = [], [], []
         for a, b in zip(offsets[:-1], offsets[1:], strict=True):
             cut = gone[a:b]
@@ -173,6 +196,6 @@ def remove_repeated_bytes(docs: DataFrame, width: int = WINDOW_BYTES) -> DataFra
             "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
             "kept": pa.array(kept, pa.binary())})
 
-    return repeats(in_blocks(id_and_text(docs)), lambda t: parse_bytes(t, width), finish,
+    return repeats(id_and_text(docs), lambda t: parse_bytes(t, width), False, finish,
                    "doc_id long, n_bytes long, n_removed long, n_spans long, "
-                   "kept_sha256 string, kept binary")
+                   "kept_sha256 string, kept binary", refine=True)
