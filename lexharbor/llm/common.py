@@ -136,7 +136,10 @@ _LOWER[65:91] += 32
 class Words:
     """The words of many texts: names, byte spans and how many each text has."""
 
-    def __init__(self, column, lower: bool = False, gaps: np.ndarray = _GAP):
+    def __init__(self, column, lower: bool = False, gaps: np.ndarray = _GAP,
+                 split: np.ndarray | None = None, whole: np.ndarray | None = None):
+        """``split``: kinds of bytes, cut where one kind over 0 meets another; ``whole``: words
+        with such a byte stay uncut and keep their case."""
         raw, offsets = texts_buffer(column)
         self.raw, self.offsets = raw, offsets
         gap = gaps[raw]
@@ -151,9 +154,23 @@ class Words:
             last[inner - 1] = ~gap[inner - 1]
         self.starts = np.flatnonzero(first)
         self.ends = np.flatnonzero(last) + 1
+        table = _LOWER[raw] if lower else raw
+        if split is not None:
+            kind = split[raw]
+            cut = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+            kept = np.flatnonzero(whole[raw])
+            if len(kept):
+                word = np.unique(np.searchsorted(self.starts, kept, side="right") - 1)
+                for a, b in zip(self.starts[word].tolist(), self.ends[word].tolist(), strict=True):
+                    cut[a:b - 1] = False
+                    table[a:b] = raw[a:b]
+            first[1:] |= cut & ~gap[1:] & ~gap[:-1]
+            last[:-1] |= cut & ~gap[1:] & ~gap[:-1]
+            self.starts = np.flatnonzero(first)
+            self.ends = np.flatnonzero(last) + 1
         power, self.inverse = byte_powers(len(raw))
         self.sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[_LOWER[raw] if lower else raw] * power[:-1], out=self.sums[1:])
+        np.cumsum(_BYTES[table] * power[:-1], out=self.sums[1:])
         self.names = self.named(self.starts, self.ends)
         self.counts = np.diff(np.searchsorted(self.starts, offsets))
 

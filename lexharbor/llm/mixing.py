@@ -68,8 +68,8 @@ def mix(docs: DataFrame, share: float = 1.5, epochs: float = 2.0,
     them once more: in order of size (then of a seeded hash), every k-th, from the one of
     ``OFFSETS`` seeded starts whose sum comes nearest the target. So every size is represented
     alike and a source misses its target by a part of one document. Ranks are counts of the
-    smaller groups of (source, size, hash digit) plus a place within the group, so no task sorts a
-    whole source. A null text or source is kept, with size 0 or as a source of its own; documents
+    smaller sizes of a source and of the smaller hash digits of a size, plus a place within the
+    group, so no task sorts a whole source. A null text or source is kept, with size 0 or as a source of its own; documents
     of size 0 are taken zero words; rows that repeat a ``doc_id`` count each for itself; an empty
     table gives no rows; extra columns are not read.
     """
@@ -89,17 +89,24 @@ def mix(docs: DataFrame, share: float = 1.5, epochs: float = 2.0,
                           .withColumn("rest", F.col("ratio") - F.col("whole"))
                           .withColumn("begin", chance(seed, name)), "mix-targets")
     group = ["source", "size", "digit"]
-    before = Window.partitionBy("source").orderBy("size", "digit") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    groups = rows.groupBy(*group).count().withColumn(
-        "offset", F.coalesce(F.sum("count").over(before), F.lit(0)))
+    upto = (Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("source", "size").count()
+    smaller = Window.partitionBy("source").orderBy("size").rowsBetween(*upto)
+    sizes = sizes.select(F.col("source").alias("z_source"), F.col("size").alias("z_size"),
+                         F.coalesce(F.sum("count").over(smaller), F.lit(0)).alias("under"))
+    alike = Window.partitionBy("source", "size").orderBy("digit").rowsBetween(*upto)
+    groups = (rows.groupBy(*group).count()
+              .withColumn("within", F.coalesce(F.sum("count").over(alike), F.lit(0)))
+              .join(sizes, F.col("source").eqNullSafe(F.col("z_source"))
+                    & (F.col("size") == F.col("z_size")))
+              .select(*group, (F.col("under") + F.col("within")).alias("offset")))
     inner = F.row_number().over(Window.partitionBy(*group).orderBy("key", F.col("doc_id")))
     placed = (rows.join(groups.withColumnsRenamed({"source": "g_source", "size": "g_size",
                                                    "digit": "g_digit"}),
                         F.col("source").eqNullSafe(F.col("g_source"))
                         & (F.col("size") == F.col("g_size")) & (F.col("digit") == F.col("g_digit")))
               .withColumn("place", F.col("offset") + inner - 1)
-              .drop("g_source", "g_size", "g_digit", "count", "offset", "digit", "key"))
+              .drop("g_source", "g_size", "g_digit", "offset", "digit", "key"))
     known = (placed.join(targets.withColumnRenamed("source", "t_source"),
                          F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source"))
     once = [_once_more(F.col("place"), F.col("rest"), F.col("begin"), j) for j in range(OFFSETS)]

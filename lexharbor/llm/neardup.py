@@ -8,7 +8,8 @@ sets agree in a register a little more often than their Jaccard similarity says.
 drops hopeless ones; whole sets confirm the rest.
 
 Equal sets are one class from the start. A band's documents are linked to one of them, not to each
-other; what such stars leave apart is compared in further rounds, so no group is spelt out as pairs.
+other; what such stars leave apart is compared once more within its family, on whole sets inside
+the tasks, so no group is spelt out as pairs and no link is lost.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ REGISTERS, ROWS, BASE = 252, 6, 1.02
 BANDS = REGISTERS // ROWS
 # Candidates whose likeliest similarity is this far under the threshold go; 6 standard deviations.
 MARGIN = 0.16
-# Members of one star, or of one side of a comparison, that meet in a task.
-CHUNK = 512
+# Members of one star, and documents of each side of a comparison, that meet in a task.
+CHUNK, PART = 512, 4096
 _SEEDS = np.random.default_rng(3).integers(1, 2 ** 32, (REGISTERS, 2), dtype=np.uint32) | 1
 
 
@@ -181,8 +182,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     shelves = reps.select("doc_id", F.explode("bands").alias("key"))
     shared = (shelves.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("m"))
               .filter("m > 1"))
-    # every document on a shelf with others, kept for the rounds below
-    shelved = materialize(shelves.join(shared, "key").select("key", "doc_id", "hub"), "shelves")
+    stars = materialize(shelves.join(shared, "key").filter("doc_id != hub")
+                        .select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct(),
+                        "stars")
     regs = reps.select("doc_id", "n", "regs")
 
     def with_registers(pairs: DataFrame) -> DataFrame:
@@ -191,28 +193,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
                 {"doc_id": side, "n": f"n_{side}", "regs": f"regs_{side}"}), side)
         return pairs
 
-    stars = shelved.filter("doc_id != hub").select(
-        F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-    tried = materialize(_hopeful(with_registers(stars), floor), "pairs")
-    links = materialize(_confirmed(named, tried, width, num, den), "links")
+    pairs = _hopeful(with_registers(stars), floor)
+    links = materialize(_confirmed(named, materialize(pairs, "pairs"), width, num, den), "links")
     labels = components(links)
-    while True:
-        # shelves that still hold several components
-        held = (shelved.select("key", "doc_id")
-                .join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-                .withColumn("component", F.coalesce("component", "doc_id")))
-        apart = (held.groupBy("key").agg(F.min("component").alias("least"),
-                                         F.max("component").alias("most"))
-                 .filter("least != most").select("key", "least"))
-        new = _across(held.join(apart, "key"), regs, tried, floor)
-        new = materialize(new, "pairs")
-        if new.isEmpty():
-            break
-        more = materialize(_confirmed(named, new, width, num, den), "links")
-        tried = materialize(tried.union(new), "pairs")
-        if not more.isEmpty():
-            links = materialize(links.union(more), "links")
-            labels = components(links)
+    # what the stars leave apart: documents of one family of shelves in several components
+    families = components(stars)
+    rest = materialize(_across(named, families, labels, width, num, den), "links")
+    if not rest.isEmpty():
+        labels = components(links.union(rest))
     rep = same.withColumnsRenamed({"set1": "s1", "set2": "s2"})
     found = (full.select("doc_id", "set1", "set2").distinct()
              .join(rep, (F.col("set1") == F.col("s1")) & (F.col("set2") == F.col("s2")))
@@ -234,51 +222,69 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
             .select("doc_id", "n_shingles", "component_id", "kept"))
 
 
-def _across(held: DataFrame, regs: DataFrame, tried: DataFrame, floor: float) -> DataFrame:
-    """New pairs of different components on a shelf that may be similar.
+def _across(docs: DataFrame, families: DataFrame, labels: DataFrame, width: int, num: int,
+            den: int) -> DataFrame:
+    """Links between different components of a family, found on whole sets.
 
-    The documents outside a shelf's least component are dealt into chunks and each chunk meets the
-    shelf's others by register, in a task; of each document's untried, likely partners in each
-    other component the likeliest is asked first. The rounds go on until no such pair is left.
+    A family is what shelves join, so every candidate pair lies within one. The documents outside
+    its largest component are compared with all of the family, both dealt into parts of ``PART``:
+    a task holds two parts, indexes the shingles of one and counts each document of the other
+    against the index, and gives one link for each other component a document is similar to. So
+    no pair that shares a shelf goes unseen, and none is written out.
     """
-    rows = held.join(regs, "doc_id").select("key", "doc_id", "component", "least", "n", "regs")
-    out = rows.filter("component != least")
-    known = (tried.union(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-             .groupBy("a").agg(F.collect_set("b").alias("asked")))
-    parts = out.groupBy("key").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("parts"))
-    left = (out.join(parts, "key")
-            .withColumn("part", F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int"))
-            .join(known.withColumnRenamed("a", "doc_id"), "doc_id", "left")
-            .select("key", "part", "doc_id", "component", "n", "regs", "asked"))
-    right = (rows.join(parts, "key")
-             .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    held = (families.select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
+            .join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+            .withColumn("component", F.coalesce("component", "doc_id")))
+    sizes = (held.groupBy("family", "component").count().groupBy("family")
+             .agg(F.count("*").alias("several"), F.sum("count").alias("all"),
+                  F.max("count").alias("most"), F.max_by(
+                      F.col("component"), F.struct("count", -F.col("component"))).alias("main"))
+             .filter("several > 1")
+             .select("family", "main", F.ceil((F.col("all") - F.col("most")) / PART).alias("outer"),
+                     F.ceil(F.col("all") / PART).alias("inner")))
+    rows = (held.join(sizes, "family").join(docs.select("doc_id", "text"), "doc_id")
+            .withColumn("at", F.xxhash64("doc_id")))
+    left = (rows.filter("component != main")
+            .withColumn("i", F.pmod("at", "outer").cast("int"))
+            .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("inner").cast("int") - 1)))
+            .select("family", "i", "j", "doc_id", "component", "text"))
+    right = (rows.withColumn("j", F.pmod("at", "inner").cast("int"))
+             .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("outer").cast("int") - 1)))
              .select(*[F.col(c).alias(f"o_{c}") for c in
-                       ("key", "part", "doc_id", "component", "n", "regs")]))
+                       ("family", "i", "j", "doc_id", "component", "text")]))
 
     def compare(key, mine, others):
         found = []
         if mine.num_rows and others.num_rows:
-            ids, comp = others.column("o_doc_id").to_numpy(), others.column("o_component").to_numpy()
-            size, table = others.column("o_n").to_numpy(), _registers(others.column("o_regs"))
-            own = _registers(mine.column("regs"))
-            for k in range(mine.num_rows):
-                doc = mine.column("doc_id")[k].as_py()
-                asked = mine.column("asked")[k].as_py() or []
-                ok = np.flatnonzero((comp != mine.column("component")[k].as_py())
-                                    & ~np.isin(ids, np.array(asked, dtype=np.int64)))
-                if not len(ok):
-                    continue
-                j = likely_similarity(np.broadcast_to(own[k], (len(ok), REGISTERS)), table[ok],
-                                      np.full(len(ok), mine.column("n")[k].as_py()), size[ok])
-                good = np.flatnonzero(j >= floor)
-                order = good[np.lexsort((ids[ok[good]], -j[good], comp[ok[good]]))]
-                _, at = np.unique(comp[ok[order]], return_index=True)
-                found += [(max(doc, int(x)), min(doc, int(x))) for x in ids[ok[order[at]]]]
+            names, row = distinct_shingles(Words(others.column("o_text"), lower=True), width)
+            ids = others.column("o_doc_id").to_numpy()
+            comp = others.column("o_component").to_numpy()
+            size = np.bincount(row, minlength=len(ids))
+            order = np.argsort(names, kind="stable")
+            names, row = names[order], row[order]
+            known, first = np.unique(names, return_index=True)
+            stop = np.append(first[1:], len(names))
+            own, at = distinct_shingles(Words(mine.column("text"), lower=True), width)
+            cuts = np.searchsorted(at, np.arange(mine.num_rows + 1))
+            for k, (doc, label) in enumerate(zip(mine.column("doc_id").to_pylist(),
+                                                 mine.column("component").to_pylist(), strict=True)):
+                part = own[cuts[k]:cuts[k + 1]]
+                place = np.searchsorted(known, part)
+                place = np.minimum(place, len(known) - 1)
+                place = place[known[place] == part]
+                each = stop[place] - first[place]
+                take = np.arange(each.sum()) + np.repeat(first[place] - (np.cumsum(each) - each),
+                                                         each)
+                common = np.bincount(row[take], minlength=len(ids))
+                near = np.flatnonzero((den * common >= num * (len(part) + size - common))
+                                      & (comp != label))
+                _, once = np.unique(comp[near], return_index=True)
+                found += [(doc, int(x)) for x in ids[near[once]]]
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return (left.groupBy("key", "part").cogroup(right.groupBy("o_key", "o_part"))
-            .applyInArrow(compare, "a long, b long").distinct())
+    return (left.groupBy("family", "i", "j").cogroup(right.groupBy("o_family", "o_i", "o_j"))
+            .applyInArrow(compare, "a long, b long"))
 
 
 SQL = r"""

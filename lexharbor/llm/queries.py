@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, mixing, neardup, pages, phrases, substrings, tokens, toxicity
+from . import containment, mixing, neardup, pages, phrases, pii, substrings, tokens, toxicity
 from .common import documents_of
 
 
@@ -12,6 +12,10 @@ def op1_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated_words(documents_of(spark, sf_dir)).drop("kept")
 
 
+def op2_semi_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find(documents_of(spark, sf_dir)).drop("text"))
+
+
 def op3_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents_of(spark, sf_dir), width=2)
 
@@ -48,6 +52,7 @@ def op10_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_recompression": op1_recompression,
+    "op2_semi_markov": op2_semi_markov,
     "op3_setsketch": op3_setsketch,
     "op4_seekable_tokens": op4_seekable_tokens,
     "op5_prefix_doubling": op5_prefix_doubling,

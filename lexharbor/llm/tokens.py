@@ -16,6 +16,7 @@ A reader takes the tail, then the index, then the frames of the documents it wan
 from __future__ import annotations
 
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -35,8 +36,9 @@ from .common import LOWEST, Words, id_and_text, order_ids, small_batches, total_
 SKIP_INDEX, SKIP_SEEK, SEEK_MAGIC, CHECKSUMS = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
 FRAME_BYTES = 256 << 10
 SHARD_BYTES = 32 << 20
-# Words whose ids a Python worker remembers; beyond that it starts afresh.
-KNOWN_WORDS = 200_000
+# Pieces whose ids a Python worker remembers; beyond that it starts afresh.
+KNOWN_PIECES = 3_000_000
+LINE = 200
 END_ID = 2
 ENTRY = np.dtype([("doc_id", "<i8"), ("frame", "<u4"), ("n", "<u4")])
 
@@ -46,52 +48,120 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# Kinds of bytes between which this kind of tokenizer always starts a new piece: ASCII letters,
+# digits and other signs. A quote may begin a contraction and "<" a special token: such words stay
+# whole. Bytes beyond ASCII belong to no kind, so nothing is cut at them.
+KINDS = np.zeros(256, dtype=np.int8)
+KINDS[33:127], KINDS[48:58], KINDS[65:91], KINDS[97:123] = 3, 2, 1, 1
+WHOLE = np.zeros(256, dtype=bool)
+WHOLE[[ord("'"), ord("<")]] = True
+
+
 class Encoder:
-    """Ids of many texts; each distinct word is encoded once.
+    """Ids of many texts; each distinct piece of a text is encoded once by the library.
 
-    White space ends every token of this kind of tokenizer, so the ids of a text are those of its
-    words one after another; ``by_word`` False encodes texts whole, for tokenizers of other kinds.
+    White space, and a change between ASCII letters, digits and signs, ends every token of this
+    kind of tokenizer, which also ignores case, so the ids of a text are those of its pieces one
+    after another. ``by_piece`` False encodes texts whole, for tokenizers of other kinds. What is
+    known is held in flat arrays: names in order, a check (length and first bytes), ids.
     """
 
-    def __init__(self, path: str, by_word: bool = True):
+    def __init__(self, path: str, by_piece: bool = True):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_word = by_word
-        self.known: dict[bytes, bytes] = {}
+        self.by_piece = by_piece
         # added tokens may carry ids above the vocabulary's count
         self.width = 2 if max(self.tokenizer.get_vocab().values()) < 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
+        self.forget()
+
+    def forget(self) -> None:
+        self.names = np.zeros(0, dtype=np.uint64)
+        self.checks = np.zeros(0, dtype=np.uint64)
+        self.at = np.zeros(0, dtype=np.int64)
+        self.size = np.zeros(0, dtype=np.int32)
+        self.pool = np.zeros(0, dtype=self.kind)
+
+    def _find(self, names: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Places of the pieces among the known ones, -1 for others."""
+        if not len(self.names):
+            return np.full(len(names), -1)
+        at = np.minimum(np.searchsorted(self.names, names), len(self.names) - 1)
+        return np.where((self.names[at] == names) & (self.checks[at] == checks), at, -1)
+
+    def _learn(self, words: Words, new: np.ndarray, checks: np.ndarray) -> None:
+        _, once = np.unique(words.names[new], return_index=True)
+        new = new[once]
+        raw = words.raw.tobytes()
+        lists = self._encoded([raw[a:b].decode() for a, b in zip(
+            words.starts[new].tolist(), words.ends[new].tolist(), strict=True)])
+        size = np.array([len(ids) for ids in lists], dtype=np.int32)
+        at = len(self.pool) + np.cumsum(size) - size
+        self.pool = np.concatenate([self.pool, np.array([i for ids in lists for i in ids],
+                                                        dtype=self.kind)])
+        names = np.concatenate([self.names, words.names[new]])
+        order = np.argsort(names, kind="stable")
+        self.names = names[order]
+        self.checks = np.concatenate([self.checks, checks[new]])[order]
+        self.at = np.concatenate([self.at, at])[order]
+        self.size = np.concatenate([self.size, size])[order]
+
+    def _encoded(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of each piece. Plain lower-case words go to the library many to a text."""
+        low = [p.lower() for p in pieces]
+        plain = [k for k, p in enumerate(low)
+                 if p.isalpha() and unicodedata.is_normalized("NFC", p) and p == p.casefold()]
+        out: list[list[int] | None] = [None] * len(pieces)
+        lines = [plain[i:i + LINE] for i in range(0, len(plain), LINE)]
+        for line, e in zip(lines, self.tokenizer.encode_batch_fast(
+                [" ".join(low[k] for k in line) for line in lines],
+                add_special_tokens=False), strict=True):
+            ids, of = e.ids, e.word_ids
+            if not ids or of[-1] != len(line) - 1:
+                continue
+            for k in line:
+                out[k] = []
+            for i, w in zip(ids, of, strict=True):
+                out[line[w]].append(i)
+        rest = [k for k, ids in enumerate(out) if ids is None]
+        for k, e in zip(rest, self.tokenizer.encode_batch_fast(
+                [pieces[k] for k in rest], add_special_tokens=False), strict=True):
+            out[k] = e.ids
+        return out
 
     def __call__(self, column, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by ``end_id``, and how many each text has."""
-        if not self.by_word:
-            lists = [e.ids + [end_id] for e in self.tokenizer.encode_batch(
-                column.to_pylist(), add_special_tokens=False)]
-            flat = np.array([i for ids in lists for i in ids], dtype=self.kind)
-            return flat, np.array([len(ids) for ids in lists], dtype=np.int64)
-        words = Words(column)
-        _, first, back = np.unique(words.names, return_index=True, return_inverse=True)
-        raw = words.raw.tobytes()
-        spelled = [raw[a:b] for a, b in zip(words.starts[first].tolist(),
-                                            words.ends[first].tolist(), strict=True)]
-        if len(self.known) > KNOWN_WORDS:
-            self.known = {}
-        new = [w for w in spelled if w not in self.known]
-        for w, e in zip(new, self.tokenizer.encode_batch(
-                [w.decode() for w in new], add_special_tokens=False), strict=True):
-            self.known[w] = np.array(e.ids, dtype=self.kind).tobytes()
-        # one more entry, the end of a document
-        pieces = [self.known[w] for w in spelled] + [np.array([end_id], self.kind).tobytes()]
-        pool = np.frombuffer(b"".join(pieces), dtype=self.kind)
-        size = np.array([len(p) // self.width for p in pieces], dtype=np.int64)
-        at = np.cumsum(size) - size
+        if not self.by_piece:
+            return self._joined([e.ids for e in self.tokenizer.encode_batch(
+                column.to_pylist(), add_special_tokens=False)], end_id)
+        words = Words(column, lower=True, split=KINDS, whole=WHOLE)
+        if len(self.names) > KNOWN_PIECES:
+            self.forget()
+        padded = np.concatenate([words.raw, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(words.raw) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+        length = words.ends - words.starts
+        keep = np.uint64(0xFFFFFFFFFFFFFFFF) >> (64 - 8 * np.minimum(length, 8)).astype(np.uint64)
+        # letters differ by bit 32 in case only
+        checks = ((eight[words.starts] & keep) | np.uint64(0x2020202020202020)) \
+            + (length.astype(np.uint64) << np.uint64(56))
+        place = self._find(words.names, checks)
+        if (place < 0).any():
+            self._learn(words, np.flatnonzero(place < 0), checks)
+            place = self._find(words.names, checks)
+            if (place < 0).any():   # two pieces with one name: leave such a batch to the library
+                return self._joined([e.ids for e in self.tokenizer.encode_batch(
+                    column.to_pylist(), add_special_tokens=False)], end_id)
         ends = np.cumsum(words.counts)
-        order = np.insert(back, ends, len(pieces) - 1)
-        each = size[order]
-        stop = np.cumsum(each)
-        take = np.arange(stop[-1] if len(stop) else 0) + np.repeat(at[order] - (stop - each), each)
-        tokens = np.diff(stop[ends + np.arange(len(ends))], prepend=0)
-        return pool[take], tokens
+        size = np.insert(self.size[place], ends, 1)
+        at = np.insert(self.at[place], ends, len(self.pool))
+        stop = np.cumsum(size)
+        take = np.arange(stop[-1] if len(stop) else 0) + np.repeat(at - (stop - size), size)
+        pool = np.append(self.pool, np.array([end_id], dtype=self.kind))
+        return pool[take], np.diff(stop[ends + np.arange(len(ends))], prepend=0)
+
+    def _joined(self, lists, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        flat = np.array([i for ids in lists for i in (*ids, end_id)], dtype=self.kind)
+        return flat, np.array([len(ids) + 1 for ids in lists], dtype=np.int64)
 
 
 def write_shard(sink, chunks: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]],
@@ -173,7 +243,7 @@ def open_shard(path: str) -> Shard:
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end_id: int = END_ID,
-                 by_word: bool = True, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+                 by_piece: bool = True, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Write all documents as shards under ``folder``; returns ``shard, path, n_docs, n_tokens``.
 
     ``shard`` counts in ascending ``doc_id`` order (null ids first, equal ids by text). Documents
@@ -203,7 +273,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
                     tokens, counts = encoder(b.column("text"), end_id)
                     yield ids, tokens, counts
 
-        encoder = Encoder(path, by_word)
+        encoder = Encoder(path, by_piece)
         where, inner = pafs.FileSystem.from_uri(folder)
         where.create_dir(inner, recursive=True)
         name = f"tokens-{uuid.uuid4().hex}.zst"
