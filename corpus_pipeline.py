@@ -1,13 +1,77 @@
-"""From raw documents to token files, in five stages."""
+"""From raw documents to token files: five stages, each on all that its predecessor kept.
+
+1. toxicity: documents that the classifier predicts as toxic go.
+2. near_duplicates: of documents alike in four fifths of their five-word shingles one stays.
+3. decontamination: documents that hold four fifths of a benchmark item's shingles go.
+4. mixing: documents are repeated or left out so that sources come to their target weights.
+5. tokens: what is left is written as token shards and read back.
+
+Each stage is a function of (spark, docs, sf_dir); all but the last return the columns of
+``documents``. Every stage takes empty tables, null texts and ids, repeated rows and extra columns.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexharbor.llm import containment, mixing, neardup, tokens, toxicity
+from lexharbor.llm.common import documents_of
+from lexharbor.session import materialize
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not among ``ids``; a null id is one like any other."""
+    gone = ids.select(F.col("doc_id").alias("gone_id")).distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+
+
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Trained on the labelled rows of ``documents``; a score under the threshold stays."""
+    model = toxicity.train(documents_of(spark, sf_dir), documents_of(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.filter("predicted = 0").select(docs.columns)
+
+
+def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each component stays."""
+    found = neardup.near_duplicates(docs)
+    return without(docs, found.filter("NOT kept"))
+
+
+def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without(docs, containment.contained_items(docs, documents_of(spark, sf_dir, "benchmark")))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A document taken twice is two rows; rows that repeat an id are taken alike."""
+    taken = (mixing.mix(docs).groupBy(F.col("doc_id").alias("mix_id"))
+             .agg(F.max("repeats").cast("int").alias("mix_repeats")))
+    return (docs.join(taken, docs["doc_id"].eqNullSafe(taken["mix_id"]))
+            .filter("mix_repeats > 0")
+            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_repeats"))))
+            .select(*[docs[c] for c in docs.columns]))
+
+
+def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return tokens.tokenised(spark, docs)
+
+
+STAGES = [
+    ("toxicity", toxic_out),
+    ("near_duplicates", near_duplicates_out),
+    ("decontamination", benchmark_out),
+    ("mixing", mixed),
+    ("tokens", token_files),
+]
+
+# The stages' classifier, sketches and tokenizer are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each one's rows written before the next reads them."""
+    docs = documents_of(spark, sf_dir)
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -441,8 +441,10 @@ def digest(found: DataFrame) -> DataFrame:
         return F.array_join(F.transform(spans, lambda x: F.concat_ws(
             ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
+    def count(kind):
+        return F.size(F.filter("spans", lambda x: x["base"] & (x["kind"] == kind))).cast("long")
+
     base = F.filter("spans", lambda x: x["base"])
-    counts = [F.size(F.filter("spans", lambda x, k=k: x["base"] & (x["kind"] == k)))
-              .cast("long").alias(f"n_{k}") for k in KINDS]
+    counts = [count(k).alias(f"n_{k}") for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
