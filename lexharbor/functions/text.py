@@ -75,13 +75,16 @@ def path_bucket(path: Column, buckets: int) -> Column:
 
 
 def ancestors_of(path: Column) -> Column:
-    """The path itself and every folder above it, as full strings."""
+    """The path itself and every folder above it, as full strings; ``/`` tops an absolute one."""
     parts = F.split(path, "/")
-    return F.filter(
+    own = F.filter(
         F.transform(F.sequence(F.lit(1), F.size(parts)),
                     lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/")),
         lambda p: p != F.lit(""),
     )
+    top = F.when(path.startswith("/"), F.array(F.lit("/"))).otherwise(
+        F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(top, own))
 
 
 def prefixes_of(text: Column, lengths: list[int]) -> Column:

@@ -24,9 +24,14 @@ def events_in_roots(events: DataFrame, roots: DataFrame, mode: str = RAW) -> Dat
     return events.join(found.select("seq").distinct(), "seq", "left_semi")
 
 
-def last_deletes(events: DataFrame) -> DataFrame:
-    """``(prefix, del_seq)``: the last removal of each path."""
-    return (events.filter(F.col("kind") == DELETE)
+def removals(events: DataFrame, mode: str = RAW) -> DataFrame:
+    """``(prefix, del_seq)``: the last removal of each path.
+
+    A modification is a removal followed by an addition, so by raw prefixes it also takes
+    the other paths that begin with its own; its own write has the same ``seq`` and stays.
+    """
+    kinds = [DELETE, MODIFY] if mode == RAW else [DELETE]
+    return (events.filter(F.col("kind").isin(kinds))
             .groupBy(F.col("path").alias("prefix")).agg(F.max("seq").alias("del_seq")))
 
 
@@ -38,7 +43,7 @@ def fold_changes(events: DataFrame, mode: str = RAW) -> DataFrame:
     """
     check_mode(mode)
     writes = latest(events.filter(F.col("kind").isin(CREATE, MODIFY)).drop("kind"))
-    gone = (match_prefixes(writes.select("path", "seq"), last_deletes(events), mode)
+    gone = (match_prefixes(writes.select("path", "seq"), removals(events, mode), mode)
             .filter("del_seq > seq").select("path").distinct())
     return writes.join(gone, "path", "left_anti")
 
@@ -47,7 +52,7 @@ def apply_changes(base: DataFrame, events: DataFrame, mode: str = RAW) -> DataFr
     """``base`` after the events: folded writes replace, removals take the rest."""
     live = fold_changes(events, mode)
     written = events.filter(F.col("kind").isin(CREATE, MODIFY)).select("path")
-    removed = match_prefixes(base.select("path"), last_deletes(events), mode).select("path")
+    removed = match_prefixes(base.select("path"), removals(events, mode), mode).select("path")
     touched = written.unionByName(removed).distinct()
     return (base.join(touched, "path", "left_anti")
             .unionByName(live.select(*base.columns)))

@@ -16,6 +16,20 @@ def latest(batch: DataFrame, order: str = "seq") -> DataFrame:
             .select("path", "row.*"))
 
 
+def one_per_path(rows: DataFrame) -> DataFrame:
+    """One row per path: the greatest by the other columns, so reruns agree.
+
+    Where there is an order among the rows of a path, take :func:`latest` first.
+    """
+    rest = [c for c in rows.columns if c != "path"]
+    return rows.groupBy("path").agg(F.max(F.struct(*rest)).alias("row")).select("path", "row.*")
+
+
+def repeated_paths(rows: DataFrame) -> DataFrame:
+    """``(path)`` of the paths that stand in more than one row; only paths are shuffled."""
+    return rows.groupBy("path").count().filter(F.col("count") > 1).select("path")
+
+
 def upsert(base: DataFrame, batch: DataFrame) -> DataFrame:
     """``base`` with the rows of ``batch`` in place of those with the same path.
 

@@ -132,8 +132,17 @@ class Snapshots:
          .write.mode("append").partitionBy("v").parquet(f"{self.root}/manifest"))
 
     def publish(self, docs: DataFrame) -> Index:
-        """Replace everything by ``docs``; creates the index if there is none."""
+        """Replace everything by ``docs``; creates the index if there is none.
+
+        A path has one document: of rows that share one, the greatest is kept. Only the
+        rows of such paths are gathered for that.
+        """
         v, _, buckets, batch = self.state()
+        docs = docs.select(*DOC_COLUMNS)
+        twice = materialize(maintain.repeated_paths(docs), "repeated")
+        if not twice.isEmpty():
+            several = maintain.one_per_path(docs.join(twice, "path", "left_semi"))
+            docs = docs.join(twice, "path", "left_anti").unionByName(several)
         held = self._write(docs, v + 1, buckets)
         self._commit(v + 1, held, buckets, batch)
         return self._index(held)
@@ -145,7 +154,12 @@ class Snapshots:
         old = {b: held[b] for b in touched if b in held}
         kept = {b: w for b, w in held.items() if b not in old}
         docs = change(self._table("docs", old).select(*DOC_COLUMNS))
-        held = {**kept, **self._write(docs, v + 1, buckets)}
+        written = self._write(docs, v + 1, buckets)
+        strays = sorted(set(written) - set(touched))
+        if strays:
+            raise RuntimeError(f"rows fell into buckets {strays[:5]} that were not read; "
+                               "nothing was committed")
+        held = {**kept, **written}
         self._commit(v + 1, held, buckets, batch_id)
         return self._index(held)
 
@@ -156,9 +170,12 @@ class Snapshots:
         return [r["b"] for r in found.collect()]
 
     def upsert(self, batch: DataFrame) -> Index:
-        """Add or replace documents; ``batch`` has one row per path."""
-        return self._rewrite(self._buckets_of(batch),
-                             lambda docs: maintain.upsert(docs, batch.select(*DOC_COLUMNS)))
+        """Add or replace documents; of rows with one path the greatest counts.
+
+        The batch is stored first, so buckets and rows come from one evaluation of it.
+        """
+        batch = materialize(maintain.one_per_path(batch.select(*DOC_COLUMNS)), "batch")
+        return self._rewrite(self._buckets_of(batch), lambda docs: maintain.upsert(docs, batch))
 
     def remove(self, root: str, mode: str = RAW) -> Index:
         """Remove the documents under one root."""
@@ -169,6 +186,7 @@ class Snapshots:
     def reindex(self, roots: DataFrame, scan: DataFrame, mode: str = RAW) -> Index:
         """Replace what lies under any of the roots by a fresh scan of them."""
         docs = self.open().docs
+        scan = materialize(maintain.one_per_path(scan.select(*DOC_COLUMNS)), "scan")
         prefixes = roots.select(F.col("path").alias("prefix"))
         hit = maintain.paths_under(docs, prefixes, mode).unionByName(scan.select("path"))
         return self._rewrite(self._buckets_of(hit),
@@ -176,6 +194,7 @@ class Snapshots:
 
     def reconcile(self, scan: DataFrame) -> Index:
         """Bring the index level with a full scan, rewriting only buckets that differ."""
+        scan = materialize(maintain.one_per_path(scan.select(*DOC_COLUMNS)), "scan")
         body = F.md5(F.concat_ws("\u0000", "lang", "title", "body")).alias("hash")
         docs = self.open().docs
         diff = materialize(changes.snapshot_diff(
@@ -201,8 +220,9 @@ class Snapshots:
         if batch_id is not None and batch_id <= last:
             return self._index(held)
         docs = self._index(held).docs
+        events = materialize(events, "events")
         written = events.filter(F.col("kind").isin(changes.CREATE, changes.MODIFY))
-        removed = match_prefixes(docs.select("path"), changes.last_deletes(events), mode)
+        removed = match_prefixes(docs.select("path"), changes.removals(events, mode), mode)
         paths = written.select("path").unionByName(removed.select("path"))
         return self._rewrite(self._buckets_of(paths),
                              lambda d: changes.apply_changes(d, events, mode), batch_id)

@@ -258,9 +258,11 @@ FOLDED = """writes AS (
   SELECT path, max(seq) AS seq, arg_max(body, seq) AS body FROM changes
   WHERE kind IN ('CREATE', 'MODIFY') GROUP BY path),
 dels AS (SELECT path AS prefix, max(seq) AS del_seq FROM changes WHERE kind = 'DELETE' GROUP BY 1),
+raw_dels AS (SELECT path AS prefix, max(seq) AS del_seq FROM changes
+             WHERE kind IN ('DELETE', 'MODIFY') GROUP BY 1),
 raw_live AS (
   SELECT * FROM writes w WHERE NOT EXISTS (
-    SELECT 1 FROM dels WHERE starts_with(w.path, prefix) AND del_seq > w.seq)),
+    SELECT 1 FROM raw_dels WHERE starts_with(w.path, prefix) AND del_seq > w.seq)),
 seg_live AS (
   SELECT * FROM writes w WHERE NOT EXISTS (
     SELECT 1 FROM dels WHERE (w.path = prefix OR starts_with(w.path, prefix || '/'))

@@ -43,12 +43,53 @@ def test_fold_equals_replay(spark, mode):
                 lambda p: p == folder or p.startswith(folder + "/"))
             live = {p: s for p, s in live.items() if not under(p)}
         else:
-            rows.append((seq, rng.choice(["CREATE", "MODIFY"]), f"{folder}/{rng.randint(0, 4)}"))
-            live[rows[-1][2]] = seq
+            kind, path = rng.choice(["CREATE", "MODIFY"]), f"{folder}/{rng.randint(0, 14)}"
+            rows.append((seq, kind, path))
+            if kind == "MODIFY" and mode == RAW:   # a removal by prefix, then an addition
+                live = {p: s for p, s in live.items() if not p.startswith(path)}
+            live[path] = seq
     got = changes.fold_changes(events_of(spark, rows), mode).collect()
     assert {r.path: r.seq for r in got} == live
 
 
+def test_modify_takes_longer_names_in_raw_mode(spark):
+    events = events_of(spark, [(1, "CREATE", "/c/a"), (2, "CREATE", "/c/ab"), (3, "MODIFY", "/c/a")])
+    assert paths(changes.fold_changes(events, RAW)) == ["/c/a"]
+    assert paths(changes.fold_changes(events, SEGMENT)) == ["/c/a", "/c/ab"]
+
+
+def test_root_folder_matches_alike_in_both_forms(spark):
+    docs = spark.createDataFrame([("/c/a",), ("/d",), ("e/f",), ("/",)], "path string")
+    for root, left in (("/", ["e/f"]), ("/c", ["/", "/d", "e/f"]), ("/c/", ["/", "/d", "e/f"])):
+        table = spark.createDataFrame([(root,)], "prefix string")
+        assert paths(maintain.remove_under(docs, root, SEGMENT)) == left
+        assert paths(maintain.remove_prefixes(docs, table, SEGMENT)) == left
+
+
+def test_batch_that_changes_between_evaluations_loses_no_document(spark):
+    columns = "path string, lang string, title string, body string"
+    docs = spark.createDataFrame([(f"/c/{i}", "en", "t", f"b{i}") for i in range(40)], columns)
+    store = Snapshots(spark, scratch_path(spark, "moving"), DEFAULT, buckets=8)
+    store.publish(docs)
+    for k in range(3):
+        moving = docs.limit(1).withColumn("path", F.concat(F.lit(f"/new{k}/"), F.uuid()))
+        store.upsert(moving)
+    assert store.open().docs.count() == 43
+
+
+def test_a_path_is_stored_once(spark):
+    columns = "path string, lang string, title string, body string"
+    twice = spark.createDataFrame([("/c/1", "en", "t", "old words"), ("/c/1", "en", "t", "words"),
+                                   ("/c/2", "en", "t", "words")], columns)
+    store = Snapshots(spark, scratch_path(spark, "twice"), DEFAULT, buckets=4)
+    index = store.publish(twice)
+    assert paths(index.docs) == ["/c/1", "/c/2"]
+    df = {r.term: r.df for r in index.term_stats().filter("field = 'body'").collect()}
+    assert df == {"word": 2}
+    roots = spark.createDataFrame([(1, "/c"), (2, "/c/1")], "seq long, path string")
+    assert paths(store.reindex(roots, twice.union(twice)).docs) == ["/c/1", "/c/2"]
+
+
 def test_listing_diff(spark):
     old = spark.createDataFrame([("p1", 1, 10), ("p2", 1, 20), ("p3", 1, 30)],
                                 "path string, mtime int, length long")
