@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 # Text held by one block of documents; Python tasks hold a few blocks' arrays at a time.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 # Documents are big rows: so many go to Python in one Arrow batch.
 BATCH_ROWS = 512
 LOWEST = -(2 ** 63)

@@ -70,8 +70,13 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.by_piece = by_piece
+        vocabulary = self.tokenizer.get_vocab()
         # added tokens may carry ids above the vocabulary's count
-        self.width = 2 if max(self.tokenizer.get_vocab().values()) < 1 << 16 else 4
+        top = max(vocabulary.values())
+        self.width = 2 if top < 1 << 16 else 4
+        # ids of tokens that end a word, as this kind of vocabulary marks them
+        self.last = np.zeros(top + 1, dtype=bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.kind = np.dtype(f"<u{self.width}")
         self.forget()
 
@@ -93,12 +98,10 @@ class Encoder:
         _, once = np.unique(words.names[new], return_index=True)
         new = new[once]
         raw = words.raw.tobytes()
-        lists = self._encoded([raw[a:b].decode() for a, b in zip(
+        ids, at, size = self._encoded([raw[a:b].decode() for a, b in zip(
             words.starts[new].tolist(), words.ends[new].tolist(), strict=True)])
-        size = np.array([len(ids) for ids in lists], dtype=np.int32)
-        at = len(self.pool) + np.cumsum(size) - size
-        self.pool = np.concatenate([self.pool, np.array([i for ids in lists for i in ids],
-                                                        dtype=self.kind)])
+        at += len(self.pool)
+        self.pool = np.concatenate([self.pool, ids])
         names = np.concatenate([self.names, words.names[new]])
         order = np.argsort(names, kind="stable")
         self.names = names[order]
@@ -106,28 +109,36 @@ class Encoder:
         self.at = np.concatenate([self.at, at])[order]
         self.size = np.concatenate([self.size, size])[order]
 
-    def _encoded(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of each piece. Plain lower-case words go to the library many to a text."""
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all pieces, and where each piece's begin and how many they are.
+
+        Plain lower-case words go to the library many to a text.
+        """
         low = [p.lower() for p in pieces]
         plain = [k for k, p in enumerate(low)
-                 if p.isalpha() and unicodedata.is_normalized("NFC", p) and p == p.casefold()]
-        out: list[list[int] | None] = [None] * len(pieces)
+                 if p.isalpha() and (p.isascii() or (unicodedata.is_normalized("NFC", p)
+                                                     and p == p.casefold()))]
+        at, size = np.zeros(len(pieces), np.int64), np.full(len(pieces), -1, np.int32)
+        parts, have = [], 0
         lines = [plain[i:i + LINE] for i in range(0, len(plain), LINE)]
         for line, e in zip(lines, self.tokenizer.encode_batch_fast(
-                [" ".join(low[k] for k in line) for line in lines],
+                [" ".join([low[k] for k in line]) for line in lines],
                 add_special_tokens=False), strict=True):
-            ids, of = e.ids, e.word_ids
-            if not ids or of[-1] != len(line) - 1:
+            ids = np.array(e.ids, dtype=self.kind)
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(line):
                 continue
-            for k in line:
-                out[k] = []
-            for i, w in zip(ids, of, strict=True):
-                out[line[w]].append(i)
-        rest = [k for k, ids in enumerate(out) if ids is None]
+            each = np.diff(ends, prepend=0)
+            at[line], size[line] = have + ends - each, each
+            parts.append(ids)
+            have += len(parts[-1])
+        rest = np.flatnonzero(size < 0).tolist()
         for k, e in zip(rest, self.tokenizer.encode_batch_fast(
                 [pieces[k] for k in rest], add_special_tokens=False), strict=True):
-            out[k] = e.ids
-        return out
+            at[k], size[k] = have, len(e.ids)
+            parts.append(np.array(e.ids, dtype=self.kind))
+            have += len(parts[-1])
+        return np.concatenate([*parts, np.zeros(0, self.kind)]), at, size
 
     def __call__(self, column, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by ``end_id``, and how many each text has."""
@@ -164,6 +175,16 @@ class Encoder:
         return flat, np.array([len(ids) + 1 for ids in lists], dtype=np.int64)
 
 
+_encoders: dict[tuple[str, bool], Encoder] = {}
+
+
+def encoder_for(path: str, by_piece: bool) -> Encoder:
+    """One encoder for all tasks of a Python worker, so that what it knows is kept."""
+    if (path, by_piece) not in _encoders:
+        _encoders[path, by_piece] = Encoder(path, by_piece)
+    return _encoders[path, by_piece]
+
+
 def write_shard(sink, chunks: Iterable[tuple[np.ndarray, np.ndarray, np.ndarray]],
                 width: int) -> tuple[int, int]:
     """Write (doc ids, ids, counts) chunks as one shard; returns documents and tokens."""
@@ -273,7 +294,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str | None = None, end
                     tokens, counts = encoder(b.column("text"), end_id)
                     yield ids, tokens, counts
 
-        encoder = Encoder(path, by_piece)
+        encoder = encoder_for(path, by_piece)
         where, inner = pafs.FileSystem.from_uri(folder)
         where.create_dir(inner, recursive=True)
         name = f"tokens-{uuid.uuid4().hex}.zst"

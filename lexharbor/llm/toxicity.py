@@ -36,10 +36,11 @@ def features(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words = Words(pc.utf8_lower(column), gaps=SIGNS)
     kinds = [words.names] + [words.heads(k) for k in HEADS]
     pad = max(WIDTHS) - 1
-    size = words.counts + pad
+    size = np.maximum(words.counts, 1) + pad
     first = np.cumsum(size) - size
     out = np.full((int(size.sum()) + pad, len(kinds)), BUCKETS, dtype=np.int32)
-    at = np.arange(len(words.names)) + np.repeat(np.arange(len(size)) * pad, words.counts)
+    at = np.arange(len(words.names)) + np.repeat(
+        first - (np.cumsum(words.counts) - words.counts), words.counts)
     for k, names in enumerate(kinds):
         out[at, k] = ((names ^ np.uint64(k * 0x9E37)) >> np.uint64(20)) % np.uint64(BUCKETS)
     return out, first, np.maximum(words.counts, 1)
@@ -98,6 +99,17 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(a * self.logits(*features(column)) + b, -30, 30)))
 
 
+def _features_of(texts: list[str], together: int = 256):
+    """``features`` of many texts, some at a time to bound the memory of their names."""
+    pad = max(WIDTHS) - 1
+    parts = [features(pa.array(texts[i:i + together], pa.string()))
+             for i in range(0, len(texts), together)] or [features(pa.array([], pa.string()))]
+    begin = np.cumsum([0] + [len(p[0]) - pad for p in parts])
+    return (np.concatenate([p[0][:-pad] for p in parts] + [parts[-1][0][-pad:]]),
+            np.concatenate([p[1] + b for p, b in zip(parts, begin)]),
+            np.concatenate([p[2] for p in parts]))
+
+
 def _pieces(ids, first, size, rows):
     """The positions of some texts, as ``features`` gives them."""
     pad = max(WIDTHS) - 1
@@ -115,7 +127,7 @@ def fit(texts: list[str], labels: np.ndarray, langs: list[str | None], seed: int
     that answered most. With one class only, the score is its share throughout.
     """
     rng = np.random.default_rng(seed)
-    ids, first, size = features(pa.array(texts, pa.string()))
+    ids, first, size = _features_of(texts)
     y = labels.astype(np.float64)
     n = len(y)
     table = rng.normal(0, 0.1, (BUCKETS + 1, SIZE)).astype(np.float32)
@@ -131,13 +143,11 @@ def fit(texts: list[str], labels: np.ndarray, langs: list[str | None], seed: int
         return model
     order = rng.permutation(n)
     held, own = order[: n // 5], order[n // 5:]
-    row = np.repeat(np.arange(n), size)
-    at = np.concatenate([np.arange(a, a + s) for a, s in zip(first, size, strict=True)])
-    seen = np.unique((row[:, None] * np.int64(BUCKETS + 1) + ids[at]).ravel())
-    doc, bucket = seen // (BUCKETS + 1), seen % (BUCKETS + 1)
-    mine = np.isin(doc, own)
-    with_one = np.bincount(bucket[mine], weights=y[doc[mine]], minlength=BUCKETS + 1)
-    with_any = np.bincount(bucket[mine], minlength=BUCKETS + 1)
+    with_one, with_any = np.zeros(BUCKETS + 1), np.zeros(BUCKETS + 1)
+    for k in own:
+        seen = np.unique(ids[first[k]:first[k] + size[k]])
+        with_any[seen] += 1
+        with_one[seen] += y[k]
     table[:, 0] = np.log((with_one + PRIOR * share) / (with_any - with_one + PRIOR * (1 - share))
                          * (1 - share) / share) / len(HEADS)
     table[BUCKETS] = 0
