@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 # Two words within two edits share a key when up to two characters are deleted from
 # the first KEY_CHARS of each, so longer words need no more keys than this.
 KEY_CHARS = 10
+# Distances are told apart up to REACH; beyond that they are FAR.
+REACH, FAR = 2, 3
 
 
 def deletion_keys(term: Column, chars: int = KEY_CHARS) -> Column:
@@ -41,23 +43,47 @@ def _codes(words: pd.Series) -> tuple[np.ndarray, np.ndarray]:
 
 @F.pandas_udf(T.IntegerType())
 def swap_distance(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Edits between two words; swapping two neighbours counts as one edit.
+    """Edits between two words, up to ``FAR``; swapping two neighbours counts as one edit.
 
-    The table of distances is filled for all pairs of the batch at once.
+    Words within two edits stay within two places of each other, so only five diagonals of
+    the table of distances are filled, two rows of it at a time, for all pairs of the batch
+    at once: memory grows with the batch alone, however long the words.
     """
     a, na = _codes(left)
     b, nb = _codes(right)
-    rows, wide, high = len(na), a.shape[1], b.shape[1]
-    table = np.zeros((wide + 1, high + 1, rows), np.int32)
-    table[:, 0, :] = np.arange(wide + 1)[:, None]
-    table[0, :, :] = np.arange(high + 1)[:, None]
+    rows, wide = len(na), a.shape[1]
+    band = np.arange(-REACH, REACH + 1)
+    pad = np.zeros((rows, REACH + 1), np.uint32)
+    b = np.concatenate([pad, b, np.zeros((rows, max(0, wide - b.shape[1]) + REACH + 1), np.uint32)], 1)
+    before = np.full((2 * REACH + 1, rows), FAR, np.int32)
+    last = np.where(band[:, None] >= 0, np.minimum(band[:, None], FAR), FAR).astype(np.int32)
+    last = np.repeat(last, rows, axis=1)
+    out = np.full(rows, FAR, np.int32)
+
+    def note(i: int, row: np.ndarray) -> None:
+        done = np.flatnonzero((na == i) & (np.abs(nb - i) <= REACH))
+        out[done] = row[(nb[done] - i) + REACH, done]
+
+    note(0, last)
     for i in range(1, wide + 1):
-        for j in range(1, high + 1):
-            differ = (a[:, i - 1] != b[:, j - 1]).astype(np.int32)
-            best = np.minimum(table[i - 1, j], table[i, j - 1]) + 1
-            best = np.minimum(best, table[i - 1, j - 1] + differ)
+        row = np.full_like(last, FAR)
+        for k, d in enumerate(band.tolist()):
+            j = i + d
+            if j < 0:
+                continue
+            if j == 0:
+                row[k] = min(i, FAR)
+                continue
+            at = j + REACH          # column of b's j-th sign
+            best = last[k] + (a[:, i - 1] != b[:, at])
+            if k + 1 <= 2 * REACH:
+                best = np.minimum(best, last[k + 1] + 1)
+            if k:
+                best = np.minimum(best, row[k - 1] + 1)
             if i > 1 and j > 1:
-                swapped = (a[:, i - 1] == b[:, j - 2]) & (a[:, i - 2] == b[:, j - 1])
-                best = np.where(swapped, np.minimum(best, table[i - 2, j - 2] + 1), best)
-            table[i, j] = best
-    return pd.Series(table[na, nb, np.arange(rows)], dtype="int32")
+                swapped = (a[:, i - 1] == b[:, at - 1]) & (a[:, i - 2] == b[:, at])
+                best = np.where(swapped, np.minimum(best, before[k] + 1), best)
+            row[k] = np.minimum(best, FAR)
+        note(i, row)
+        before, last = last, row
+    return pd.Series(out, dtype="int32")

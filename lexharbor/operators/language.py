@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# Grams kept per language, share of an unseen gram, least lead per gram
-# (in thousandths of a nat) for a verdict to be certain.
-PROFILE_GRAMS, UNSEEN_SHARE, MARGIN = 400, 0.00001, 100
+from lexharbor.session import BROADCAST_ROWS, broadcast_within, count_up_to
+
+# Share of an unseen gram, least lead per gram (in thousandths of a nat) for a
+# verdict to be certain.
+UNSEEN_SHARE, MARGIN = 0.00001, 100
 
 
 def grams(text: Column, n: int = 3) -> Column:
@@ -21,22 +23,24 @@ def grams(text: Column, n: int = 3) -> Column:
                                 F.lit(f"(?=(.{{{n}}}))"), F.lit(1))
 
 
-def train(labelled: DataFrame) -> DataFrame:
-    """``(lang, gram, weight)`` from ``(lang, text)``: the commonest grams of each language.
+def train(labelled: DataFrame, keep: int | None = None) -> DataFrame:
+    """``(lang, gram, weight)`` from ``(lang, text)``: the grams of each language.
 
     A weight is how far the log share of a gram exceeds that of an unseen one, as a
-    whole number of thousandths, so sums do not depend on their order. The model holds
-    ``PROFILE_GRAMS`` rows per language at most, whatever the size of the sample.
+    whole number of thousandths, so sums do not depend on their order. All grams are
+    kept; ``keep`` asks for a smaller model of that many commonest grams per language.
     """
     counts = (labelled.select("lang", F.explode_outer(grams(F.col("text"))).alias("gram"))
               .filter("gram is not null")
               .groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n")))
-    of_lang = Window.partitionBy("lang")
-    kept = (counts.withColumn("place", F.row_number().over(of_lang.orderBy(F.desc("n"), "gram")))
-            .filter(F.col("place") <= PROFILE_GRAMS))
+    kept = counts
+    if keep is not None:
+        commonest = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
+        kept = (counts.withColumn("place", F.row_number().over(commonest))
+                .filter(F.col("place") <= keep))
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     share = F.col("n").cast("double") / F.col("total").cast("double")
-    return kept.join(F.broadcast(totals), "lang").select(
+    return kept.join(totals, "lang").select(
         "lang", "gram", F.round(F.lit(1000.0) * F.log(share / F.lit(UNSEEN_SHARE)))
         .cast("long").alias("weight")).filter("weight > 0")
 
@@ -45,15 +49,16 @@ def detect(docs: DataFrame, profile: DataFrame, key: str = "path", text: str = "
            margin: int = MARGIN) -> DataFrame:
     """``(key, detected, score, runner_up, n_grams, certain)`` for every document.
 
-    Grams explode within the row and meet the model by broadcast (its size is fixed by
-    ``PROFILE_GRAMS``); partial sums leave one row per document and language before
-    the only shuffle. Certain means the best language leads the next by ``margin``
+    Grams explode within the row and meet the model, by broadcast if a count shows it
+    small; partial sums leave one row per document and language before the next
+    shuffle. Certain means the best language leads the next by ``margin``
     per gram. Documents without a known gram have no language.
     """
     cut = (docs.select(key, grams(F.col(text)).alias("grams"))
            .select(key, F.size("grams").alias("n_grams"), F.explode_outer("grams").alias("gram"))
            .filter("gram is not null"))
-    sums = (cut.join(F.broadcast(profile), "gram")
+    rows = count_up_to(profile, BROADCAST_ROWS)
+    sums = (cut.join(broadcast_within(profile, rows), "gram")
             .groupBy(key, "n_grams", "lang").agg(F.sum("weight").alias("score")))
     ranked = sums.groupBy(key, "n_grams").agg(F.sort_array(F.collect_list(
         F.struct((-F.col("score")).alias("minus"), F.col("lang").alias("lang")))).alias("best"))

@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexharbor.functions.text import kept_length
+from lexharbor.functions.text import kept_length, path_bucket
 from lexharbor.operators import postings as P
 from lexharbor.operators.analysis import DEFAULT, Registry
+from lexharbor.session import BROADCAST_ROWS
 
 # Up to this many distinct terms are pushed into the scan as a filter.
 PUSHED_TERMS = 200
@@ -30,6 +31,20 @@ class Index:
     registry: Registry = DEFAULT
     exact_len: bool = False
     stored: bool = False
+    # the stored documents with their bucket, and how many buckets there are
+    by_bucket: DataFrame | None = None
+    buckets: int = 0
+
+    def docs_of(self, hits: DataFrame, rows: int) -> DataFrame:
+        """The documents a join with ``hits(path)`` may need; ``rows`` bounds the hits.
+
+        A stored index keeps each bucket in a folder of its own, so only the folders of the
+        hits' paths are opened. There are no more bucket numbers than buckets.
+        """
+        if self.by_bucket is None or rows > BROADCAST_ROWS:
+            return self.docs
+        wanted = hits.select(path_bucket(F.col("path"), self.buckets).alias("b")).distinct()
+        return self.by_bucket.filter(F.col("bucket").isin([r["b"] for r in wanted.collect()]))
 
     def norm(self, length: Column) -> Column:
         """Length as the ranking sees it: kept in one byte unless ``exact_len``."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexharbor.operators import lookup, ranking, snippets
@@ -28,13 +28,19 @@ class Found:
     snippets: DataFrame | None = None
 
 
-def validate(queries: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(accepted, rejected(query_id, reason))``; only a phrase may hold a space."""
-    spaced = (F.col("kind") != PHRASE) & F.col("text").contains(" ")
-    unknown = ~F.col("kind").isin(*KINDS)
-    reason = (F.when(unknown, F.concat(F.lit("unknown kind "), "kind"))
-              .when(spaced, F.concat(F.upper("kind"),
-                                     F.lit(" query should contain exactly one word."))))
+def validate(queries: DataFrame, kinds=KINDS) -> tuple[DataFrame, DataFrame]:
+    """``(accepted, rejected(query_id, reason))``: every query is in one of the two.
+
+    Rejected are kinds that are null, unknown or not among ``kinds``, null and empty texts,
+    and spaces in anything but a phrase.
+    """
+    kind, text = F.col("kind"), F.col("text")
+    reason = (F.when(kind.isNull(), F.lit("no kind given"))
+              .when(~kind.isin(*KINDS), F.concat(F.lit("unknown kind "), kind))
+              .when(~kind.isin(*kinds), F.concat(F.lit("kind not asked for: "), kind))
+              .when(text.isNull() | (text == ""), F.lit("nothing to look for"))
+              .when((kind != PHRASE) & text.contains(" "),
+                    F.concat(F.lit("one word expected in a query of kind "), kind)))
     judged = queries.withColumn("reason", reason)
     return (judged.filter("reason is null").drop("reason"),
             judged.filter("reason is not null").select("query_id", "reason"))
@@ -87,19 +93,22 @@ def search_hits(index: Index, queries: DataFrame, kinds=KINDS,
 
 def search(index: Index, queries: DataFrame, k: int | None = None, details: bool = False,
            kinds=KINDS, gap_aware: bool = False, pre: str = "<b>", post: str = "</b>") -> Found:
-    """Run ``queries(query_id, kind, lang, text)``; ``kinds`` names those that may occur.
+    """Run ``queries(query_id, kind, lang, text)``; those of kinds not in ``kinds`` are rejected.
 
     ``k`` limits the hits shown per query, not those counted; ``None`` or 0 shows all.
     ``details`` adds snippets of the hits shown.
     """
     k = ranking.check_limit(k)
-    accepted, rejected = validate(queries)
+    accepted, rejected = validate(queries, kinds)
     hits = search_hits(index, accepted, kinds, gap_aware)
     if k is None:
         # ranking everything reads the hits several times: look them up once
         hits = materialize(hits, "hits")
     n_queries = count_up_to(queries, BROADCAST_ROWS)
     shown = ranking.ranked(hits, k, n_queries)
+    if details:
+        # the snippets read the hits shown several times
+        shown = materialize(shown, "shown")
     found = Found(shown, ranking.hit_counts(hits), rejected)
     if details:
         bound = BROADCAST_ROWS + 1 if k is None else k * n_queries
@@ -159,24 +168,30 @@ def winning_fragments(index: Index, queries: DataFrame, shown: DataFrame, rows:
 
 
 def _bodies(index: Index, hits: DataFrame, rows: int) -> DataFrame:
-    docs = index.docs.select("path", "lang", "body")
+    docs = index.docs_of(hits, rows).select("path", "lang", "body")
     return docs.join(broadcast_within(hits, rows), "path")
 
 
 def snippets_of(index: Index, queries: DataFrame, shown: DataFrame, rows: int, kinds=KINDS,
                 gap_aware: bool = False, pre: str = "<b>", post: str = "</b>") -> DataFrame:
-    """``(query_id, path, rank, frag_no, score, text)``: snippets of the hits shown, best
-    first by ``frag_rank``. A hit without any (a path match, another field's match)
-    keeps one row with no text. ``rows`` bounds ``shown``."""
+    """``(query_id, path, rank, frag_rank, frag_no, score, text)``: snippets of the hits shown.
+
+    ``frag_rank`` counts a hit's fragments best first, equal scores by place in the text. A hit
+    without any (a path match, another field's match) keeps one row with no text. ``rows``
+    bounds ``shown``.
+    """
     won = winning_fragments(index, queries, shown, rows, kinds, gap_aware)
     base = shown.select("query_id", "path", "rank")
     if won is None:
-        return base.select("*", F.lit(None).cast("int").alias("frag_no"),
+        return base.select("*", F.lit(None).cast("int").alias("frag_rank"),
+                           F.lit(None).cast("int").alias("frag_no"),
                            F.lit(None).cast("double").alias("score"),
                            F.lit(None).cast("string").alias("text"))
-    texts = (index.docs.select("path", "body")
+    best = Window.partitionBy("query_id", "path").orderBy(F.desc("score"), "frag_no")
+    won = materialize(won.withColumn("frag_rank", F.row_number().over(best)), "fragments")
+    texts = (index.docs_of(won, rows).select("path", "body")
              .join(broadcast_within(won, rows * snippets.BEST), "path")
-             .select("query_id", "path", "frag_no", F.col("score"), snippets.marked_text(
+             .select("query_id", "path", "frag_rank", "frag_no", F.col("score"), snippets.marked_text(
                  F.col("body"), F.col("start"), F.col("end"), F.col("marks"), pre, post)
                  .alias("text")))
     return base.join(texts, ["query_id", "path"], "left")

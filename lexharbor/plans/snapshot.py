@@ -80,12 +80,14 @@ class Snapshots:
 
     def open(self) -> Index:
         """The newest version; later ones do not change what this index reads."""
-        return self._index(self.state()[1])
+        _, held, buckets, _ = self.state()
+        return self._index(held, buckets)
 
-    def _index(self, held: Held) -> Index:
-        return Index(self._table("docs", held).select(*DOC_COLUMNS),
-                     self._table("postings", held), self._table("terms", held),
-                     self._table("fields", held), self.registry, self.exact_len, stored=True)
+    def _index(self, held: Held, buckets: int) -> Index:
+        docs = self._table("docs", held)
+        return Index(docs.select(*DOC_COLUMNS), self._table("postings", held),
+                     self._table("terms", held), self._table("fields", held), self.registry,
+                     self.exact_len, stored=True, by_bucket=docs, buckets=buckets)
 
     # -- writing ---------------------------------------------------------------
 
@@ -145,7 +147,7 @@ class Snapshots:
             docs = docs.join(twice, "path", "left_anti").unionByName(several)
         held = self._write(docs, v + 1, buckets)
         self._commit(v + 1, held, buckets, batch)
-        return self._index(held)
+        return self._index(held, buckets)
 
     def _rewrite(self, touched: list[int], change, batch_id: int | None = None) -> Index:
         """New version in which only the ``touched`` buckets are read and written."""
@@ -161,7 +163,7 @@ class Snapshots:
                                "nothing was committed")
         held = {**kept, **written}
         self._commit(v + 1, held, buckets, batch_id)
-        return self._index(held)
+        return self._index(held, buckets)
 
     def _buckets_of(self, paths: DataFrame) -> list[int]:
         """Distinct buckets of some paths: no more than the index has."""
@@ -209,17 +211,17 @@ class Snapshots:
         """An empty version."""
         v, _, buckets, batch = self.state()
         self._commit(v + 1, {}, buckets, batch)
-        return self._index({})
+        return self._index({}, buckets)
 
     def apply(self, events: DataFrame, mode: str = RAW, batch_id: int | None = None) -> Index:
         """Fold ``events(seq, kind, path, lang, title, body)`` in, as one version.
 
         A ``batch_id`` not above the last one applied is a replay and changes nothing.
         """
-        _, held, _, last = self.state()
+        _, held, buckets, last = self.state()
         if batch_id is not None and batch_id <= last:
-            return self._index(held)
-        docs = self._index(held).docs
+            return self._index(held, buckets)
+        docs = self._index(held, buckets).docs
         events = materialize(events, "events")
         written = events.filter(F.col("kind").isin(changes.CREATE, changes.MODIFY))
         removed = match_prefixes(docs.select("path"), changes.removals(events, mode), mode)

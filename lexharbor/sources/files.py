@@ -49,17 +49,19 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
                  .option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
                  .load(root))
     except AnalysisException as missing:
-        raise ValueError(f"Invalid path. {root}") from missing
+        raise ValueError(f"nothing can be read at {root}") from missing
     return files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"),
                         F.col("modificationTime").alias("modified"), "length", "content")
 
 
-def media_type(path: Column, head: Column) -> Column:
-    """Media type from the file name and the first characters of the content.
+def media_type(path: Column, head: Column, whole: Column | None = None) -> Column:
+    """Media type from the file name and the content.
 
-    ``head`` is the start of the content as a string; it decides where it is telling,
-    except that packed office files are told apart by name.
+    ``head`` is the start of the content as a string, read for signatures; it decides where
+    it is telling, except that packed office files are told apart by name. Whether a file
+    of unknown name is plain text is judged on ``whole`` (``head`` if that is all there is).
     """
+    whole = head if whole is None else whole
     name = F.element_at(F.split(path, "/"), -1)
     extension = F.lower(F.regexp_extract(name, r"\.([A-Za-z0-9]+)$", 1))
     table = F.create_map(*[F.lit(x) for pair in BY_EXTENSION.items() for x in pair])
@@ -70,12 +72,12 @@ def media_type(path: Column, head: Column) -> Column:
     packed = F.when(head.startswith(ZIP_START), F.when(
         named.contains("openxmlformats") | named.contains("opendocument"), named)
         .otherwise("application/zip"))
-    plain = F.when(~head.rlike("[\\x00-\\x08\\x0E-\\x1A\\x1C-\\x1F]"), "text/plain")
+    plain = F.when(~whole.rlike("[\\x00-\\x08\\x0E-\\x1A\\x1C-\\x1F]"), "text/plain")
     return F.coalesce(known, packed, named, plain, F.lit(UNKNOWN))
 
 
 def head_of(content: Column, n: int = 512) -> Column:
-    """Start of binary content as a string, for :func:`media_type`."""
+    """Start of binary content as a string, for the signatures of :func:`media_type`."""
     return F.make_valid_utf8(F.substring(content, 1, n).cast("string"))
 
 
@@ -119,7 +121,8 @@ def extract(files: DataFrame,
     media type contains. A type without one is reported in ``error``.
     """
     extractors = extractors or {}
-    typed = (files.withColumn("mime", media_type(F.col("path"), head_of(F.col("content"))))
+    typed = (files.withColumn("mime", media_type(
+        F.col("path"), head_of(F.col("content")), F.make_valid_utf8(F.col("content").cast("string"))))
              .filter(is_indexed(F.col("mime"))))
     plain = F.col("mime").contains("text/plain")
     out = typed.filter(plain).select("path", plain_text(F.col("content")).alias("body"),

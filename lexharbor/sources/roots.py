@@ -28,5 +28,5 @@ def readable(spark: SparkSession, roots: DataFrame) -> list[str]:
         try:
             spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
         except Exception as missing:
-            raise ValueError(f"{path} does not exist or is not readable") from missing
+            raise ValueError(f"cannot read the root {path}") from missing
     return paths

@@ -23,13 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash a table that lies in fewer files than there are cores over all of them.
+    """Deal a table that Spark reads in fewer tasks than there are cores over all of them.
 
-    Text work is heavy and one file may be one task; a table in many files is read as
-    it is, without a shuffle.
+    Text work is heavy and a small file is one task; a table that comes in many tasks,
+    of one big file or of many, is read as it is, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(2 * cores, *keys)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(2 * cores, *keys)
 
 
 def doc_path():
@@ -93,11 +93,11 @@ def phrase_queries(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
 
 
 def typo_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every distinct benchmark word of four letters or more, its inner letters swapped."""
+    """Every distinct benchmark word, its second and third letters swapped."""
     w = F.col("word")
     typo = F.concat(F.substring(w, 1, 1), F.substring(w, 3, 1), F.substring(w, 2, 1),
                     F.substring(w, F.lit(4), F.length(w)))
-    return (words(spark, sf_dir).filter(F.length("word") >= 4)
+    return (words(spark, sf_dir)
             .select((-F.col("query_id") - 1).alias("query_id"), F.lit("fuzzy").alias("kind"),
                     F.lit("en").alias("lang"), typo.alias("text")))
 

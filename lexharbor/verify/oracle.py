@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lexharbor.operators.analysis import STOP_EN
-from lexharbor.operators.language import MARGIN, PROFILE_GRAMS, UNSEEN_SHARE
+from lexharbor.operators.language import MARGIN, UNSEEN_SHARE
 from lexharbor.sources.files import BY_EXTENSION
 from lexharbor.verify.inputs import PHRASE_BASE, PREFIX_BASE, QUERY_BASE
 
@@ -86,7 +86,7 @@ WORD_SEARCH = f"{BASE}, {WORDS}, {WORD_TERMS}, {WORD_HITS}, {RANKED}"
 TYPOS = """typos AS (
   SELECT -query_id - 1 AS query_id,
          word[1] || word[3] || word[2] || substring(word, 4) AS text
-  FROM words WHERE length(word) >= 4),
+  FROM words),
 asked AS (
   SELECT query_id, unnest(['body', 'title']) AS field, text AS word FROM typos)"""
 
@@ -226,11 +226,15 @@ def merged(span_key: str) -> str:
     """Runs of neighbouring winners with their text, tags put around the marks."""
     return f"""runs_ AS (
   SELECT query_id, path, frag_no - row_number() OVER (
-           PARTITION BY query_id, path ORDER BY frag_no) AS run, w.frag_no, s.start, s.stop
+           PARTITION BY query_id, path ORDER BY frag_no) AS run, w.frag_no, s.start, s.stop, w.score
   FROM winners w JOIN spans s USING (path, frag_no) WHERE {span_key}),
 joined AS (
-  SELECT query_id, path, run, min(frag_no) AS frag_no, min(start) AS start, max(stop) AS stop
+  SELECT query_id, path, run, min(frag_no) AS frag_no, min(start) AS start, max(stop) AS stop,
+         max(score) AS score
   FROM runs_ GROUP BY ALL),
+ranks AS (
+  SELECT query_id, path, frag_no, row_number() OVER (
+           PARTITION BY query_id, path ORDER BY score DESC, frag_no) AS frag_rank FROM joined),
 cuts AS (
   SELECT j.query_id, j.path, j.frag_no, j.start AS a, j.stop AS b, m.start AS s, m.stop AS e,
          lag(m.stop) OVER (PARTITION BY j.query_id, j.path, j.frag_no ORDER BY m.start) AS prev
@@ -304,9 +308,7 @@ counts AS (SELECT lang, gram, count(*) AS n FROM cut GROUP BY ALL),
 profile AS (
   SELECT lang, gram, round(1000.0::DOUBLE * ln((n::DOUBLE / total::DOUBLE)
                            / {UNSEEN_SHARE}::DOUBLE))::BIGINT AS weight
-  FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS place,
-               sum(n) OVER (PARTITION BY lang) AS total FROM counts)
-  WHERE place <= {PROFILE_GRAMS}),
+  FROM (SELECT *, sum(n) OVER (PARTITION BY lang) AS total FROM counts)),
 sums AS (
   SELECT c.path, n_grams, p.lang, sum(weight)::BIGINT AS score
   FROM cut c JOIN profile p ON p.gram = c.gram WHERE weight > 0 GROUP BY ALL),
@@ -383,7 +385,7 @@ ORACLE = {
                text FROM benchmark
         UNION ALL SELECT query_id, 'term', word FROM words)
         SELECT query_id, CASE WHEN kind <> 'phrase' AND contains(text, ' ') THEN
-          upper(kind) || ' query should contain exactly one word.' END AS reason FROM q""",
+          'one word expected in a query of kind ' || kind END AS reason FROM q""",
     "highlight_mark": f"""WITH {DOCS}, m AS (
         SELECT path, array_to_string(list_transform(list_zip(
           string_split_regex(body, '{W}'), regexp_extract_all(body, '{W}')), lambda p: p[1] ||
@@ -467,8 +469,9 @@ ORACLE = {
     "snippets_top": f"""{WORD_SEARCH}, {FRAGS}, {WORD_MARKS}, {TOP_FRAGS}
         SELECT query_id, path, frag_no, place FROM winners""",
     "snippets_merged": f"""{WORD_SEARCH}, {FRAGS}, {WORD_MARKS}, {TOP_FRAGS}, {merged('true')}
-        SELECT s.query_id, s.path, rank, frag_no, text FROM shown s
-        LEFT JOIN texts t ON t.query_id = s.query_id AND t.path = s.path""",
+        SELECT s.query_id, s.path, rank, frag_rank, t.frag_no, text FROM shown s
+        LEFT JOIN texts t ON t.query_id = s.query_id AND t.path = s.path
+        LEFT JOIN ranks r ON r.query_id = t.query_id AND r.path = t.path AND r.frag_no = t.frag_no""",
     "snippets_phrase": f"""{BASE}, {phrases(TRUE_PLACE)},
         ranked AS (SELECT query_id, path, row_number() OVER (
           PARTITION BY query_id ORDER BY score DESC, path) AS rank FROM phits),
@@ -491,8 +494,9 @@ ORACLE = {
         fscores AS (SELECT query_id, path, frag_no, count(DISTINCT term)::DOUBLE AS score
                     FROM marked GROUP BY ALL),
         {TOP_FRAGS}, {merged('s.qid = w.query_id')}
-        SELECT s.query_id, s.path, rank, frag_no, text FROM shown s
-        LEFT JOIN texts t ON t.query_id = s.query_id AND t.path = s.path""",
+        SELECT s.query_id, s.path, rank, frag_rank, t.frag_no, text FROM shown s
+        LEFT JOIN texts t ON t.query_id = s.query_id AND t.path = s.path
+        LEFT JOIN ranks r ON r.query_id = t.query_id AND r.path = t.path AND r.frag_no = t.frag_no""",
     "search_batch": f"""{BASE}, {WORDS}, {WORD_TERMS},
         {WORD_HITS.replace('hits AS', 'whits AS')}, {TYPOS}, {WITHIN_TWO}, {FUZZY_HITS},
         {phrases(CONSECUTIVE)},

@@ -394,6 +394,7 @@ def snippets_merged(spark: Spark, sf: str) -> Frame:
     index, queries = I.stored_index(spark, sf), I.word_queries(spark, sf)
     found = S.search(index, queries, TOP, details=True, kinds=[S.TERM]).snippets
     return found.select("query_id", "path", F.col("rank").cast("long").alias("rank"),
+                        F.col("frag_rank").cast("long").alias("frag_rank"),
                         F.col("frag_no").cast("long").alias("frag_no"), "text")
 
 
@@ -401,6 +402,7 @@ def snippets_phrase(spark: Spark, sf: str) -> Frame:
     index, queries = I.stored_index(spark, sf), I.phrase_queries(spark, sf)
     found = S.search(index, queries, TOP, details=True, kinds=[S.PHRASE], gap_aware=True).snippets
     return found.select("query_id", "path", F.col("rank").cast("long").alias("rank"),
+                        F.col("frag_rank").cast("long").alias("frag_rank"),
                         F.col("frag_no").cast("long").alias("frag_no"), "text")
 
 
