@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import BROADCAST_ROWS, broadcast_within, count_up_to, materialize
 from .common import LOWEST, Words, id_and_text, settle, signed, small_batches
 from .components import components
 from .containment import distinct_shingles
@@ -78,7 +78,7 @@ def likely_similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarr
 
 
 def _sketches(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n, set1, set2, regs, bands`` of every row; ``set1, set2`` name the whole set."""
+    """``doc_id, n, set1, set2, regs`` of every row; ``set1, set2`` name the whole set."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = b.num_rows
@@ -88,19 +88,29 @@ def _sketches(docs: DataFrame, width: int) -> DataFrame:
             whole = np.zeros((2, n), dtype=np.uint64)
             np.add.at(whole[0], row, settle(names))
             np.add.at(whole[1], row, settle(names ^ np.uint64(0x5DEECE66D)))
-            bands = np.zeros((n, BANDS), dtype=np.uint64)
-            for k in range(ROWS):
-                bands = settle(bands * np.uint64(31) + regs[:, k::ROWS].astype(np.uint64))
-            bands = settle(bands + np.arange(1, BANDS + 1, dtype=np.uint64))
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(0, n * BANDS + 1, BANDS), pa.int32()),
-                                            pa.array(signed(bands.ravel())))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": b.column("doc_id"), "n": pa.array(size, pa.int64()),
                 "set1": signed(whole[0]), "set2": signed(whole[1]),
-                "regs": pa.array([r.tobytes() for r in regs], pa.binary()), "bands": flat})
+                "regs": pa.array([r.tobytes() for r in regs], pa.binary())})
 
-    return docs.mapInArrow(each, "doc_id long, n long, set1 long, set2 long, regs binary, "
-                                 "bands array<long>")
+    return docs.mapInArrow(each, "doc_id long, n long, set1 long, set2 long, regs binary")
+
+
+def _shelves(sketches: DataFrame) -> DataFrame:
+    """``doc_id, key``: a row for each band; documents with equal registers in it share the key."""
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                regs = _registers(b.column("regs"))
+                bands = np.zeros((b.num_rows, BANDS), dtype=np.uint64)
+                for k in range(ROWS):
+                    bands = settle(bands * np.uint64(31) + regs[:, k::ROWS].astype(np.uint64))
+                bands = settle(bands + np.arange(1, BANDS + 1, dtype=np.uint64))
+                yield pa.RecordBatch.from_pydict({
+                    "doc_id": np.repeat(b.column("doc_id").to_numpy(), BANDS),
+                    "key": signed(bands.ravel())})
+
+    return sketches.select("doc_id", "regs").mapInArrow(each, "doc_id long, key long")
 
 
 def _registers(column) -> np.ndarray:
@@ -124,17 +134,18 @@ def _confirmed(docs: DataFrame, pairs: DataFrame, width: int, num: int, den: int
     """The pairs (a, b) whose whole sets are similar enough.
 
     Pairs meet by ``b``, the centre of a star, in chunks of ``CHUNK`` members; the centre's text
-    goes once to each of its chunks.
+    goes once to each of its chunks. Ids are broadcast to the texts if a count shows them few.
     """
+    few = count_up_to(pairs, BROADCAST_ROWS)
     members = (pairs.withColumn("part", F.pmod(F.xxhash64("a"), F.lit(1 << 20)))
                .join(pairs.groupBy("b").agg(
                    F.ceil(F.count("*") / CHUNK).alias("parts")), "b")
                .withColumn("part", F.pmod("part", "parts").cast("int")))
     texts = docs.select("doc_id", "text")
-    sides = (members.join(texts.withColumnRenamed("doc_id", "a"), "a")
+    sides = (texts.withColumnRenamed("doc_id", "a").join(broadcast_within(members, few), "a")
              .select("b", "part", "a", "text"))
-    centres = (members.select("b", "part").distinct()
-               .join(texts.withColumnRenamed("doc_id", "b"), "b")
+    centres = (texts.withColumnRenamed("doc_id", "b")
+               .join(broadcast_within(members.select("b", "part").distinct(), few), "b")
                .select(F.col("b").alias("c_b"), F.col("part").alias("c_part"),
                        F.col("text").alias("c_text")))
 
@@ -177,9 +188,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     # one row of registers for each class of equal sets, that of its least document
     reps = (full.join(same, (full["set1"] == same["set1"]) & (full["set2"] == same["set2"])
                       & (full["doc_id"] == same["rep"]))
-            .select("doc_id", "n", "regs", "bands").dropDuplicates(["doc_id"]))
+            .select("doc_id", "n", "regs").dropDuplicates(["doc_id"]))
     reps = materialize(reps, "sketch-classes")
-    shelves = reps.select("doc_id", F.explode("bands").alias("key"))
+    shelves = _shelves(reps)
     shared = (shelves.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("m"))
               .filter("m > 1"))
     stars = materialize(shelves.join(shared, "key").filter("doc_id != hub")
@@ -242,7 +253,9 @@ def _across(docs: DataFrame, families: DataFrame, labels: DataFrame, width: int,
              .filter("several > 1")
              .select("family", "main", F.ceil((F.col("all") - F.col("most")) / PART).alias("outer"),
                      F.ceil(F.col("all") / PART).alias("inner")))
-    rows = (held.join(sizes, "family").join(docs.select("doc_id", "text"), "doc_id")
+    held = materialize(held.join(sizes, "family"), "families")
+    rows = (docs.select("doc_id", "text")
+            .join(broadcast_within(held, count_up_to(held, BROADCAST_ROWS)), "doc_id")
             .withColumn("at", F.xxhash64("doc_id")))
     left = (rows.filter("component != main")
             .withColumn("i", F.pmod("at", "outer").cast("int"))

@@ -107,39 +107,46 @@ def parse_words(docs: pa.Table, width: int = WINDOW_WORDS) -> Parsed:
                   lambda: settle(doubled_names(words.names, width)))
 
 
-def parse_bytes(docs: pa.Table, width: int = WINDOW_BYTES) -> Parsed:
-    """Windows of bytes; the anchor is the least named string of ``CORE_BYTES`` in the window.
+class ByteNames:
+    """Names of all strings of one size: eight bytes are their own first name, more by doubling.
 
-    Eight bytes are their own first name; further names come by doubling, at offsets 8, 16 and on.
+    An object and not a closure that calls itself: that would be a cycle, and its arrays would
+    wait for the garbage collector.
     """
+
+    def __init__(self, raw: np.ndarray):
+        self.n = len(raw)
+        self.known = {8: np.ndarray((self.n - 7,), dtype="<u8", buffer=np.ascontiguousarray(raw),
+                                    strides=(1,)).astype(np.uint64)}
+
+    def of(self, size: int) -> np.ndarray:
+        """Two strings of half the size or more name the whole."""
+        if size not in self.known:
+            half = 8
+            while 2 * half < size:
+                half *= 2
+            part = self.of(half)
+            self.known[size] = pair_names(part[:self.n - size + 1], part[size - half:])
+        return self.known[size]
+
+
+def parse_bytes(docs: pa.Table, width: int = WINDOW_BYTES) -> Parsed:
+    """Windows of bytes; the anchor is the least named string of ``CORE_BYTES`` in the window."""
     raw, bounds = texts_buffer(docs.column("text"))
     n = len(raw)
     if n < width:
         none = np.zeros(0, dtype=np.int64)
         return Parsed(bounds, width, none, lambda at: at.view(np.uint64),
                       lambda: none.view(np.uint64))
-    eight = np.ndarray((n - 7,), dtype="<u8", buffer=np.ascontiguousarray(raw), strides=(1,)) \
-        .astype(np.uint64)
-    names = {8: eight}
-
-    def named(size: int) -> np.ndarray:
-        """Names of all strings of ``size`` bytes: two strings of half the size or more."""
-        if size not in names:
-            half = 8
-            while 2 * half < size:
-                half *= 2
-            part = named(half)
-            names[size] = pair_names(part[:n - size + 1], part[size - half:])
-        return names[size]
-
-    core = settle(named(CORE_BYTES))
+    names = ByteNames(raw)
+    core = settle(names.of(CORE_BYTES))
     anchor = _picked(core >> np.uint64(1), width - CORE_BYTES + 1)
     common = width - SHARE + 1
 
     def common_of(at: np.ndarray, part: np.ndarray) -> np.ndarray:
-        return named(common)[at - part * SHARE]
+        return names.of(common)[at - part * SHARE]
 
-    return Parsed(bounds, width, anchor, lambda at: core[at], lambda: settle(named(width)),
+    return Parsed(bounds, width, anchor, lambda at: core[at], lambda: settle(names.of(width)),
                   common_of, SHARE)
 
 

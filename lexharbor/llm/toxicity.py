@@ -246,11 +246,13 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     out; a document labelled twice counts as 1 if either label is.
     """
     marked = (labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id")
-              .agg(F.max("toxic").alias("toxic")).filter(~held_out(F.col("doc_id"))))
+              .agg(F.max("toxic").alias("toxic")).filter(~held_out(F.col("doc_id")))
+              .orderBy(F.xxhash64(F.col("doc_id").cast("long")), "doc_id").limit(rows))
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
     texts = docs.select("doc_id", "text", lang.alias("lang")).filter(
         (F.octet_length("text") <= text_bytes) & F.col("text").isNotNull())
-    picked = (texts.join(marked, "doc_id")
+    # no more than ``rows`` ids, so the texts need no shuffle
+    picked = (texts.join(F.broadcast(marked), "doc_id")
               .orderBy(F.xxhash64(F.col("doc_id").cast("long")), "doc_id", "text").limit(rows)
               .select("text", "lang", F.col("toxic").cast("int").alias("toxic")).toArrow())
     return fit(picked.column("text").to_pylist(), picked.column("toxic").to_numpy(),
