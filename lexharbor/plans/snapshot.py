@@ -10,6 +10,8 @@ documents lies spread over all buckets.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,8 @@ from lexharbor.operators.analysis import DEFAULT, Registry
 from lexharbor.operators.prefixes import RAW, match_prefixes, starts_within
 from lexharbor.plans.index import Index, partial_fields, partial_terms
 from lexharbor.session import materialize
+from lexharbor.sources import files
+from lexharbor.sources import roots as root_list
 
 DOC_COLUMNS = ["path", "lang", "title", "body"]
 SCHEMAS = {
@@ -194,6 +198,22 @@ class Snapshots:
         return self._rewrite(self._buckets_of(hit),
                              lambda d: maintain.reindex(d, roots, scan, mode))
 
+    def reindex_files(self, roots: DataFrame, extractors=None, profile: DataFrame | None = None,
+                      mode: str = RAW) -> tuple[Index, DataFrame]:
+        """Scan the files under all roots and replace what lies there; also ``errors(path, error)``.
+
+        Every root is checked first: one that cannot be read fails the call before anything
+        is changed.
+        """
+        paths = root_list.readable(self.spark, roots)
+        scans = [files.scan(self.spark, path) for path in paths]
+        if not scans:
+            return self.open(), self.spark.createDataFrame([], "path string, error string")
+        every = reduce(DataFrame.unionByName, scans)
+        read = materialize(files.extract(every, extractors), "extracted")
+        docs, errors = files.documents(read, profile)
+        return self.reindex(roots, docs, mode), errors
+
     def reconcile(self, scan: DataFrame) -> Index:
         """Bring the index level with a full scan, rewriting only buckets that differ."""
         scan = materialize(maintain.one_per_path(scan.select(*DOC_COLUMNS)), "scan")

@@ -97,5 +97,5 @@ def test_small_expressions(spark):
         ancestors_of(F.lit("/c/a/x")).alias("up"),
         mark_words(F.lit("The King, the end"), F.array(F.lit("the"))).alias("marked")).first()
     assert row.title == "king of france txt"
-    assert row.up == ["/c", "/c/a", "/c/a/x"]
+    assert row.up == ["/", "/c", "/c/a", "/c/a/x"]
     assert row.marked == "<b>The</b> King, <b>the</b> end"

@@ -218,3 +218,18 @@ def test_language(spark):
         language.route(F.col("certain"), F.col("detected")).alias("lang")).collect()
     assert {(r.path, r.detected, r.certain, r.lang) for r in got} == {
         ("1", "pl", True, "pl"), ("2", "en", True, "en"), ("3", None, False, "en")}
+
+
+def test_reindex_files_checks_all_roots_first(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "one.txt").write_text("some words here")
+    (tmp_path / "a" / "two.pdf").write_bytes(b"%PDF-1.4")
+    store = Snapshots(spark, scratch_path(spark, "files"), DEFAULT, buckets=2)
+    good = spark.createDataFrame([(1, str(tmp_path / "a"))], "seq long, path string")
+    index, errors = store.reindex_files(good)
+    assert paths(index.docs) == [str(tmp_path / "a" / "one.txt")]
+    assert [r.path for r in errors.collect()] == [str(tmp_path / "a" / "two.pdf")]
+    bad = good.union(spark.createDataFrame([(2, str(tmp_path / "none"))], good.schema))
+    with pytest.raises(ValueError):
+        store.reindex_files(bad)
+    assert len(paths(store.open().docs)) == 1
