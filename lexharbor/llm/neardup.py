@@ -182,13 +182,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     floor = num / den - MARGIN
     source = id_and_text(docs)
     named = source.filter("doc_id IS NOT NULL")
-    table = materialize(_sketches(source, width), "sketches")
-    full = table.filter("doc_id IS NOT NULL AND n > 0")
+    table = judged = materialize(_sketches(source, width), "sketches")
+    twice = materialize(named.groupBy("doc_id").count().filter("count > 1").select("doc_id"),
+                        "repeated")
+    if not twice.isEmpty():
+        first = (named.join(twice, "doc_id", "left_semi").groupBy("doc_id")
+                 .agg(F.min("text").alias("text")))
+        named = named.join(twice, "doc_id", "left_anti").unionByName(first)
+        judged = materialize(_sketches(named, width), "sketches")
+    full = judged.filter("doc_id IS NOT NULL AND n > 0")
     same = full.groupBy("set1", "set2").agg(F.min("doc_id").alias("rep"))
     # one row of registers for each class of equal sets, that of its least document
     reps = (full.join(same, (full["set1"] == same["set1"]) & (full["set2"] == same["set2"])
                       & (full["doc_id"] == same["rep"]))
-            .select("doc_id", "n", "regs").dropDuplicates(["doc_id"]))
+            .select("doc_id", "n", "regs"))
     reps = materialize(reps, "sketch-classes")
     shelves = _shelves(reps)
     shared = (shelves.groupBy("key").agg(F.min("doc_id").alias("hub"), F.count("*").alias("m"))
@@ -213,21 +220,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, num: int = 80, den: int = 1
     if not rest.isEmpty():
         labels = components(links.union(rest))
     rep = same.withColumnsRenamed({"set1": "s1", "set2": "s2"})
-    found = (full.select("doc_id", "set1", "set2").distinct()
+    found = (full.select("doc_id", "set1", "set2")
              .join(rep, (F.col("set1") == F.col("s1")) & (F.col("set2") == F.col("s2")))
              .join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-             .select("doc_id", "rep", F.coalesce("component", "rep").alias("of")))
-    # rows that repeat an id tie their classes together
-    several = found.groupBy("doc_id").agg(F.min("of").alias("of"), F.max("of").alias("other"))
-    tied = materialize(several, "classes")
-    bound = tied.filter("of != other").select(F.col("of").alias("a"), F.col("other").alias("b"))
-    if not bound.isEmpty():
-        joint = components(bound)
-        tied = (tied.join(joint.withColumnRenamed("node", "of"), "of", "left")
-                .withColumn("of", F.coalesce("component", "of")))
-    tied = tied.select("doc_id", "of")
+             .select("doc_id", F.coalesce("component", "rep").alias("of")))
     return (table.select("doc_id", F.col("n").alias("n_shingles"))
-            .join(tied, "doc_id", "left")
+            .join(found, "doc_id", "left")
             .withColumn("component_id", F.coalesce("of", "doc_id"))
             .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
             .select("doc_id", "n_shingles", "component_id", "kept"))

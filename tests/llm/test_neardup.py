@@ -16,8 +16,10 @@ def shingles(text, width):
 
 
 def brute(rows, width, num=80, den=100):
-    sets = [shingles(t, width) for _, t in rows]
     ids = [d for d, _ in rows]
+    first = {d: min(t or "" for e, t in rows if e == d) for d in ids if d is not None}
+    sets = [shingles(t if d is None else first[d], width) for d, t in rows]
+    own = [shingles(t, width) for _, t in rows]
     of = list(range(len(rows)))
 
     def root(x):
@@ -37,7 +39,7 @@ def brute(rows, width, num=80, den=100):
         least = min((ids[k] for k in range(len(rows)) if root(k) == root(i) and ids[k] is not None),
                     default=None)
         of_d = None if d is None else least
-        out.append((d, len(sets[i]), of_d, d is None or of_d == d))
+        out.append((d, len(own[i]), of_d, d is None or of_d == d))
     return sorted(out, key=str)
 
 
@@ -53,7 +55,8 @@ def families(seed, copies=60):
         rows.append((i * 7 % 401, " ".join(text)))
     rows += [(500 + i, " ".join(rng.choice(vocabulary) for _ in range(80))) for i in range(20)]
     return rows + [(600, None), (601, ""), (602, "One"), (603, "one"), (604, " \n"), (None, rows[0][1]),
-                   (605, "a b c d " * 3000), (606, "A b c d " * 3000), (607, "a b"), (607, "a b")]
+                   (605, "a b c d " * 3000), (606, "A b c d " * 3000), (607, "a b"), (607, "a b"),
+                   (608, rows[3][1]), (608, "zz yy xx"), (609, rows[4][1]), (609, None)]
 
 
 def test_components_equal_brute_force(make):
