@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -254,9 +255,18 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
     # no more than ``rows`` ids, so the texts need no shuffle
     picked = (texts.join(F.broadcast(marked), "doc_id")
               .orderBy(F.xxhash64(F.col("doc_id").cast("long")), "doc_id", "text").limit(rows)
-              .select("text", "lang", F.col("toxic").cast("int").alias("toxic")).toArrow())
-    return fit(picked.column("text").to_pylist(), picked.column("toxic").to_numpy(),
-               picked.column("lang").to_pylist())
+              .select("text", "lang", F.col("toxic").cast("int").alias("toxic")))
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches), pa.schema(
+            [("text", pa.string()), ("lang", pa.string()), ("toxic", pa.int32())]))
+        model = fit(table.column("text").to_pylist(), table.column("toxic").to_numpy(),
+                    table.column("lang").to_pylist())
+        yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]})
+
+    # the sample is one bounded partition; a task fits on it, so the driver holds weights only
+    row = picked.coalesce(1).mapInArrow(fitted, "model binary").first()
+    return pickle.loads(row["model"]) if row else fit([], np.zeros(0), [])
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
