@@ -20,10 +20,23 @@ from lexharbor.llm.common import documents_of
 from lexharbor.session import materialize
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is not among ``ids``; a null id is one like any other."""
-    gone = ids.select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+# A stage's own key of a row; dropped before the stage returns.
+KEY = "stage_key"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a hash of id and text, so a null or repeated id judges no other text."""
+    return docs.withColumn(KEY, F.xxhash64(F.col("doc_id").cast("long"), "text"))
+
+
+def by_key(docs: DataFrame) -> DataFrame:
+    """What an operator reads of keyed ``docs``: the key in place of the id."""
+    return docs.select(F.col(KEY).alias("doc_id"), "text")
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of keyed ``docs`` whose key is not among ``gone``."""
+    return docs.join(gone.select(KEY).distinct(), KEY, "left_anti").drop(KEY)
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,23 +47,38 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each component stays."""
-    found = neardup.near_duplicates(docs)
-    return without(docs, found.filter("NOT kept"))
+    """The document of least id of each component stays, null ids last.
+
+    Rows that repeat an id and its text are one document. Rows of null id are documents each, so
+    of those with the same words one stays too.
+    """
+    rows = keyed(docs)
+    found = neardup.near_duplicates(by_key(rows)).select(F.col("doc_id").alias(KEY), "component_id")
+    judged = materialize(found.distinct().join(rows.select(KEY, "doc_id").distinct(), KEY), "judged")
+    first = judged.groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY)).alias("first"))
+    gone = judged.join(first.select(F.col(f"first.{KEY}").alias(KEY)), KEY, "left_anti")
+    kept = without(rows, gone)
+    if docs.filter("doc_id IS NULL").isEmpty():
+        return kept
+    single = F.col("doc_id").isNull() & (mixing.words_in() > 0)
+    return kept.filter(~single).unionByName(kept.filter(single).dropDuplicates(["text"]))
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, containment.contained_items(docs, documents_of(spark, sf_dir, "benchmark")))
+    rows = keyed(docs)
+    found = containment.contained_items(by_key(rows), documents_of(spark, sf_dir, "benchmark"))
+    return without(rows, found.select(F.col("doc_id").alias(KEY)))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document taken twice is two rows; rows that repeat an id are taken alike."""
-    taken = (mixing.mix(docs).groupBy(F.col("doc_id").alias("mix_id"))
-             .agg(F.max("repeats").cast("int").alias("mix_repeats")))
-    return (docs.join(taken, docs["doc_id"].eqNullSafe(taken["mix_id"]))
-            .filter("mix_repeats > 0")
+    """A document taken twice is two rows; every row is taken as often as the mix says of it."""
+    rows = materialize(docs.withColumn(KEY, F.monotonically_increasing_id()), "mix-rows")
+    taken = (mixing.mix(rows, carry=(KEY,)).filter("repeats > 0")
+             .select(KEY, F.col("repeats").cast("int").alias("mix_repeats")))
+    return (rows.join(taken, KEY)
             .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_repeats"))))
-            .select(*[docs[c] for c in docs.columns]))
+            .select(docs.columns))
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -60,7 +60,8 @@ def chance(seed: int, value: Column) -> Column:
 
 
 def mix(docs: DataFrame, share: float = 1.5, epochs: float = 2.0,
-        weights: tuple[float, ...] = WEIGHTS, seed: int = 7) -> DataFrame:
+        weights: tuple[float, ...] = WEIGHTS, seed: int = 7,
+        carry: tuple[str, ...] = ()) -> DataFrame:
     """How often each document goes into the mix: ``doc_id, source, size, source_size, target,
     repeats, taken``.
 
@@ -71,12 +72,13 @@ def mix(docs: DataFrame, share: float = 1.5, epochs: float = 2.0,
     smaller sizes of a source and of the smaller hash digits of a size, plus a place within the
     group, so no task sorts a whole source. A null text or source is kept, with size 0 or as a source of its own; documents
     of size 0 are taken zero words; rows that repeat a ``doc_id`` count each for itself; an empty
-    table gives no rows; extra columns are not read.
+    table gives no rows; extra columns are not read but for those to ``carry``, which also settle
+    ties of rows that repeat an id.
     """
     size = words_in()
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source",
-                                   size.alias("size"), key.alias("key")), "mix-sizes")
+                                   size.alias("size"), key.alias("key"), *carry), "mix-sizes")
     rows = rows.withColumn("digit", F.substring("key", 1, 2))
     totals = rows.groupBy("source").agg(F.sum("size").alias("total"))
     name = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("-"))
@@ -100,7 +102,7 @@ def mix(docs: DataFrame, share: float = 1.5, epochs: float = 2.0,
               .join(sizes, F.col("source").eqNullSafe(F.col("z_source"))
                     & (F.col("size") == F.col("z_size")))
               .select(*group, (F.col("under") + F.col("within")).alias("offset")))
-    inner = F.row_number().over(Window.partitionBy(*group).orderBy("key", F.col("doc_id")))
+    inner = F.row_number().over(Window.partitionBy(*group).orderBy("key", "doc_id", *carry))
     placed = (rows.join(groups.withColumnsRenamed({"source": "g_source", "size": "g_size",
                                                    "digit": "g_digit"}),
                         F.col("source").eqNullSafe(F.col("g_source"))
@@ -121,7 +123,7 @@ def mix(docs: DataFrame, share: float = 1.5, epochs: float = 2.0,
     return (known.join(best, F.col("source").eqNullSafe(F.col("b_source")))
             .withColumn("repeats", F.col("whole") + picked.cast("long"))
             .select("doc_id", "source", "size", F.col("total").alias("source_size"), "target",
-                    "repeats", (F.col("size") * F.col("repeats")).alias("taken")))
+                    "repeats", (F.col("size") * F.col("repeats")).alias("taken"), *carry))
 
 
 def _once_more(place: Column, rest: Column, begin: Column, j: int) -> Column:

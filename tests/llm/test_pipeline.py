@@ -1,7 +1,7 @@
 import os
 
 import corpus_pipeline
-from lexharbor.llm import toxicity
+from lexharbor.llm import mixing, toxicity
 from lexharbor.llm.queries import ORACLE, QUERIES
 from lexharbor.session import scratch_path
 
@@ -29,6 +29,32 @@ def test_stages_equal_their_operators(spark, make):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_null_and_repeated_ids_are_judged_row_by_row(spark, make):
+    passage = " ".join(f"p{i}" for i in range(40))
+    lone, other = (" ".join(f"{c}{i}" for i in range(20)) for c in "ab")
+    rows = [(None, "alpha " + passage), (None, lone), (None, None), (5, passage + " x"), (5, other)]
+    folder = scratch_path(spark, "bench")
+    spark.createDataFrame([(9, passage)], "item_id long, text string").write.parquet(
+        f"{folder}/benchmark.parquet")
+
+    def texts(out):
+        return sorted((str(r.doc_id), r.text or "") for r in out.collect())
+
+    clean = corpus_pipeline.benchmark_out(spark, make(rows), folder)
+    assert texts(clean) == [("5", other), ("None", ""), ("None", lone)]
+    rows += [(None, lone), (None, lone + " z"), (None, None), (7, other + " z")]
+    kept = corpus_pipeline.near_duplicates_out(spark, make(rows), SF)
+    assert [x for x in texts(kept) if not x[1].startswith(lone)] == [
+        ("5", other), ("5", passage + " x"), ("None", ""), ("None", "")]
+    assert sum(t.startswith(lone) for _, t in texts(kept)) == 1
+
+
+def test_rows_without_id_are_mixed_each_for_itself(spark, make):
+    docs = make([(None if i % 3 else 7, "w " * (i % 9 + 1), f"s{i % 2}") for i in range(80)])
+    out = corpus_pipeline.mixed(spark, docs, SF).collect()
+    assert sum(len(r.text.split()) for r in out) == sum(r.taken for r in mixing.mix(docs).collect())
+
+
 def test_toxic_stage_keeps_what_scores_low(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
