@@ -85,7 +85,7 @@ def contained_items(docs: DataFrame, items: DataFrame, width: int = SHINGLE, num
 
     An item is found if num/den or more of its distinct shingles of ``width`` words (ASCII lower
     case; fewer words are one shingle) are in the document. Candidates share one of the item's
-    least shingle names, looked up within the item's size partition; documents hand over only
+    least shingle names; documents hand over only
     names up to the largest name of any partition. Each candidate is checked on its shingles as
     words. Null and empty texts and items have no shingles and are never found; a null id of a
     document stays null, an item without an id is left out; rows that repeat an id give the best
