@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import containment, mixing, neardup, pages, phrases, pii, substrings, tokens, toxicity
+from . import (
+    cells,
+    containment,
+    langmix,
+    mixing,
+    neardup,
+    pages,
+    phrases,
+    pii,
+    runs,
+    substrings,
+    tokens,
+    toxicity,
+)
 from .common import documents_of
 
 
@@ -50,6 +63,18 @@ def op10_phrase_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.edited_fingerprints(documents_of(spark, sf_dir))
 
 
+def op11_grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cells.quantize(documents_of(spark, sf_dir, "embeddings"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.find_runs(runs.with_repeated_tails(documents_of(spark, sf_dir))))
+
+
+def op13_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langmix.predict(documents_of(spark, sf_dir)).drop("languages")
+
+
 QUERIES = {
     "op1_recompression": op1_recompression,
     "op2_semi_markov": op2_semi_markov,
@@ -61,10 +86,14 @@ QUERIES = {
     "op8_text_cnn": op8_text_cnn,
     "op9_containment": op9_containment,
     "op10_phrase_fingerprint": op10_phrase_fingerprint,
+    "op11_grid_cells": op11_grid_cells,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_language_mixture": op13_language_mixture,
 }
 
 ORACLE: dict[str, str] = {
     "op3_setsketch": neardup.SQL,
     "op6_water_filling": mixing.SQL,
     "op9_containment": containment.SQL,
+    "op11_grid_cells": cells.sql(),
 }
