@@ -28,6 +28,8 @@ LARGEST = 10 ** 24
 MEMO_CELLS = 20_000
 # Vectors evaluated at once.
 CHUNK = 2048
+# Cells whose bounds are added up at once, to stay within a core's cache.
+BLOCK = 256
 LONG_MAX = 2 ** 63 - 1
 CODES = "vec_id long, code string, error long"
 SUMS = "slot int, total decimal(38,0)"
@@ -71,8 +73,7 @@ class Codebook:
 
     def _bounds(self, cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Least and greatest squared distance of every entry from every cell's box."""
-        shape = (len(cells), len(self.entries))
-        least, most = np.zeros(shape, cells.dtype), np.zeros(shape, cells.dtype)
+        tables = []
         for d in range(cells.shape[1]):
             places, which = np.unique(cells[:, d], return_inverse=True)
             low = (places * self.width)[:, None]
@@ -80,8 +81,18 @@ class Codebook:
             entry = self.entries[None, :, d]
             outside = np.maximum(np.maximum(low - entry, entry - high), 0)
             across = np.maximum(np.abs(entry - low), np.abs(high - entry))
-            least += (outside * outside)[which]
-            most += (across * across)[which]
+            tables.append((which, outside * outside, across * across))
+        kind = cells.dtype
+        if kind != object and sum(int(most.max()) for _, _, most in tables) < 2 ** 31:
+            kind = np.int32
+        least = np.zeros((len(cells), len(self.entries)), kind)
+        most = np.zeros_like(least)
+        for which, low, high in tables:
+            low, high = low.astype(kind, copy=False), high.astype(kind, copy=False)
+            for a in range(0, len(cells), BLOCK):
+                mine = which[a:a + BLOCK]
+                least[a:a + BLOCK] += low[mine]
+                most[a:a + BLOCK] += high[mine]
         return least, most
 
     def _candidates(self, cells: np.ndarray) -> list[np.ndarray]:
