@@ -1,8 +1,9 @@
 """Analyzers: text column in, ``array<struct<term, pos>>`` column out.
 
-An analyzer is a column expression, so analysis runs in the row that holds the
+An analyzer is a column expression, so words are cut in the row that holds the
 text, without a shuffle, and queries are analysed by the same expression as
-documents. ``Registry`` binds one analyzer to each (field, language).
+documents. ``Registry`` binds one analyzer to each (field, language). Stem rules and
+stop-word and stem tables apply to distinct terms, in :mod:`lexharbor.operators.vocabulary`.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexharbor.functions import text as T
-from lexharbor.functions.stem_en import stem_terms
 
 # The English stop words.
 STOP_EN = (
@@ -27,10 +27,11 @@ FIELDS = ("body", "title")
 
 @dataclass(frozen=True)
 class Analyzer:
-    """Tokenise and lowercase, then optionally drop possessives, stop words, suffixes.
+    """Tokenise and lowercase, then optionally drop possessives and stop words.
 
-    Dropped stop words leave gaps in the positions. Any object with a ``tokens``
-    method of this shape can stand in for it.
+    Dropped stop words leave gaps in the positions. ``stem`` asks for the English stem rules,
+    which are applied to the vocabulary afterwards. Any object with ``tokens`` and ``spans``
+    methods of this shape and a ``stem`` can stand in for it.
     """
 
     pattern: str = T.WORDS
@@ -52,10 +53,6 @@ class Analyzer:
                           lambda w, i: F.struct(clean(w).alias("term"), i.alias("pos")))
         if self.stop:
             out = F.filter(out, lambda t: ~t["term"].isin(*self.stop))
-        if self.stem:
-            terms = stem_terms(F.transform(out, lambda t: t["term"]))
-            places = F.transform(out, lambda t: t["pos"])
-            out = F.arrays_zip(terms.alias("term"), places.alias("pos"))
         return out
 
     def spans(self, text: Column) -> Column:
@@ -78,14 +75,10 @@ class Analyzer:
             keep = word.isNotNull() & ~tail(p, k)
             return F.when(keep & ~word.isin(*self.stop) if self.stop else keep, word)
 
-        out = F.transform(T.pieces_of(text, self.pattern), lambda p, k: F.struct(
+        return F.transform(T.pieces_of(text, self.pattern), lambda p, k: F.struct(
             k.alias("k"), F.length(p["gap"]).alias("gap"),
             F.coalesce(F.length(p["word"]), F.lit(0)).alias("size"),
             tail(p, k).alias("tail"), term(p, k).alias("term")))
-        if self.stem:
-            stems = stem_terms(F.transform(out, lambda s: s["term"]))
-            out = F.zip_with(out, stems, lambda s, t: s.withField("term", t))
-        return out
 
 
 STANDARD = Analyzer()
@@ -93,13 +86,38 @@ ENGLISH_STOP = Analyzer(possessive=True, stop=STOP_EN)
 ENGLISH = Analyzer(possessive=True, stop=STOP_EN, stem=True)
 
 
+@dataclass(frozen=True)
+class Tables:
+    """Stop words and stems of bodies in ``langs``, for languages with no built-in rules.
+
+    ``stopwords(lang, term)`` and ``stems(lang, term, stem)``; a term with several stems takes
+    the least. A dropped word leaves a gap in the positions.
+    """
+
+    langs: tuple[str, ...]
+    stopwords: DataFrame
+    stems: DataFrame
+
+
 @dataclass(frozen=True)
 class Registry:
-    """Which analyzer serves which (field, language); ``fallback`` serves the rest."""
+    """Which analyzer serves which (field, language); ``fallback`` serves the rest.
+
+    ``tables`` give the bodies of further languages their stop words and stems.
+    """
 
     bound: dict[tuple[str, str], Analyzer] = field(
         default_factory=lambda: {("body", "en"): ENGLISH})
     fallback: Analyzer = STANDARD
+    tables: Tables | None = None
+
+    def resolved_langs(self, name: str) -> tuple[str, ...]:
+        """Languages whose terms of field ``name`` are settled on the vocabulary."""
+        ruled = [lang for (f, lang), a in self.bound.items() if f == name and a.stem]
+        return (*ruled, *(self.tables.langs if self.tables is not None and name == "body" else ()))
+
+    def resolves(self) -> bool:
+        return any(self.resolved_langs(name) for name in FIELDS)
 
     def tokens(self, name: str, lang: Column, text: Column) -> Column:
         """Tokens of field ``name``, by the analyzer of the row's language."""
@@ -123,7 +141,7 @@ PLAIN = Registry(bound={("body", "en"): ENGLISH_STOP})
 
 
 def field_tokens(docs: DataFrame, registry: Registry = DEFAULT, *carry: str) -> DataFrame:
-    """``(path, lang, *carry, field, tokens)``: one row per document and field."""
+    """``(path, lang, *carry, field, tokens)``: one row per document and field, terms as cut."""
     lang = F.col("lang")
     both = F.array(*[
         F.struct(F.lit(name).alias("field"),
@@ -142,12 +160,6 @@ def explode_tokens(tokens: DataFrame, *keys: str) -> DataFrame:
     return rows.select(*keys, "pos", "term")
 
 
-def analyze(df: DataFrame, key: str, text: str, analyzer: Analyzer = STANDARD) -> DataFrame:
-    """``(key, pos, term)`` of every row's text."""
-    rows = df.select(key, analyzer.tokens(F.col(text)).alias("tokens"))
-    return explode_tokens(rows, key)
-
-
 def analyze_with_tables(tokens: DataFrame, stopwords: DataFrame, stems: DataFrame) -> DataFrame:
     """Drop stop words and replace stems by table, for languages with no built-in rules.
 
@@ -161,15 +173,13 @@ def analyze_with_tables(tokens: DataFrame, stopwords: DataFrame, stems: DataFram
     return joined.withColumn("term", F.coalesce("stem", "term")).drop("stem")
 
 
-def analyze_queries(queries: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
-    """``(query_id, kind, lang, field, text, terms)``: terms of a query in each field."""
+def query_tokens(queries: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
+    """``(query_id, kind, lang, text, field, tokens)``: words of a query in each field, as cut."""
     both = F.array(*[
         F.struct(F.lit(name).alias("field"),
                  registry.tokens(name, F.col("lang"), F.col("text")).alias("tokens"))
         for name in FIELDS])
-    return (queries.select("query_id", "kind", "lang", "text", F.inline(both))
-            .select("query_id", "kind", "lang", "field", "text", "tokens",
-                    F.transform("tokens", lambda t: t["term"]).alias("terms")))
+    return queries.select("query_id", "kind", "lang", "text", F.inline(both))
 
 
 def single_term(terms: Column, text: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexharbor.operators.analysis import DEFAULT, Registry, field_tokens
+from lexharbor.operators import vocabulary
+from lexharbor.operators.analysis import DEFAULT, FIELDS, Registry, field_tokens
 
 
 def postings(docs: DataFrame, registry: Registry = DEFAULT, *carry: str) -> DataFrame:
@@ -16,8 +17,34 @@ def postings(docs: DataFrame, registry: Registry = DEFAULT, *carry: str) -> Data
     costs no more than its rows. ``len`` rides along to spare the ranking a join;
     ``first`` marks one posting per document and field, so that lengths and document
     counts can be read off the postings.
+
+    Where stem rules or tables apply, the distinct terms are looked up once and the postings
+    of terms that fall together merged by :func:`merged`.
+    """
+    tokens = field_tokens(docs, registry, *carry)
+    if not registry.resolves():
+        return postings_of_tokens(tokens, *carry)
+    lang, name = F.col("lang"), F.col("field")
+    mine = F.lit(False)
+    for f in FIELDS:
+        if registry.resolved_langs(f):
+            mine = mine | ((name == f) & lang.isin(*registry.resolved_langs(f)))
+    raw = postings_of_tokens(tokens, *carry)
+    changed = raw.filter(mine)
+    known = vocabulary.term_map(changed, registry)
+    return raw.filter(~mine).unionByName(merged(vocabulary.resolve(changed, known), *carry))
+
+
+def merged(rows: DataFrame, *carry: str) -> DataFrame:
+    """Postings of which several may name one term of a document, as proper postings.
+
+    Frequencies add up and positions interleave; length and ``first`` are taken anew. Rows are
+    grouped by document, so no frequent term gathers in one task.
     """
-    return postings_of_tokens(field_tokens(docs, registry, *carry), *carry)
+    keys = ["path", "lang", "field", *carry]
+    places = F.transform("positions", lambda p: F.struct(F.col("term"), p.alias("pos")))
+    tokens = rows.groupBy(*keys).agg(F.flatten(F.collect_list(places)).alias("tokens"))
+    return postings_of_tokens(tokens, *carry)
 
 
 def postings_of_tokens(tokens: DataFrame, *carry: str) -> DataFrame:
@@ -43,20 +70,6 @@ def postings_of_tokens(tokens: DataFrame, *carry: str) -> DataFrame:
     return runs.select(*keys, "len", F.inline(rows))
 
 
-def postings_of_rows(tokens: DataFrame) -> DataFrame:
-    """Postings from ``(path, lang, field, pos, term)`` rows, such as table-driven analysis
-    leaves. Grouped by path first, so no frequent term gathers in one task."""
-    terms = (tokens.groupBy("path", "lang", "field", "term")
-             .agg(F.count(F.lit(1)).cast("int").alias("tf"),
-                  F.sort_array(F.collect_list("pos")).alias("positions")))
-    keys = ["path", "lang", "field"]
-    lengths = tokens.groupBy(*keys).agg(F.count(F.lit(1)).cast("int").alias("len"),
-                                        F.min("term").alias("head"))
-    return (terms.join(lengths, keys)
-            .select(*keys, "len", "term", "tf", (F.col("term") == F.col("head")).alias("first"),
-                    "positions"))
-
-
 def lengths_of(postings: DataFrame) -> DataFrame:
     """``(lang, field, path, len)`` read off the postings."""
     return postings.filter("first").select("lang", "field", "path", "len")
@@ -64,6 +77,8 @@ def lengths_of(postings: DataFrame) -> DataFrame:
 
 def doc_lengths(docs: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
     """``(lang, field, path, len)`` of fields with at least one term."""
+    if registry.tables is not None:
+        return lengths_of(postings(docs, registry))
     return (field_tokens(docs, registry)
             .select("lang", "field", "path", F.size("tokens").alias("len"))
             .filter("len > 0"))

@@ -16,7 +16,7 @@ BEST = 10
 
 def cut_bodies(docs: DataFrame, registry: Registry = DEFAULT,
                keys: tuple[str, ...] = ("path",), blocked: DataFrame | None = None) -> DataFrame:
-    """``(*keys, size, words)``: kept words of each body with offsets and fragment numbers.
+    """``(*keys, lang, size, words)``: kept words of each body with offsets and fragment numbers.
 
     Done within each document row, without a shuffle. ``blocked(*keys, pos)`` lists
     places inside a phrase match, where no fragment may start.
@@ -28,7 +28,7 @@ def cut_bodies(docs: DataFrame, registry: Registry = DEFAULT,
         walls = docs.join(places, [*keys], "left").withColumn(
             "blocked", F.coalesce("blocked", F.array().cast("array<int>")))
     spans = registry.spans("body", F.col("lang"), F.col("body"))
-    return walls.select(*keys, F.length("body").alias("size"),
+    return walls.select(*keys, "lang", F.length("body").alias("size"),
                         cut_words(spans, F.col("blocked")).alias("words"))
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexharbor.operators import lookup, ranking, snippets
-from lexharbor.operators.analysis import analyze_queries, single_term
+from lexharbor.operators.analysis import single_term
+from lexharbor.operators.vocabulary import analyze_queries, settled
 from lexharbor.plans.index import Index
 from lexharbor.session import BROADCAST_ROWS, broadcast_within, count_up_to, materialize
 
@@ -148,7 +149,7 @@ def winning_fragments(index: Index, queries: DataFrame, shown: DataFrame, rows:
         cut = snippets.cut_bodies(bodies, index.registry)
         wanted = hits.join(wanted_terms(index, queries, kinds), "query_id")
         best = snippets.best_fragments(snippets.fragment_scores(
-            snippets.words_of_cut(cut), wanted))
+            _words(index, cut), wanted))
         parts.append(snippets.merged(best, snippets.fragments(cut)))
     if PHRASE in kinds:
         keys = ("query_id", "path")
@@ -160,13 +161,19 @@ def winning_fragments(index: Index, queries: DataFrame, shown: DataFrame, rows:
         bodies = _bodies(index, matched.select("query_id", "path").distinct(), rows)
         cut = snippets.cut_bodies(bodies, index.registry, keys, places.filter("place > 0"))
         best = snippets.best_fragments(snippets.fragment_scores(
-            snippets.words_of_cut(cut, keys), places.drop("place").distinct(), keys))
+            _words(index, cut, keys), places.drop("place").distinct(), keys))
         parts.append(snippets.merged(best, snippets.fragments(cut, keys), keys))
     if not parts:
         return None
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def _words(index: Index, cut: DataFrame, keys: tuple[str, ...] = ("path",)) -> DataFrame:
+    """Words of the bodies cut, by the terms the index knows them under."""
+    words = snippets.words_of_cut(cut, (*keys, "lang")).withColumn("field", F.lit("body"))
+    return settled(words, index.registry).drop("lang", "field")
+
+
 def _bodies(index: Index, hits: DataFrame, rows: int) -> DataFrame:
     docs = index.docs_of(hits, rows).select("path", "lang", "body")
     return docs.join(broadcast_within(hits, rows), "path")

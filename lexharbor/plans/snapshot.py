@@ -99,7 +99,8 @@ class Snapshots:
         """Write all tables of ``docs`` as version ``v``; the buckets that got any rows.
 
         The text is shuffled by bucket (and split, for buckets too big for one task);
-        postings are then built in place, so they are never shuffled.
+        postings are then built in place, and shuffled only where stem rules or tables merge
+        some of them.
         """
         def place(df: DataFrame) -> DataFrame:
             split = F.pmod(F.hash("path"), F.lit(self.splits))
@@ -113,6 +114,9 @@ class Snapshots:
         save(place(docs.select(*DOC_COLUMNS)), "docs", "bucket")
         stored = self._read_version("docs", v)
         rows = P.postings(place(stored.select(*DOC_COLUMNS)), self.registry, "bucket")
+        if self.registry.resolves():
+            # merging the postings of terms that fall together dealt them by document
+            rows = place(rows)
         save(rows.sortWithinPartitions("bucket", "lang", "field", "term", "path"),
              "postings", "bucket", "lang", "field")
         posted = self._read_version("postings", v)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexharbor.functions.text import title_of, words_of
-from lexharbor.operators.analysis import PLAIN
+from lexharbor.operators.analysis import PLAIN, Registry, Tables
 from lexharbor.plans.index import Index
 from lexharbor.plans.snapshot import Snapshots
 from lexharbor.session import scratch_path
@@ -15,7 +15,7 @@ QUERY_BASE = 100_000
 PHRASE_BASE = 500_000_000_000
 PREFIX_BASE = 900_000_000_000
 
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple[str, str, str], str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,19 +49,34 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs_with_id(spark, sf_dir).select("path", "lang", "title", "body")
 
 
-def stored_index(spark: SparkSession, sf_dir: str) -> Index:
-    """The documents indexed once per application and read from the stored snapshot.
-
-    Indexed without stemming, which SQL has no counterpart for.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
+def stored_index(spark: SparkSession, sf_dir: str, registry: Registry = PLAIN,
+                 name: str = "plain") -> Index:
+    """The documents indexed once per application and ``name``, read from the stored snapshot."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
         rows = docs(spark, sf_dir)
         buckets = min(4096, max(8, rows.count() // 100_000))
         root = scratch_path(spark, "index")
-        Snapshots(spark, root, PLAIN, buckets=buckets).publish(rows)
+        Snapshots(spark, root, registry, buckets=buckets).publish(rows)
         _stored[key] = root
-    return Snapshots(spark, _stored[key], PLAIN).open()
+    return Snapshots(spark, _stored[key], registry).open()
+
+
+OTHER_LANGS = ("de", "es", "fr")
+
+
+def language_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """Tables from the data for bodies not in English: terms of up to three letters are stop
+    words, and a final s of longer ones is cut. Words asked for are in the tables too."""
+    langs = F.array(*[F.lit(x) for x in OTHER_LANGS])
+    held = (docs(spark, sf_dir).filter(F.col("lang").isin(*OTHER_LANGS))
+            .select("lang", F.explode(F.array_distinct(F.transform(
+                words_of(F.col("body")), F.lower))).alias("term")))
+    asked = words(spark, sf_dir).select(F.explode(langs).alias("lang"), F.col("word").alias("term"))
+    terms = held.unionByName(asked).distinct()
+    return Tables(OTHER_LANGS, terms.filter(F.length("term") <= 3), terms.filter(
+        F.col("term").endswith("s")).select(
+            "lang", "term", F.expr("substring(term, 1, length(term) - 1)").alias("stem")))
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:

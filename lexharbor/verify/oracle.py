@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from lexharbor.functions.stem_en import Dialect, stems_sql
 from lexharbor.operators.analysis import STOP_EN
 from lexharbor.operators.language import MARGIN, UNSEEN_SHARE
 from lexharbor.sources.files import BY_EXTENSION
@@ -81,6 +82,27 @@ RANKED = """ranked AS (
   FROM hits)"""
 
 BASE = f"WITH {DOCS}, {TOKS}, {STATS}, {SCORED}"
+
+# English bodies under their stems, each distinct term looked up once
+CUT_TOKS = TOKS.replace("toks AS", "cut AS", 1)
+DUCK = Dialect(", 'g'", r"\1")
+
+
+def stemmed(*sources: str) -> str:
+    """CTE ``stemmed(term, stem)`` of the distinct terms of some selects."""
+    return f"""vocabulary AS (SELECT DISTINCT term FROM ({' UNION ALL '.join(sources)})),
+stemmed AS ({stems_sql('vocabulary', to=DUCK)})"""
+
+
+EN_BODY = "SELECT term FROM cut WHERE field = 'body' AND lang = 'en'"
+STEM_TOKS = """toks AS (
+  SELECT path, lang, field, CASE WHEN field = 'body' AND lang = 'en' THEN stem ELSE term END AS term,
+         pos FROM cut JOIN stemmed USING (term))"""
+# bodies of other languages: short terms dropped, a final s cut
+TABLE_TOKS = """toks AS (
+  SELECT path, lang, field, CASE WHEN field = 'body' AND lang <> 'en' AND term LIKE '%s'
+         THEN left(term, -1) ELSE term END AS term, pos
+  FROM cut WHERE NOT (field = 'body' AND lang <> 'en' AND length(term) <= 3))"""
 WORD_SEARCH = f"{BASE}, {WORDS}, {WORD_TERMS}, {WORD_HITS}, {RANKED}"
 
 TYPOS = """typos AS (
@@ -360,6 +382,28 @@ ORACLE = {
           SELECT path, regexp_extract_all(title, '{W}') AS ws FROM docs))""",
     "tokenize": body_terms("true", False, False),
     "analyze_en_stop": body_terms("lang = 'en'", True, True),
+    "analyze_en_stem": f"""WITH {DOCS}, {CUT_TOKS}, {stemmed(EN_BODY)}
+        SELECT path, pos::INT AS pos, stem AS term FROM cut JOIN stemmed USING (term)
+        WHERE field = 'body' AND lang = 'en'""",
+    "search_stemmed": f"""WITH {DOCS}, {CUT_TOKS}, {WORDS},
+        {stemmed('SELECT term FROM cut', 'SELECT word FROM words')}, {STEM_TOKS}, {STATS}, {SCORED},
+        qterms AS (
+          SELECT query_id, 'en' AS lang, field, CASE WHEN field = 'body' AND word NOT IN {STOP}
+                 THEN stem ELSE word END AS term
+          FROM words JOIN stemmed ON term = word, (SELECT unnest(['body', 'title']) AS field)),
+        {WORD_HITS} SELECT query_id, path, round(score, 4) AS score FROM hits""",
+    "postings_lang_tables": f"""WITH {DOCS}, {CUT_TOKS}, {TABLE_TOKS}, {STATS}
+        SELECT lang, field, term, path, len, tf, array_to_string(positions, ',') AS positions
+        FROM posts JOIN lens USING (lang, field, path)""",
+    "search_lang_tables": f"""WITH {DOCS}, {CUT_TOKS}, {TABLE_TOKS}, {STATS}, {SCORED}, {WORDS},
+        asked AS (
+          SELECT lang || ':' || query_id AS query_id, lang, field,
+                 CASE WHEN field = 'body' AND length(word) > 3 AND word LIKE '%s'
+                 THEN left(word, -1) ELSE word END AS term FROM words,
+            (SELECT unnest(['de', 'es', 'fr']) AS lang),
+            (SELECT unnest(['body', 'title']) AS field))
+        SELECT query_id, path, round({exact_sum('score')}, 4) AS score
+        FROM asked JOIN scored USING (lang, field, term) GROUP BY query_id, path""",
     "analyze_lang_tables": f"""WITH {DOCS}, t AS (
         SELECT lang, path, pos, lower(w) AS term FROM (
           SELECT lang, path, unnest(ws) AS w, unnest(range(len(ws)))::INT AS pos FROM (

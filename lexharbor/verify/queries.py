@@ -9,10 +9,11 @@ from lexharbor.functions.text import kept_length, mark_words
 from lexharbor.operators import changes, language, lookup, maintain, ranking, snippets
 from lexharbor.operators import postings as P
 from lexharbor.operators.analysis import (
-    ENGLISH, ENGLISH_STOP, PLAIN, STANDARD, STOP_EN, analyze, analyze_queries,
+    DEFAULT, ENGLISH, ENGLISH_STOP, PLAIN, STANDARD, STOP_EN, Registry, Tables,
     analyze_with_tables, explode_tokens)
 from lexharbor.operators.prefixes import RAW, SEGMENT
 from lexharbor.operators.suggest import suggest_terms
+from lexharbor.operators.vocabulary import analyze, analyze_queries
 from lexharbor.plans import search as S
 from lexharbor.plans.snapshot import Snapshots
 from lexharbor.session import scratch_path
@@ -99,16 +100,16 @@ def analyze_en_stem(spark: Spark, sf: str) -> Frame:
 
 
 def analyze_lang_tables(spark: Spark, sf: str) -> Frame:
-    """Tables from the data: terms of up to three letters are stop words, and a final s
-    of longer ones is cut."""
     docs = I.docs(spark, sf).filter("lang <> 'en'")
     tokens = explode_tokens(docs.select("path", "lang", STANDARD.tokens(F.col("body")).alias(
         "tokens")), "path", "lang")
-    terms = tokens.select("lang", "term").distinct()
-    stopwords = terms.filter(F.length("term") <= 3)
-    stems = terms.filter(F.col("term").endswith("s")).select(
-        "lang", "term", F.expr("substring(term, 1, length(term) - 1)").alias("stem"))
-    return analyze_with_tables(tokens, stopwords, stems).select("lang", "path", "pos", "term")
+    tables = I.language_tables(spark, sf)
+    return analyze_with_tables(tokens, tables.stopwords, tables.stems).select(
+        "lang", "path", "pos", "term")
+
+
+def _tabled(spark: Spark, sf: str) -> Registry:
+    return Registry(bound=PLAIN.bound, tables=I.language_tables(spark, sf))
 
 
 def _detected(spark: Spark, sf: str) -> Frame:
@@ -160,6 +161,13 @@ def postings(spark: Spark, sf: str) -> Frame:
         F.array_join("positions", ",").alias("positions"))
 
 
+def postings_lang_tables(spark: Spark, sf: str) -> Frame:
+    """Postings of all documents, bodies not in English by stop-word and stem tables."""
+    return P.postings(I.docs(spark, sf), _tabled(spark, sf)).select(
+        "lang", "field", "term", "path", F.col("len").cast("long").alias("len"),
+        F.col("tf").cast("long").alias("tf"), F.array_join("positions", ",").alias("positions"))
+
+
 def doc_length(spark: Spark, sf: str) -> Frame:
     return P.doc_lengths(I.docs(spark, sf), PLAIN).select(
         "lang", "field", "path", F.col("len").cast("long").alias("len"),
@@ -330,6 +338,24 @@ def search_lang(spark: Spark, sf: str) -> Frame:
         "query_id", "path", _score())
 
 
+def search_stemmed(spark: Spark, sf: str) -> Frame:
+    """Each word in an index of stemmed English bodies, the default analysis."""
+    index = I.stored_index(spark, sf, DEFAULT, "stemmed")
+    return S.search_hits(index, I.word_queries(spark, sf), [S.TERM]).select(
+        "query_id", "path", _score())
+
+
+def search_lang_tables(spark: Spark, sf: str) -> Frame:
+    """Each word in the other languages, bodies analysed by tables when indexed and when asked."""
+    index = I.stored_index(spark, sf, _tabled(spark, sf), "tables")
+    asked = I.words(spark, sf).select(
+        "query_id", F.lit("term").alias("kind"),
+        F.explode(F.array(*[F.lit(x) for x in I.OTHER_LANGS])).alias("lang"),
+        F.col("word").alias("text"))
+    keyed = asked.withColumn("query_id", F.concat_ws(":", "lang", "query_id"))
+    return S.search_hits(index, keyed, [S.TERM]).select("query_id", "path", _score())
+
+
 def bm25_scores(spark: Spark, sf: str) -> Frame:
     index = I.stored_index(spark, sf)
     scored = (index.postings.join(index.term_stats(), ["lang", "field", "term"])
@@ -472,11 +498,11 @@ def events_in_roots(spark: Spark, sf: str) -> Frame:
 QUERIES = {f.__name__.rstrip("_"): f for f in (
     scan_docs, media_type_counts, media_type_filter, extract_text, extractor_hook, list_roots,
     title_terms, tokenize, analyze_en_stop, analyze_en_stem, analyze_lang_tables, lang_detect,
-    lang_route, analyze_queries_, query_validate, highlight_mark, postings, doc_length,
+    lang_route, analyze_queries_, query_validate, highlight_mark, postings, postings_lang_tables, doc_length,
     term_stats, field_stats, snapshot_tables, upsert, remove_prefix, remove_prefix_segment,
     remove_exact, register_roots, unregister_root, reindex, purge, search_term, search_phrase,
     search_phrase_gaps, fuzzy_expand, fuzzy_levenshtein, search_fuzzy, search_prefix,
-    search_bool_parts, search_lang, bm25_scores, hit_counts, search_ranked, search_topk,
+    search_bool_parts, search_lang, search_stemmed, search_lang_tables, bm25_scores, hit_counts, search_ranked, search_topk,
     search_fetch, fragments, fragment_scores, snippets_top, snippets_merged, snippets_phrase,
     search_batch, suggest_terms_, change_counts, snapshot_diff, fold_changes, apply_changes,
     events_in_roots)}

@@ -1,12 +1,17 @@
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
 
-from lexharbor.functions.stem_en import porter
+from lexharbor.functions import stem_en
 from lexharbor.functions.text import WORDS_JOINED, ancestors_of, kept_length, mark_words, title_of
 from lexharbor.operators import postings as P
 from lexharbor.operators.analysis import (
-    DEFAULT, ENGLISH, PLAIN, STANDARD, Analyzer, analyze, analyze_with_tables, field_tokens)
+    DEFAULT, ENGLISH, PLAIN, STANDARD, Analyzer, Registry, Tables, analyze_with_tables)
+from lexharbor.operators.vocabulary import analyze, analyze_queries
+from lexharbor.plans.index import build_index
+from lexharbor.plans.search import search
+from lexharbor.plans.snapshot import Snapshots
 
 
 def terms(spark, text, analyzer):
@@ -33,14 +38,77 @@ def test_possessive_takes_no_place(spark):
         (0, "king"), (1, "file.txt"), (2, "3.14")]
 
 
-def test_stems():
-    for word, stem in {"running": "run", "cats": "cat", "france": "franc", "queen": "queen",
+def porter(word):
+    """The published rules, one word at a time."""
+    def shape(w):
+        out = ""
+        for ch in w:
+            out += "v" if ch in "aeiou" or (ch == "y" and out[-1:] == "c") else "c"
+        return out
+
+    def hissing(w):
+        return shape(w).endswith("cvc") and w[-1] not in "wxy"
+
+    def ending(w, ends):
+        return max((e for e in ends if w.endswith(e)), key=len, default=None)
+
+    if len(word) < 3:
+        return word
+    for end, new in (("sses", "ss"), ("ies", "i"), ("ss", "ss"), ("s", "")):
+        if word.endswith(end):
+            word = word[:len(word) - len(end)] + new
+            break
+    if word.endswith("eed"):
+        if "vc" in shape(word[:-3]):
+            word = word[:-1]
+    elif (end := ending(word, ("ed", "ing"))) and "v" in shape(word[:-len(end)]):
+        word = word[:-len(end)]
+        if word.endswith(("at", "bl", "iz")):
+            word += "e"
+        elif shape(word).endswith("cc") and word[-1] == word[-2] and word[-1] not in "lsz":
+            word = word[:-1]
+        elif shape(word).count("vc") == 1 and hissing(word):
+            word += "e"
+    if word.endswith("y") and "v" in shape(word[:-1]):
+        word = word[:-1] + "i"
+    for rules in (dict(stem_en.STEP_2), dict(stem_en.STEP_3)):
+        if (end := ending(word, rules)) and "vc" in shape(word[:-len(end)]):
+            word = word[:-len(end)] + rules[end]
+    if end := ending(word, stem_en.STEP_4):
+        stem = word[:-len(end)]
+        if shape(stem).count("vc") > 1 and (end != "ion" or stem[-1:] in ("s", "t")):
+            word = stem
+    if word.endswith("e"):
+        m = shape(word[:-1]).count("vc")
+        if m > 1 or (m == 1 and not hissing(word[:-1])):
+            word = word[:-1]
+    if word.endswith("ll") and shape(word).count("vc") > 1:
+        word = word[:-1]
+    return word
+
+
+def test_stem_cascade_equals_the_rules_word_by_word(spark):
+    rng = random.Random(3)
+    ends = [a for a, _ in stem_en.STEP_2 + stem_en.STEP_3] + list(stem_en.STEP_4) + [
+        "s", "ies", "sses", "ed", "ing", "eed", "y", "e", "ll", ""]
+    words = {"".join(rng.choices("aeiouyybcdlstwxzé1", k=rng.randrange(6)))
+             + "".join(rng.choices(ends, k=rng.randrange(3))) for _ in range(4000)}
+    frame = spark.createDataFrame([(w,) for w in sorted(words)], "term string")
+    got = {r.term: r.stem for r in stem_en.stems(frame).collect()}
+    assert got == {w: porter(w) for w in words}
+
+
+def test_stems(spark):
+    known = {"running": "run", "cats": "cat", "france": "franc", "queen": "queen",
                        "happy": "happi", "caresses": "caress", "ponies": "poni",
                        "relational": "relat", "vietnamization": "vietnam", "hopping": "hop",
                        "falling": "fall", "filing": "file", "sky": "sky", "rate": "rate",
                        "controll": "control", "roll": "roll", "adoption": "adopt",
-                       "agreed": "agre", "plastered": "plaster", "is": "is"}.items():
-        assert porter(word) == stem
+                       "agreed": "agre", "plastered": "plaster", "is": "is"}
+    frame = spark.createDataFrame([(w,) for w in known], "term string")
+    assert {r.term: r.stem for r in stem_en.stems(frame).collect()} == known
+    plan = stem_en.stems(frame)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_kept_length(spark):
@@ -67,11 +135,58 @@ def test_postings_match_a_plain_count(spark):
     assert Counter(r.path for r in rows if r.first) == {"p1": 1, "p2": 1}
 
 
-def test_row_and_array_builders_agree(spark, corpus):
-    in_row = P.postings(corpus, DEFAULT)
-    tokens = field_tokens(corpus, DEFAULT).select("path", "lang", "field", F.inline("tokens"))
-    by_rows = P.postings_of_rows(tokens).select(*in_row.columns)
-    assert sorted(map(str, in_row.collect())) == sorted(map(str, by_rows.collect()))
+def test_postings_of_terms_that_fall_together_merge(spark):
+    docs = spark.createDataFrame([
+        ("p1", "en", "cats", "Cats run, the cat ran: running cats"), ("p2", "pl", "psy", "psy i kot psa"),
+        ("p3", "fr", "", "cats cat"), ("p4", "pl", "i", "i i"), ("p5", "en", "", "")],
+        "path string, lang string, title string, body string")
+    tables = Tables(("pl",), spark.createDataFrame([("pl", "i"), ("pl", "i"), ("fr", "cat")],
+                                                   "lang string, term string"),
+                    spark.createDataFrame([("pl", "psy", "pies"), ("pl", "psa", "pies"),
+                                           ("pl", "psa", "pieso"), ("pl", "i", "x")],
+                                          "lang string, term string, stem string"))
+    registry = Registry(tables=tables)
+    rows = P.postings(docs, registry).collect()
+    got = {(r.path, r.field, r.term): (r.len, r.tf, r.positions) for r in rows}
+    assert got == {
+        ("p1", "title", "cats"): (1, 1, [0]),
+        ("p1", "body", "cat"): (6, 3, [0, 3, 6]), ("p1", "body", "run"): (6, 2, [1, 5]),
+        ("p1", "body", "ran"): (6, 1, [4]),
+        ("p2", "title", "psy"): (1, 1, [0]),
+        ("p2", "body", "pies"): (3, 2, [0, 3]), ("p2", "body", "kot"): (3, 1, [2]),
+        ("p3", "body", "cats"): (2, 1, [0]), ("p3", "body", "cat"): (2, 1, [1]),
+        ("p4", "title", "i"): (1, 1, [0])}
+    assert Counter((r.path, r.field) for r in rows if r.first) == Counter(
+        {(p, f): 1 for p, f, _ in got})
+    lengths = {(r.path, r.field): r.len for r in P.doc_lengths(docs, registry).collect()}
+    assert lengths == {(p, f): v[0] for (p, f, _), v in got.items()}
+
+
+def test_tables_reach_index_search_and_snippets(spark, tmp_path):
+    docs = spark.createDataFrame([
+        ("/a", "pl", "jeden", "Dwa psy i kot."), ("/b", "pl", "dwa", "I nie ma psa, i nie ma"),
+        ("/c", "en", "psy", "psy running")], "path string, lang string, title string, body string")
+    tables = Tables(("pl",), spark.createDataFrame([("pl", "i")], "lang string, term string"),
+                    spark.createDataFrame([("pl", "psy", "pies"), ("pl", "psa", "pies")],
+                                          "lang string, term string, stem string"))
+    registry = Registry(tables=tables)
+    asked = spark.createDataFrame([
+        (1, "term", "pl", "Psa"), (2, "phrase", "pl", "dwa psa"), (3, "term", "pl", "i"),
+        (4, "term", "en", "runs"), (5, "fuzzy", "pl", "piez")],
+        "query_id int, kind string, lang string, text string")
+    terms = {(r.query_id, r.field): r.terms for r in analyze_queries(asked, registry).collect()}
+    assert terms[1, "body"] == ["pies"] and terms[1, "title"] == ["psa"]
+    assert terms[3, "body"] == [] and terms[4, "body"] == ["run"] and len(terms) == 10
+    stored = Snapshots(spark, str(tmp_path / "index"), registry, buckets=2)
+    stored.publish(docs)
+    for index in (build_index(docs, registry), stored.open()):
+        found = search(index, asked, 10, details=True)
+        hits = {(r.query_id, r.path) for r in found.hits.collect()}
+        assert hits == {(1, "/a"), (1, "/b"), (2, "/a"), (4, "/c"), (5, "/a"), (5, "/b")}
+        texts = {(r.query_id, r.path): r.text for r in found.snippets.collect()}
+        assert texts[1, "/b"] == "I nie ma <b>psa</b>, i nie ma"
+        assert texts[2, "/a"] == "<b>Dwa</b> <b>psy</b> i kot."
+        assert texts[4, "/c"] == "psy <b>running</b>"
 
 
 def test_totals_agree(corpus):
