@@ -30,8 +30,9 @@ COMMON = 0.02
 PRIOR = 1.0
 STEPS, SETTLED = 25, 1e-3
 PENALTY = 0.5
-# Cells (trigram, language) held at once when texts are judged.
-CELLS = 1 << 21
+# Text counted at once, and cells (trigram, language) held at once when texts are judged.
+SLICE_BYTES = 1 << 20
+CELLS = 1 << 20
 UNDETERMINED = "und"
 # Which code points are letters.
 LETTER = np.array([chr(i).isalpha() for i in range(sys.maxunicode + 1)])
@@ -83,7 +84,7 @@ def _counting(langs: list[str], buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(langs), buckets), dtype=np.int64)
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, SLICE_BYTES):
                 rows = [(at[lang], text) for lang, text in
                         zip(piece.column("lang").to_pylist(), piece.column("text").to_pylist(),
                             strict=True) if lang in at]
@@ -228,7 +229,7 @@ def infer(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, SLICE_BYTES):
                 found = mixtures(piece.column("text").to_pylist(), model)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": piece.column("doc_id"), "held_out": piece.column("held_out"),
