@@ -9,27 +9,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Two words within two edits share a key when up to two characters are deleted from
-# the first KEY_CHARS of each, so longer words need no more keys than this.
-KEY_CHARS = 10
+# the first KEY_CHARS of each, so longer words need no more keys than MOST_KEYS.
+KEY_CHARS = 7
+MOST_KEYS = 1 + KEY_CHARS + KEY_CHARS * (KEY_CHARS - 1) // 2
 # Distances are told apart up to REACH; beyond that they are FAR.
 REACH, FAR = 2, 3
 
 
 def deletion_keys(term: Column, chars: int = KEY_CHARS) -> Column:
-    """Every string left by deleting at most two of the first ``chars`` characters."""
-    head = F.substring(term, F.lit(1), F.lit(chars))
+    """Every string left by deleting at most two of the first ``chars`` characters.
 
-    def without(word: Column, at: Column) -> Column:
-        return F.concat(F.substring(word, F.lit(1), at - 1),
-                        F.substring(word, at + 1, F.length(word)))
+    Written out place by place, so no function is called per character; places beyond the end
+    of a short word leave nulls.
+    """
+    head = F.substring(term, F.lit(1), F.lit(chars))
+    size = F.length(head)
 
-    def spots(word: Column) -> Column:
-        n = F.length(word)
-        return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    def part(start: int, stop: int) -> Column:
+        return F.substring(head, F.lit(start), F.lit(stop - start + 1))
 
-    once = F.transform(spots(head), lambda i: without(head, i))
-    twice = F.flatten(F.transform(once, lambda w: F.transform(spots(w), lambda j: without(w, j))))
-    return F.array_distinct(F.concat(F.array(head), once, twice))
+    kept = [head]
+    for i in range(1, chars + 1):
+        kept.append(F.when(size >= i, F.concat(part(1, i - 1), part(i + 1, chars))))
+        kept += [F.when(size >= j, F.concat(part(1, i - 1), part(i + 1, j - 1), part(j + 1, chars)))
+                 for j in range(i + 1, chars + 1)]
+    return F.array_distinct(F.array(*kept))
 
 
 def _codes(words: pd.Series) -> tuple[np.ndarray, np.ndarray]:

@@ -74,6 +74,11 @@ def path_bucket(path: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(path), F.lit(buckets)).cast("int")
 
 
+def term_slot(term: Column, slots: int) -> Column:
+    """Stable folder of a term within a bucket, the unit in which a lookup reads."""
+    return F.pmod(F.xxhash64(term), F.lit(slots)).cast("int")
+
+
 def ancestors_of(path: Column) -> Column:
     """The path itself and every folder above it, as full strings; ``/`` tops an absolute one."""
     parts = F.split(path, "/")

@@ -24,6 +24,28 @@ def events_in_roots(events: DataFrame, roots: DataFrame, mode: str = RAW) -> Dat
     return events.join(found.select("seq").distinct(), "seq", "left_semi")
 
 
+def deaths_of_roots(events: DataFrame, roots: DataFrame) -> DataFrame:
+    """``(path, died)``: roots that a deletion names, or lie in a folder it names, and its ``seq``."""
+    deleted = (events.filter(F.col("kind") == DELETE)
+               .groupBy(F.col("path").alias("prefix")).agg(F.min("seq").alias("seq")))
+    return (match_prefixes(roots.select("path"), deleted, SEGMENT)
+            .groupBy("path").agg(F.min("seq").alias("died")))
+
+
+def events_while_alive(events: DataFrame, roots: DataFrame, deaths: DataFrame,
+                       mode: str = RAW) -> DataFrame:
+    """Events under a root that had not died before them, and the deletions that roots died of.
+
+    Overflow has no path and is dropped.
+    """
+    known = (roots.select("path").distinct().join(deaths, "path", "left")
+             .withColumnRenamed("path", "prefix"))
+    found = (match_prefixes(events.select("seq", "path"), known, mode)
+             .filter("died is null or seq <= died"))
+    counted = found.select("seq").unionByName(deaths.select(F.col("died").alias("seq")))
+    return events.join(counted.distinct(), "seq", "left_semi")
+
+
 def removals(events: DataFrame, mode: str = RAW) -> DataFrame:
     """``(prefix, del_seq)``: the last removal of each path.
 
@@ -69,4 +91,4 @@ def snapshot_diff(old: DataFrame, new: DataFrame, by: list[str]) -> DataFrame:
 
 
 __all__ = ["CREATE", "MODIFY", "DELETE", "OVERFLOW", "RAW", "SEGMENT", "change_counts",
-           "events_in_roots", "fold_changes", "apply_changes", "snapshot_diff"]
+           "events_in_roots", "deaths_of_roots", "events_while_alive", "fold_changes", "apply_changes", "snapshot_diff"]

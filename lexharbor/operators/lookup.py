@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexharbor.functions.edits import deletion_keys, swap_distance
+from lexharbor.functions.edits import MOST_KEYS, deletion_keys, swap_distance
 from lexharbor.operators.prefixes import RAW, match_prefixes
-from lexharbor.session import BROADCAST_ROWS, broadcast_within, count_up_to
+from lexharbor.session import BROADCAST_ROWS, broadcast_within, count_up_to, materialize
 
 KEY = ["lang", "field", "term"]
 
@@ -37,35 +37,69 @@ def exact_sum(value: Column) -> Column:
     return F.sum(F.floor(value * F.lit(step))) / F.lit(step)
 
 
-def with_stats(index, qterms: DataFrame) -> tuple[DataFrame, int]:
-    """Query terms with ``df, n_docs, avg_len``, and a bound on their number.
+def with_stats(index, qterms: DataFrame):
+    """Query terms with ``df, n_docs, avg_len``, and the :class:`Reach` of the terms asked.
 
     Terms that occur nowhere drop out.
     """
-    rows = count_up_to(qterms, BROADCAST_ROWS)
-    wanted = broadcast_within(qterms.select(*KEY).distinct(), rows)
-    dfs = index.term_stats_of(wanted).select(*KEY, "df")
-    fields = F.broadcast(index.field_stats().select("lang", "field", "n_docs", "avg_len"))
-    known = qterms.join(broadcast_within(dfs, rows), KEY).join(fields, ["lang", "field"])
-    return known, rows
+    reach = index.reach(qterms)
+    wanted = broadcast_within(qterms.select(*KEY).distinct(), reach.rows)
+    dfs = index.term_stats_of(wanted, reach).select(*KEY, "df")
+    known = (qterms.join(broadcast_within(dfs, reach.rows), KEY)
+             .join(index.field_stats().select("lang", "field", "n_docs", "avg_len"),
+                   ["lang", "field"]))
+    return known, reach
 
 
 def term_hits(index, qterms: DataFrame) -> DataFrame:
     """``(query_id, path, field, term, score)`` for single-term clauses."""
-    known, rows = with_stats(index, qterms)
+    known, reach = with_stats(index, qterms)
     weighed = known.withColumn("weight", idf(F.col("n_docs"), F.col("df")))
-    return _score_terms(index, weighed, rows)
+    return _score_terms(index, weighed, reach)
 
 
-def _score_terms(index, weighed: DataFrame, rows: int) -> DataFrame:
+def _score_terms(index, weighed: DataFrame, reach) -> DataFrame:
     side = weighed.select("query_id", *KEY, "weight", "avg_len")
-    joined = index.postings_for(side, rows).join(broadcast_within(side, rows), KEY)
+    joined = index.postings_within(reach).join(broadcast_within(side, reach.rows), KEY)
     length = index.norm(F.col("len"))
     return joined.select(
         "query_id", "path", "field", "term",
         bm25(F.col("weight"), F.col("tf"), length, F.col("avg_len")).alias("score"))
 
 
+def phrase_rows(index, phrases: DataFrame) -> DataFrame:
+    """``(query_id, path, field, n, weight, avg_len, len, starts)``: a row for each term of a phrase
+    and document that may hold it; ``starts`` are the places where the phrase would begin.
+
+    The rarest term of each phrase comes first: its documents are the candidates, stored once.
+    The other terms' postings are cut down to the candidates before anything is shuffled, so
+    a phrase costs its rarest term's documents times its length, however frequent the rest.
+    Phrases with a term found nowhere drop out at once.
+    """
+    qterms = (phrases.select("query_id", "lang", "field", F.size("tokens").alias("n"),
+                             F.inline("tokens"))
+              .withColumnRenamed("pos", "place"))
+    known, reach = with_stats(index, qterms)
+    phrase = Window.partitionBy("query_id", "lang", "field")
+    side = materialize(
+        known.withColumn("found", F.count(F.lit(1)).over(phrase)).filter("found = n")
+        .withColumn("turn", F.row_number().over(phrase.orderBy("df", "place")))
+        .select("query_id", *KEY, "n", "place", "turn", "avg_len",
+                idf(F.col("n_docs"), F.col("df")).alias("weight")), "phrase_terms")
+    keys = ["query_id", "path", "field"]
+
+    def rows_of(part: DataFrame) -> DataFrame:
+        joined = index.postings_within(reach).join(broadcast_within(part, reach.rows), KEY)
+        return joined.select(*keys, "n", "weight", "avg_len", "len",
+                             F.expr("transform(positions, p -> p - place)").alias("starts"))
+
+    rarest = materialize(rows_of(side.filter("turn = 1").drop("turn")), "candidates")
+    wanted = rarest.filter("n > 1").select(*keys)
+    rest = rows_of(side.filter("turn > 1").drop("turn")).join(
+        broadcast_within(wanted, count_up_to(wanted, BROADCAST_ROWS)), keys, "left_semi")
+    return rarest.unionByName(rest)
+
+
 def phrase_hits(index, phrases: DataFrame) -> DataFrame:
     """``(query_id, path, field, freq, starts, n_terms, score)`` of exact phrases.
 
@@ -74,17 +108,7 @@ def phrase_hits(index, phrases: DataFrame) -> DataFrame:
     and the shifted lists of one document intersected, so rows shuffle per posting,
     not per position, keyed by (query, document).
     """
-    qterms = (phrases.select("query_id", "lang", "field", F.size("tokens").alias("n"),
-                             F.inline("tokens"))
-              .withColumnRenamed("pos", "place"))
-    known, rows = with_stats(index, qterms)
-    side = known.withColumn("weight", idf(F.col("n_docs"), F.col("df"))).select(
-        "query_id", *KEY, "n", "place", "weight", "avg_len")
-    joined = index.postings_for(side, rows).join(broadcast_within(side, rows), KEY)
-    shifted = joined.select(
-        "query_id", "path", "field", "n", "weight", "avg_len", "len",
-        F.expr("transform(positions, p -> p - place)").alias("starts"))
-    per_doc = (shifted.groupBy("query_id", "path", "field")
+    per_doc = (phrase_rows(index, phrases).groupBy("query_id", "path", "field")
                .agg(F.count(F.lit(1)).alias("found"), F.first("n").alias("n_terms"),
                     exact_sum(F.col("weight")).alias("weight"), F.first("avg_len").alias("avg_len"),
                     F.first("len").alias("len"), F.collect_list("starts").alias("lists"))
@@ -103,16 +127,19 @@ def fuzzy_candidates(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
     """``(lang, field, word, term, df)`` that may lie within two edits.
 
     ``words(lang, field, word)`` are distinct. Both sides emit deletion keys and join
-    on them, which finds every pair within two edits; a threshold on the built-in
-    distance then drops most others before the pairs are made distinct.
+    on them, which finds every pair within two edits. A word gives its keys with every
+    length in reach, so terms with a common beginning are split by length. A threshold on the
+    built-in distance then drops most others before the pairs are made distinct.
     """
     rows = count_up_to(words, BROADCAST_ROWS)
-    # no word emits more than 1 + 10 + 45 keys
-    keys = words.withColumn("key", F.explode_outer(deletion_keys(F.col("word"))))
-    terms = (vocabulary.select("lang", "field", "term", "df")
-             .withColumn("key", F.explode_outer(deletion_keys(F.col("term")))))
-    near = (terms.join(broadcast_within(keys, rows * 56), ["lang", "field", "key"])
-            .filter(F.abs(F.length("term") - F.length("word")) <= MAX_EDITS)
+    reach = F.sequence(F.length("word") - MAX_EDITS, F.length("word") + MAX_EDITS)
+    keys = (words.withColumn("key", F.explode(deletion_keys(F.col("word")))).filter("key is not null")
+            .select("*", F.explode(reach).alias("size")))
+    terms = (vocabulary.select("lang", "field", "term", "df", F.length("term").alias("size"))
+             .withColumn("key", F.explode(deletion_keys(F.col("term")))).filter("key is not null"))
+    bound = rows * MOST_KEYS * (2 * MAX_EDITS + 1)
+    near = (terms.join(broadcast_within(keys, bound, 4 * BROADCAST_ROWS),
+                       ["lang", "field", "size", "key"])
             .filter(F.levenshtein("term", "word", 2 * MAX_EDITS) >= 0))
     return near.select("lang", "field", "word", "term", "df").distinct()
 
@@ -146,18 +173,18 @@ def levenshtein_expand(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
 
 def fuzzy_hits(index, qterms: DataFrame) -> DataFrame:
     """``(query_id, path, field, term, score, boost)`` over all expansions of each word."""
-    rows = count_up_to(qterms, BROADCAST_ROWS)
     words = qterms.select("lang", "field", F.col("term").alias("word")).distinct()
-    expansions = fuzzy_expand(index.term_stats(), words)
-    fields = F.broadcast(index.field_stats().select("lang", "field", "n_docs", "avg_len"))
-    weighed = (expansions.join(fields, ["lang", "field"])
+    expansions = index.expansions(words)
+    weighed = (expansions.join(index.field_stats().select("lang", "field", "n_docs", "avg_len"),
+                               ["lang", "field"])
                .withColumn("weight", F.col("boost") * idf(F.col("n_docs"), F.col("top_df")))
                .select("lang", "field", "word", "term", "boost", "weight", "avg_len"))
-    asked = (weighed.join(qterms.select("query_id", "lang", "field",
-                                        F.col("term").alias("word")), ["lang", "field", "word"])
-             .drop("word"))
-    bound = rows * MAX_EXPANSIONS
-    joined = index.postings_for(asked, bound).join(broadcast_within(asked, bound), KEY)
+    # read twice: to see how far the terms reach, and to join
+    asked = materialize(weighed.join(qterms.select(
+        "query_id", "lang", "field", F.col("term").alias("word")), ["lang", "field", "word"])
+        .drop("word"), "expansions")
+    reach = index.reach(asked)
+    joined = index.postings_within(reach).join(broadcast_within(asked, reach.rows), KEY)
     return joined.select(
         "query_id", "path", "field", "term",
         bm25(F.col("weight"), F.col("tf"), index.norm(F.col("len")),

@@ -6,10 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexharbor.session import BROADCAST_ROWS, broadcast_within
-
-# Cut points per query when every hit is ranked.
-CUTS = 64
+from lexharbor.session import BROADCAST_ROWS, broadcast_within, count_up_to, materialize
 
 
 def hit_counts(hits: DataFrame) -> DataFrame:
@@ -32,40 +29,35 @@ def top_k(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
-def rank_all(hits: DataFrame, n_queries: int | None = None, cuts: int = CUTS) -> DataFrame:
+def rank_all(hits: DataFrame) -> DataFrame:
     """Rank every hit of every query without gathering a query in one task.
 
-    A query may hit a third of all documents. Its hits are cut into ranges at up to
-    ``cuts`` hits picked by hash; a hit's rank is its place in its range plus the
-    sizes of the ranges before. The cut points only balance the work: the ranks are
-    exact wherever they fall. ``n_queries``, if known, bounds the cut points and decides
-    whether they may be broadcast.
+    A query may hit a third of all documents. The hits, best read from a stored table, are dealt
+    to the tasks by ranges of (query, score, path), sorted and stored with their place. A hit's
+    rank is its place among its query's hits of the task, plus how many hits of the query lie in
+    the ranges before. Only those counts are joined, one row for each query and range it touches.
     """
-    rows = BROADCAST_ROWS + 1 if n_queries is None else n_queries * (cuts + 1)
-    place = F.struct((-F.col("score")).alias("s"), F.col("path").alias("p"))
-    by_hash = Window.partitionBy("query_id").orderBy("h", "path")
-    points = (hits.withColumn("h", F.xxhash64("query_id", "path"))
-              .withColumn("n", F.row_number().over(by_hash)).filter(F.col("n") <= cuts)
-              .groupBy("query_id").agg(F.collect_list(place).alias("points")))
-    ranged = (hits.join(broadcast_within(points, rows), "query_id")
-              .withColumn("range", F.size(F.filter("points", lambda x: x < place)))
-              .drop("points"))
+    order = ["query_id", F.desc("score"), "path"]
+    placed = materialize(
+        hits.repartitionByRange(*order).sortWithinPartitions(*order).select(
+            *hits.columns, F.spark_partition_id().alias("range"),
+            F.monotonically_increasing_id().alias("place")), "ranges")
     before = Window.partitionBy("query_id").orderBy("range").rowsBetween(
         Window.unboundedPreceding, -1)
-    sizes = (ranged.groupBy("query_id", "range").agg(F.count(F.lit(1)).alias("n"))
+    sizes = (placed.groupBy("query_id", "range")
+             .agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
              .withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))
              .drop("n"))
-    within = Window.partitionBy("query_id", "range").orderBy(F.desc("score"), "path")
-    return (ranged.withColumn("place", F.row_number().over(within))
-            .join(broadcast_within(sizes, rows), ["query_id", "range"])
-            .withColumn("rank", (F.col("ahead") + F.col("place")).cast("int"))
-            .drop("ahead", "place", "range"))
+    rows = count_up_to(sizes, BROADCAST_ROWS)
+    return (placed.join(broadcast_within(sizes, rows), ["query_id", "range"])
+            .withColumn("rank", (F.col("ahead") + F.col("place") - F.col("first") + 1).cast("int"))
+            .select(*hits.columns, "rank"))
 
 
-def ranked(hits: DataFrame, k: int | None = None, n_queries: int | None = None) -> DataFrame:
+def ranked(hits: DataFrame, k: int | None = None) -> DataFrame:
     """``(query_id, path, score, rank)`` best first, equal scores by path."""
     k = check_limit(k)
-    return rank_all(hits, n_queries) if k is None else top_k(hits, k)
+    return rank_all(hits) if k is None else top_k(hits, k)
 
 
 def fetch(ranked: DataFrame, docs: DataFrame, columns: list[str], rows: int) -> DataFrame:

@@ -7,13 +7,25 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexharbor.functions.text import kept_length, path_bucket
+from lexharbor.functions.text import kept_length, path_bucket, term_slot
+from lexharbor.operators import lookup
 from lexharbor.operators import postings as P
 from lexharbor.operators.analysis import DEFAULT, Registry
 from lexharbor.session import BROADCAST_ROWS
 
-# Up to this many distinct terms are pushed into the scan as a filter.
-PUSHED_TERMS = 200
+# Languages of a table of queries that are put into the scan; with more, slots alone prune.
+SCANNED_LANGS = 1000
+
+
+@dataclass(frozen=True)
+class Reach:
+    """How far a table of query terms reaches: enough to prune a scan, whatever its size."""
+
+    rows: int
+    langs: list[str]
+    slots: list[int]
+    low: str | None
+    high: str | None
 
 
 @dataclass
@@ -34,6 +46,8 @@ class Index:
     # the stored documents with their bucket, and how many buckets there are
     by_bucket: DataFrame | None = None
     buckets: int = 0
+    # into how many folders the terms of a stored index are hashed
+    slots: int = 1
 
     def docs_of(self, hits: DataFrame, rows: int) -> DataFrame:
         """The documents a join with ``hits(path)`` may need; ``rows`` bounds the hits.
@@ -54,11 +68,9 @@ class Index:
         return (self.terms.groupBy("lang", "field", "term")
                 .agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf")))
 
-    def term_stats_of(self, wanted: DataFrame) -> DataFrame:
-        """Statistics of the wanted (lang, field, term) only."""
-        found = self.terms.join(wanted, ["lang", "field", "term"], "left_semi")
-        return found.groupBy("lang", "field", "term").agg(
-            F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
+    def expansions(self, words: DataFrame) -> DataFrame:
+        """The best expansions of ``words(lang, field, word)`` with their document frequencies."""
+        return lookup.fuzzy_expand(self.term_stats(), words)
 
     def field_stats(self) -> DataFrame:
         """One row per language and field."""
@@ -69,21 +81,45 @@ class Index:
     def lengths(self) -> DataFrame:
         return P.lengths_of(self.postings)
 
-    def postings_for(self, side: DataFrame, rows: int) -> DataFrame:
-        """The postings a join with ``side`` may need.
+    def reach(self, terms: DataFrame) -> Reach:
+        """Rows of ``terms(lang, term, …)``, their languages, folders and first and last term.
 
-        A stored index is sorted by term, so for a handful of terms the scan is given
-        them as a filter and skips the rest; otherwise the join alone selects.
+        One small job; the slots are no more than the index has, however many the terms.
         """
-        if not self.stored or rows > PUSHED_TERMS:
-            return self.postings
-        keys = side.select("lang", "field", "term").distinct().collect()
-        if not keys:
-            return self.postings.filter(F.lit(False))
-        chosen = {name: sorted({k[name] for k in keys}) for name in ("lang", "field", "term")}
-        return self.postings.filter(F.col("lang").isin(chosen["lang"])
-                                    & F.col("field").isin(chosen["field"])
-                                    & F.col("term").isin(chosen["term"]))
+        langs = F.array_compact(F.collect_set("lang"))
+        found = terms.agg(
+            F.count(F.lit(1)).alias("rows"), langs.alias("langs"),
+            F.collect_set(term_slot(F.col("term"), self.slots)).alias("slots"),
+            F.min("term").alias("low"), F.max("term").alias("high")).first()
+        return Reach(found["rows"], sorted(found["langs"]), sorted(found["slots"]),
+                     found["low"], found["high"])
+
+    def _pruned(self, table: DataFrame, reach: Reach, slotted: bool) -> DataFrame:
+        if not self.stored:
+            return table
+        if reach.low is None:
+            return table.filter(F.lit(False))
+        if len(reach.langs) <= SCANNED_LANGS:
+            table = table.filter(F.col("lang").isin(reach.langs))
+        if slotted and self.slots > 1:
+            table = table.filter(F.col("slot").isin(reach.slots))
+        return table.filter(F.col("term").between(reach.low, reach.high))
+
+    def postings_within(self, reach: Reach) -> DataFrame:
+        """The postings a join with the terms of ``reach`` may need.
+
+        A stored index keeps the terms of each language, field and slot in a folder of their
+        own, sorted: only folders some term falls into are opened, and in those only the pages
+        between the first and the last term are read. One plan for any number of terms.
+        """
+        return self._pruned(self.postings, reach, True)
+
+    def term_stats_of(self, wanted: DataFrame, reach: Reach) -> DataFrame:
+        """Statistics of the wanted (lang, field, term) only; ``reach`` is theirs."""
+        found = self._pruned(self.terms, reach, False).join(
+            wanted, ["lang", "field", "term"], "left_semi")
+        return found.groupBy("lang", "field", "term").agg(
+            F.sum("df").alias("df"), F.sum("ttf").alias("ttf"))
 
 
 def partial_terms(postings: DataFrame, *by: str) -> DataFrame:

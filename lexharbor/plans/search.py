@@ -106,7 +106,7 @@ def search(index: Index, queries: DataFrame, k: int | None = None, details: bool
         # ranking everything reads the hits several times: look them up once
         hits = materialize(hits, "hits")
     n_queries = count_up_to(queries, BROADCAST_ROWS)
-    shown = ranking.ranked(hits, k, n_queries)
+    shown = ranking.ranked(hits, k)
     if details:
         # the snippets read the hits shown several times
         shown = materialize(shown, "shown")
@@ -127,7 +127,7 @@ def wanted_terms(index: Index, queries: DataFrame, kinds=KINDS) -> DataFrame:
     if FUZZY in kinds:
         asked = term_clauses(analysed.filter(F.col("kind") == FUZZY))
         words = asked.select("lang", "field", F.col("term").alias("word")).distinct()
-        near = lookup.fuzzy_expand(index.term_stats(), words)
+        near = index.expansions(words)
         parts.append(asked.withColumnRenamed("term", "word")
                      .join(near, ["lang", "field", "word"])
                      .select("query_id", "term", F.col("boost").alias("weight")))

@@ -4,23 +4,25 @@ Documents fall into buckets by a hash of their path, and a bucket is the unit of
 rewriting: a version writes the tables of the buckets it touches, then one small
 manifest row per bucket saying which version holds it. Readers take the newest
 manifest, so they see whole versions only, and an update costs what it touches.
-Within a bucket the postings are sorted by term, and a term found in a third of all
-documents lies spread over all buckets.
+Within a bucket the postings lie in folders by language, field and a hash of the term, sorted by
+term, so a lookup opens only the folders its terms fall into; a term found in a third of all
+documents lies spread over all buckets. The list of watched roots is versioned with them.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexharbor.functions.text import path_bucket
+from lexharbor.functions.text import path_bucket, term_slot
 from lexharbor.operators import changes, maintain
 from lexharbor.operators import postings as P
 from lexharbor.operators.analysis import DEFAULT, Registry
-from lexharbor.operators.prefixes import RAW, match_prefixes, starts_within
+from lexharbor.operators.prefixes import RAW, match_prefixes
 from lexharbor.plans.index import Index, partial_fields, partial_terms
 from lexharbor.session import materialize
 from lexharbor.sources import files
@@ -30,24 +32,48 @@ DOC_COLUMNS = ["path", "lang", "title", "body"]
 SCHEMAS = {
     "docs": "path string, lang string, title string, body string, v int, bucket int",
     "postings": "path string, len int, term string, tf int, first boolean, "
-                "positions array<int>, v int, bucket int, lang string, field string",
+                "positions array<int>, v int, bucket int, lang string, field string, slot int",
     "terms": "term string, df long, ttf long, v int, bucket int, lang string, field string",
     "fields": "lang string, field string, n_docs long, sum_len long, v int, bucket int",
 }
-MANIFEST = "bucket int, data_v int, posted boolean, buckets int, batch_id long, v int"
+ROOTS = "seq long, path string"
+MANIFEST = ("bucket int, data_v int, posted boolean, buckets int, splits int, slots int, "
+            "roots_v int, batch_id long, v int")
+
+# Text of a bucket, the unit of rewriting; of a task that writes one; of a folder of terms.
+BUCKET_BYTES, SPLIT_BYTES, SLOT_BYTES = 2 << 30, 256 << 20, 128 << 20
+LEAST_BUCKETS = 8
 
 # which version holds each bucket, and whether any of its documents has a term
 Held = dict[int, tuple[int, bool]]
 
 
+@dataclass(frozen=True)
+class State:
+    """One version: where its buckets and roots are, and how its tables are dealt."""
+
+    v: int = 0
+    held: Held = field(default_factory=dict)
+    buckets: int = LEAST_BUCKETS
+    splits: int = 1
+    slots: int = 1
+    roots_v: int = 0
+    batch_id: int = -1
+
+
 class Snapshots:
-    """The versions of one index under ``root``; one writer at a time."""
+    """The versions of one index under ``root``; one writer at a time.
+
+    ``buckets``, ``splits`` (tasks that write a bucket) and ``slots`` (folders of terms in a
+    bucket) are taken from the volume of text whenever everything is published anew, unless given.
+    """
 
     def __init__(self, spark: SparkSession, root: str, registry: Registry = DEFAULT,
-                 buckets: int = 64, splits: int = 1, exact_len: bool = False):
+                 buckets: int | None = None, splits: int | None = None, slots: int | None = None,
+                 exact_len: bool = False):
         self.spark, self.root, self.registry = spark, root.rstrip("/"), registry
-        self.splits, self.exact_len = splits, exact_len
-        self._new_buckets = buckets
+        self.exact_len = exact_len
+        self._asked = (buckets, splits, slots)
 
     # -- reading ---------------------------------------------------------------
 
@@ -62,13 +88,22 @@ class Snapshots:
         newest = table.agg(F.max("v").alias("v"))
         return table.join(F.broadcast(newest), "v", "left_semi").collect()
 
-    def state(self) -> tuple[int, Held, int, int]:
-        """``(version, held buckets, buckets, last batch id)``."""
+    def state(self) -> State:
         rows = self._manifest()
         if not rows:
-            return 0, {}, self._new_buckets, -1
+            return self._dealt(State(), 0)
         held = {r["bucket"]: (r["data_v"], r["posted"]) for r in rows if r["bucket"] >= 0}
-        return rows[0]["v"], held, rows[0]["buckets"], rows[0]["batch_id"]
+        one = rows[0]
+        return State(one["v"], held, one["buckets"], one["splits"], one["slots"], one["roots_v"],
+                     one["batch_id"])
+
+    def _dealt(self, state: State, text_bytes: int) -> State:
+        """``state`` with buckets, splits and slots fit for so much text."""
+        buckets, splits, slots = self._asked
+        buckets = buckets or max(LEAST_BUCKETS, -(-text_bytes // BUCKET_BYTES))
+        each = text_bytes // buckets
+        return replace(state, buckets=buckets, splits=splits or max(1, -(-each // SPLIT_BYTES)),
+                       slots=slots or max(1, -(-each // SLOT_BYTES)))
 
     def exists(self) -> bool:
         return bool(self._manifest())
@@ -84,29 +119,42 @@ class Snapshots:
 
     def open(self) -> Index:
         """The newest version; later ones do not change what this index reads."""
-        _, held, buckets, _ = self.state()
-        return self._index(held, buckets)
+        return self._index(self.state())
 
-    def _index(self, held: Held, buckets: int) -> Index:
-        docs = self._table("docs", held)
-        return Index(docs.select(*DOC_COLUMNS), self._table("postings", held),
-                     self._table("terms", held), self._table("fields", held), self.registry,
-                     self.exact_len, stored=True, by_bucket=docs, buckets=buckets)
+    def _index(self, state: State) -> Index:
+        docs = self._table("docs", state.held)
+        return Index(docs.select(*DOC_COLUMNS), self._table("postings", state.held),
+                     self._table("terms", state.held), self._table("fields", state.held),
+                     self.registry, self.exact_len, stored=True, by_bucket=docs,
+                     buckets=state.buckets, slots=state.slots)
+
+    def roots(self) -> DataFrame:
+        """``roots(seq, path)`` of the newest version."""
+        return self._roots(self.state())
+
+    def _roots(self, state: State) -> DataFrame:
+        if not state.roots_v:
+            return self.spark.createDataFrame([], ROOTS)
+        return self.spark.read.schema(ROOTS).parquet(f"{self.root}/roots/v={state.roots_v}")
 
     # -- writing ---------------------------------------------------------------
 
-    def _write(self, docs: DataFrame, v: int, buckets: int) -> Held:
-        """Write all tables of ``docs`` as version ``v``; the buckets that got any rows.
+    def _write(self, docs: DataFrame, state: State) -> Held:
+        """Write all tables of ``docs`` as version ``state.v``; the buckets that got any rows.
 
         The text is shuffled by bucket (and split, for buckets too big for one task);
         postings are then built in place, and shuffled only where stem rules or tables merge
         some of them.
         """
+        v, buckets, splits = state.v, state.buckets, state.splits
+
+        def dealt(df: DataFrame, by: str) -> DataFrame:
+            split = F.pmod(F.hash(by), F.lit(splits))
+            return df.repartitionById(buckets * splits,
+                                      (F.col("bucket") * splits + split).cast("int"))
+
         def place(df: DataFrame) -> DataFrame:
-            split = F.pmod(F.hash("path"), F.lit(self.splits))
-            return (df.withColumn("bucket", path_bucket(F.col("path"), buckets))
-                    .repartitionById(buckets * self.splits,
-                                     (F.col("bucket") * self.splits + split).cast("int")))
+            return dealt(df.withColumn("bucket", path_bucket(F.col("path"), buckets)), "path")
 
         def save(df: DataFrame, name: str, *by: str) -> None:
             df.write.mode("overwrite").partitionBy(*by).parquet(f"{self.root}/{name}/v={v}")
@@ -117,10 +165,11 @@ class Snapshots:
         if self.registry.resolves():
             # merging the postings of terms that fall together dealt them by document
             rows = place(rows)
-        save(rows.sortWithinPartitions("bucket", "lang", "field", "term", "path"),
-             "postings", "bucket", "lang", "field")
+        rows = rows.withColumn("slot", term_slot(F.col("term"), state.slots))
+        folders = ["bucket", "lang", "field", "slot"]
+        save(rows.sortWithinPartitions(*folders, "term", "path"), "postings", *folders)
         posted = self._read_version("postings", v)
-        save(partial_terms(posted, "bucket").repartition("bucket")
+        save(dealt(partial_terms(posted, "bucket"), "term")
              .sortWithinPartitions("bucket", "lang", "field", "term"),
              "terms", "bucket", "lang", "field")
         save(partial_fields(posted, "bucket").repartition("bucket"), "fields", "bucket")
@@ -134,48 +183,61 @@ class Snapshots:
         return (self.spark.read.schema(SCHEMAS[name]).option("basePath", base)
                 .parquet(f"{base}/v={v}"))
 
-    def _commit(self, v: int, held: Held, buckets: int, batch_id: int) -> None:
-        rows = [(-1, -1, False, buckets, batch_id, v)]
-        rows += [(b, data_v, posted, buckets, batch_id, v)
-                 for b, (data_v, posted) in sorted(held.items())]
+    def _commit(self, state: State) -> Index:
+        """Publish a version: from here on readers see it."""
+        same = (state.buckets, state.splits, state.slots, state.roots_v, state.batch_id, state.v)
+        rows = [(-1, -1, False, *same)]
+        rows += [(b, data_v, posted, *same) for b, (data_v, posted) in sorted(state.held.items())]
         (self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
          .write.mode("append").partitionBy("v").parquet(f"{self.root}/manifest"))
+        return self._index(state)
 
-    def publish(self, docs: DataFrame) -> Index:
+    def _with_roots(self, state: State, roots: DataFrame | None) -> State:
+        """``state``, whose version is new, with its list of roots written if there is one."""
+        if roots is None:
+            return state
+        roots.select("seq", "path").coalesce(1).write.mode("overwrite").parquet(
+            f"{self.root}/roots/v={state.v}")
+        return replace(state, roots_v=state.v)
+
+    def publish(self, docs: DataFrame, roots: DataFrame | None = None) -> Index:
         """Replace everything by ``docs``; creates the index if there is none.
 
         A path has one document: of rows that share one, the greatest is kept. Only the
-        rows of such paths are gathered for that.
+        rows of such paths are gathered for that. The list of roots stays unless ``roots`` is given.
         """
-        v, _, buckets, batch = self.state()
         docs = docs.select(*DOC_COLUMNS)
+        size = docs.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+        old = self.state()
+        state = self._dealt(replace(old, v=old.v + 1), size)
         twice = materialize(maintain.repeated_paths(docs), "repeated")
         if not twice.isEmpty():
             several = maintain.one_per_path(docs.join(twice, "path", "left_semi"))
             docs = docs.join(twice, "path", "left_anti").unionByName(several)
-        held = self._write(docs, v + 1, buckets)
-        self._commit(v + 1, held, buckets, batch)
-        return self._index(held, buckets)
+        state = replace(state, held=self._write(docs, state))
+        return self._commit(self._with_roots(state, roots))
 
-    def _rewrite(self, touched: list[int], change, batch_id: int | None = None) -> Index:
+    def _rewrite(self, touched: list[int], change, batch_id: int | None = None,
+                 roots: DataFrame | None = None) -> Index:
         """New version in which only the ``touched`` buckets are read and written."""
-        v, held, buckets, last = self.state()
-        batch_id = last if batch_id is None else batch_id
-        old = {b: held[b] for b in touched if b in held}
-        kept = {b: w for b, w in held.items() if b not in old}
-        docs = change(self._table("docs", old).select(*DOC_COLUMNS))
-        written = self._write(docs, v + 1, buckets)
+        old = self.state()
+        state = replace(old, v=old.v + 1,
+                        batch_id=old.batch_id if batch_id is None else batch_id)
+        mine = {b: old.held[b] for b in touched if b in old.held}
+        kept = {b: w for b, w in old.held.items() if b not in mine}
+        written: Held = {}
+        if touched:
+            docs = change(self._table("docs", mine).select(*DOC_COLUMNS))
+            written = self._write(docs, state)
         strays = sorted(set(written) - set(touched))
         if strays:
             raise RuntimeError(f"rows fell into buckets {strays[:5]} that were not read; "
                                "nothing was committed")
-        held = {**kept, **written}
-        self._commit(v + 1, held, buckets, batch_id)
-        return self._index(held, buckets)
+        return self._commit(self._with_roots(replace(state, held={**kept, **written}), roots))
 
     def _buckets_of(self, paths: DataFrame) -> list[int]:
         """Distinct buckets of some paths: no more than the index has."""
-        buckets = self.state()[2]
+        buckets = self.state().buckets
         found = paths.select(path_bucket(F.col("path"), buckets).alias("b")).distinct()
         return [r["b"] for r in found.collect()]
 
@@ -187,38 +249,79 @@ class Snapshots:
         batch = materialize(maintain.one_per_path(batch.select(*DOC_COLUMNS)), "batch")
         return self._rewrite(self._buckets_of(batch), lambda docs: maintain.upsert(docs, batch))
 
+    def _under(self, prefixes: DataFrame, mode: str) -> DataFrame:
+        return maintain.paths_under(self.open().docs, prefixes, mode)
+
     def remove(self, root: str, mode: str = RAW) -> Index:
         """Remove the documents under one root."""
-        hit = self.open().docs.filter(starts_within(F.col("path"), root, mode))
-        return self._rewrite(self._buckets_of(hit.select("path")),
-                             lambda docs: maintain.remove_under(docs, root, mode))
+        return self.remove_all(self.spark.createDataFrame([(root,)], "prefix string"), mode)
 
-    def reindex(self, roots: DataFrame, scan: DataFrame, mode: str = RAW) -> Index:
-        """Replace what lies under any of the roots by a fresh scan of them."""
-        docs = self.open().docs
+    def remove_all(self, prefixes: DataFrame, mode: str = RAW) -> Index:
+        """Remove the documents under any of ``prefixes(prefix)``, as one version."""
+        return self._rewrite(self._buckets_of(self._under(prefixes, mode)),
+                             lambda docs: maintain.remove_prefixes(docs, prefixes, mode))
+
+    def register(self, new: DataFrame, scan: DataFrame) -> Index:
+        """Add ``new(path)`` to the list of roots and the scanned documents to the index.
+
+        Both change in one version. Roots follow those known, in the order of ``seq`` if there is
+        one, else of their paths; one that is listed already keeps its place.
+        """
+        known = self.roots()
+        last = known.agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0]
+        order = F.struct(*[c for c in ("seq", "path") if c in new.columns])
+        # roots are typed in by people: their list is small
+        lines = new.groupBy("path").agg(F.min(order).alias("o")).orderBy("o").select("path").collect()
+        after = self.spark.createDataFrame(
+            [(last + 1 + i, r["path"]) for i, r in enumerate(lines)], ROOTS)
+        roots = materialize(maintain.register_roots(known, after), "roots")
+        batch = materialize(maintain.one_per_path(scan.select(*DOC_COLUMNS)), "batch")
+        return self._rewrite(self._buckets_of(batch), lambda d: maintain.upsert(d, batch),
+                             roots=roots)
+
+    def unregister(self, gone: DataFrame, mode: str = RAW) -> Index:
+        """Take ``gone(path)`` off the list of roots and remove the documents under them.
+
+        Both change in one version; paths that are not listed do nothing, and need not exist.
+        """
+        listed = materialize(gone.select("path").distinct().join(self.roots(), "path", "left_semi"),
+                             "listed")
+        if listed.isEmpty():
+            return self.open()
+        prefixes = listed.withColumnRenamed("path", "prefix")
+        left = materialize(self.roots().join(listed, "path", "left_anti"), "roots")
+        return self._rewrite(self._buckets_of(self._under(prefixes, mode)),
+                             lambda d: maintain.remove_prefixes(d, prefixes, mode), roots=left)
+
+    def reindex(self, scan: DataFrame, roots: DataFrame | None = None, mode: str = RAW) -> Index:
+        """Replace what lies under the stored roots, or those given, by a fresh scan of them."""
+        roots = self.roots() if roots is None else roots
         scan = materialize(maintain.one_per_path(scan.select(*DOC_COLUMNS)), "scan")
         prefixes = roots.select(F.col("path").alias("prefix"))
-        hit = maintain.paths_under(docs, prefixes, mode).unionByName(scan.select("path"))
+        hit = self._under(prefixes, mode).unionByName(scan.select("path"))
         return self._rewrite(self._buckets_of(hit),
                              lambda d: maintain.reindex(d, roots, scan, mode))
 
-    def reindex_files(self, roots: DataFrame, extractors=None, profile: DataFrame | None = None,
+    def reindex_files(self, roots: DataFrame | None = None, extractors=None,
+                      profile: DataFrame | None = None,
                       mode: str = RAW) -> tuple[Index, DataFrame]:
-        """Scan the files under all roots and replace what lies there; also ``errors(path, error)``.
+        """Scan the files under all roots and replace what lies there; also ``errors(path, error)``
+        of files that could not be read or whose text could not be taken.
 
         Every root is checked first: one that cannot be read fails the call before anything
         is changed.
         """
+        roots = self.roots() if roots is None else roots
         paths = root_list.readable(self.spark, roots)
-        scans = [files.scan(self.spark, path) for path in paths]
-        if not scans:
+        if not paths:
             return self.open(), self.spark.createDataFrame([], "path string, error string")
-        every = reduce(DataFrame.unionByName, scans)
-        read = materialize(files.extract(every, extractors), "extracted")
+        read = reduce(DataFrame.unionByName,
+                      [files.read_files(self.spark, path, extractors) for path in paths])
         docs, errors = files.documents(read, profile)
-        return self.reindex(roots, docs, mode), errors
+        return self.reindex(docs, roots, mode), errors
 
-    def reconcile(self, scan: DataFrame) -> Index:
+    def reconcile(self, scan: DataFrame, batch_id: int | None = None,
+                  roots: DataFrame | None = None) -> Index:
         """Bring the index level with a full scan, rewriting only buckets that differ."""
         scan = materialize(maintain.one_per_path(scan.select(*DOC_COLUMNS)), "scan")
         body = F.md5(F.concat_ws("\u0000", "lang", "title", "body")).alias("hash")
@@ -229,26 +332,41 @@ class Snapshots:
         gone = diff.filter(F.col("kind") == changes.DELETE)
         return self._rewrite(
             self._buckets_of(diff),
-            lambda d: maintain.upsert(maintain.remove_exact(d, gone), fresh.select(*DOC_COLUMNS)))
+            lambda d: maintain.upsert(maintain.remove_exact(d, gone), fresh.select(*DOC_COLUMNS)),
+            batch_id, roots)
 
     def purge(self) -> Index:
-        """An empty version."""
-        v, _, buckets, batch = self.state()
-        self._commit(v + 1, {}, buckets, batch)
-        return self._index({}, buckets)
+        """A version without documents and without roots."""
+        old = self.state()
+        return self._commit(replace(old, v=old.v + 1, held={}, roots_v=0))
 
-    def apply(self, events: DataFrame, mode: str = RAW, batch_id: int | None = None) -> Index:
+    def apply(self, events: DataFrame, mode: str = RAW, batch_id: int | None = None,
+              watched: bool = False, scan=None) -> Index:
         """Fold ``events(seq, kind, path, lang, title, body)`` in, as one version.
 
-        A ``batch_id`` not above the last one applied is a replay and changes nothing.
+        A ``batch_id`` not above the last one applied is a replay and changes nothing. If
+        ``watched``, only events under the stored roots count, each root up to the event that
+        deletes it or a folder above it; such roots leave the list in the same version. ``scan``
+        gives the documents as they are now; it is called if the batch tells of an overflow, and
+        then decides: what was lost is in it, and so is whatever the other events did.
         """
-        _, held, buckets, last = self.state()
-        if batch_id is not None and batch_id <= last:
-            return self._index(held, buckets)
-        docs = self._index(held, buckets).docs
+        state = self.state()
+        if batch_id is not None and batch_id <= state.batch_id:
+            return self._index(state)
         events = materialize(events, "events")
+        lost = scan is not None and not events.filter(F.col("kind") == changes.OVERFLOW).isEmpty()
+        roots = None
+        if watched:
+            known = self._roots(state)
+            deaths = materialize(changes.deaths_of_roots(events, known), "deaths")
+            events = materialize(changes.events_while_alive(events, known, deaths, mode), "live")
+            if not deaths.isEmpty():
+                roots = materialize(known.join(deaths, "path", "left_anti"), "roots")
+        if lost:
+            return self.reconcile(scan(), batch_id, roots)
+        docs = self._index(state).docs
         written = events.filter(F.col("kind").isin(changes.CREATE, changes.MODIFY))
         removed = match_prefixes(docs.select("path"), changes.removals(events, mode), mode)
         paths = written.select("path").unionByName(removed.select("path"))
         return self._rewrite(self._buckets_of(paths),
-                             lambda d: changes.apply_changes(d, events, mode), batch_id)
+                             lambda d: changes.apply_changes(d, events, mode), batch_id, roots)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexharbor.functions.text import title_of
 from lexharbor.operators import language
+from lexharbor.session import materialize
 
 # Media types by file extension.
 BY_EXTENSION = {
@@ -39,21 +40,54 @@ INDEXED = ("opendocument.text", "rtf", "openxmlformats", "pdf", "text/plain")
 UNKNOWN = "application/octet-stream"
 
 
-def scan(spark: SparkSession, root: str) -> DataFrame:
-    """``(path, modified, length, content)`` of one file, or of all files under a folder.
-
-    Files that vanish or cannot be read while the job runs are passed over.
-    """
+def _files(spark: SparkSession, root: str, **options) -> DataFrame:
     try:
         files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
-                 .option("ignoreMissingFiles", True).option("ignoreCorruptFiles", True)
-                 .load(root))
+                 .options(**options).load(root))
     except AnalysisException as missing:
         raise ValueError(f"nothing can be read at {root}") from missing
     return files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"),
                         F.col("modificationTime").alias("modified"), "length", "content")
 
 
+def scan(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, modified, length, content)`` of one file, or of all files under a folder.
+
+    Files that vanish or cannot be read while the job runs are passed over; compare with the
+    :func:`listing` by :func:`unread` to learn which.
+    """
+    return _files(spark, root, ignoreMissingFiles=True, ignoreCorruptFiles=True)
+
+
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """``(path, modified, length)`` of the files under ``root``; no content is opened."""
+    return _files(spark, root).select("path", "modified", "length")
+
+
+def unread(listed: DataFrame, read: DataFrame) -> DataFrame:
+    """``(path, error)`` of the files listed that were not read.
+
+    Take ``read`` from a stored table of what came of the scan (see :func:`read_files`): a second
+    scan may read what the first could not.
+    """
+    missing = listed.select("path").join(read.select("path"), "path", "left_anti")
+    return missing.select("path", F.lit("the file could not be read").alias("error"))
+
+
+def read_files(spark: SparkSession, root: str,
+               extractors: dict[str, Callable[[str, bytes], str]] | None = None) -> DataFrame:
+    """``(path, body, error)`` of the files under ``root`` that are indexed or could not be read.
+
+    The tree is listed first; what is listed and not read afterwards becomes a row with an error.
+    The result is stored, so one pass over the contents serves all readers.
+    """
+    listed = materialize(listing(spark, root), "listing")
+    seen = materialize(scan(spark, root), "contents")
+    done = extract(seen, extractors)
+    lost = unread(listed, seen).select("path", F.lit(None).cast("string").alias("body"), "error")
+    return materialize(done.unionByName(lost), "extracted")
+
+
 def media_type(path: Column, head: Column, whole: Column | None = None) -> Column:
     """Media type from the file name and the content.
 
@@ -96,45 +130,56 @@ def extract_with(files: DataFrame, extractor: Callable[[str, bytes], str]) -> Da
 
     A file the extractor fails on keeps a row with its error and no body.
     """
-    def run(batches):
+    rows = files.select("path", F.lit("").alias("mime"), "content", F.lit(None).cast("string").alias("body"))
+    return rows.mapInArrow(_dispatch({"": extractor}), EXTRACTED)
+
+
+EXTRACTED = "path string, body string, error string"
+
+
+def _dispatch(extractors: dict[str, Callable[[str, bytes], str]]):
+    """Task: rows with a body pass; of the rest each goes to the extractor of its media type."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies, errors = [], []
-            for path, content in zip(batch["path"], batch["content"]):
+            bodies, errors = batch.column("body").to_pylist(), [None] * len(batch)
+            columns = zip(batch.column("path"), batch.column("mime").to_pylist(),
+                          batch.column("content"), strict=True)
+            for i, (path, mime, content) in enumerate(columns):
+                if bodies[i] is not None:
+                    continue
+                own = next((f for part, f in extractors.items() if part in mime), None)
+                if own is None:
+                    errors[i] = f"no extractor for {mime}"
+                    continue
                 try:
-                    bodies.append(extractor(path, bytes(content)))
-                    errors.append(None)
+                    bodies[i] = own(path.as_py(), content.as_py())
                 except Exception as failed:  # one bad file must not end the job
-                    bodies.append(None)
-                    errors.append(f"{type(failed).__name__}: {failed}")
-            yield pd.DataFrame({"path": batch["path"], "body": pd.Series(bodies, dtype=object),
-                                "error": pd.Series(errors, dtype=object)})
-
-    return files.select("path", "content").mapInPandas(
-        run, "path string, body string, error string")
+                    errors[i] = f"{type(failed).__name__}: {failed}"
+            yield pa.RecordBatch.from_pydict({
+                "path": batch.column("path"), "body": pa.array(bodies, pa.string()),
+                "error": pa.array(errors, pa.string())})
+    return run
 
 
 def extract(files: DataFrame,
             extractors: dict[str, Callable[[str, bytes], str]] | None = None) -> DataFrame:
-    """``(path, body, error)`` of the indexed files.
+    """``(path, body, error)`` of the indexed files, in one pass over their contents.
 
-    Plain text is decoded in place; other types go to the extractor whose key their
-    media type contains. A type without one is reported in ``error``.
+    Plain text is decoded in place; other types go to the first extractor whose key their
+    media type contains. A type without one is reported in ``error``. Without extractors no
+    content leaves the JVM.
     """
-    extractors = extractors or {}
-    typed = (files.withColumn("mime", media_type(
-        F.col("path"), head_of(F.col("content")), F.make_valid_utf8(F.col("content").cast("string"))))
-             .filter(is_indexed(F.col("mime"))))
+    content = F.col("content")
+    typed = files.select("path", "content", media_type(
+        F.col("path"), head_of(content), F.make_valid_utf8(content.cast("string"))).alias("mime"))
     plain = F.col("mime").contains("text/plain")
-    out = typed.filter(plain).select("path", plain_text(F.col("content")).alias("body"),
-                                     F.lit(None).cast("string").alias("error"))
-    left = typed.filter(~plain)
-    for part, extractor in extractors.items():
-        mine = F.col("mime").contains(part)
-        out = out.unionByName(extract_with(left.filter(mine), extractor))
-        left = left.filter(~mine)
-    return out.unionByName(left.select(
-        "path", F.lit(None).cast("string").alias("body"),
-        F.concat(F.lit("no extractor for "), "mime").alias("error")))
+    rows = typed.filter(is_indexed(F.col("mime"))).select(
+        "path", "mime", F.when(~plain, content).alias("content"),
+        F.when(plain, plain_text(content)).alias("body"))
+    if extractors:
+        return rows.mapInArrow(_dispatch(extractors), EXTRACTED)
+    missing = F.concat(F.lit("no extractor for "), "mime")
+    return rows.select("path", "body", F.when(F.col("body").isNull(), missing).alias("error"))
 
 
 def documents(extracted: DataFrame, profile: DataFrame | None = None, alt: str = "pl",

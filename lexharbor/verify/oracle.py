@@ -343,6 +343,19 @@ found AS (
   SELECT d.path, detected, score, runner_up, n_grams, coalesce(certain, false) AS certain
   FROM docs d LEFT JOIN (SELECT * FROM verdicts WHERE place = 1) v ON v.path = d.path)"""
 
+def held(docs: str) -> str:
+    """Stored documents and the terms of their bodies; ``docs`` selects path, lang, title, body."""
+    return f"""docs AS ({docs}), {TOKS},
+        n AS (SELECT path, count(*) AS n_terms FROM toks WHERE field = 'body' GROUP BY path)
+        SELECT path, lang, title, md5(body) AS digest, coalesce(n_terms, 0) AS n_terms
+        FROM docs LEFT JOIN n USING (path)"""
+
+
+ALL_DOCS = DOCS.replace("docs AS", "every AS", 1)
+SIZES = """sizes AS (
+  SELECT split_part(path, ':', 1) AS step, count(*) AS n_places,
+         count(DISTINCT (path, field, term)) AS n_postings FROM toks GROUP BY 1)"""
+
 BATCH = """batch AS (
   SELECT path, lang, title, body || ' v1' AS body, 1 AS seq
   FROM docs JOIN labels USING (doc_id)
@@ -466,7 +479,44 @@ ORACLE = {
     "reindex": f"""WITH {DOCS}, {FIRST_FOLDERS}
         SELECT path, lang, md5('old ' || body) AS digest FROM docs d WHERE NOT {UNDER_RAW}
         UNION ALL SELECT path, lang, md5(body) FROM docs d WHERE {UNDER_SEG}""",
-    "purge": "SELECT count(*) AS n_before, 0::BIGINT AS n_after FROM documents",
+    "store_upsert": f"""WITH {ALL_DOCS}, {BATCH.replace('FROM docs', 'FROM every')}, {held("""
+          SELECT path, lang, title, body FROM every WHERE path NOT IN (SELECT path FROM latest)
+          UNION ALL SELECT path, lang, title, body FROM latest""")}""",
+    "store_remove": f"""WITH {ALL_DOCS}, {FIRST_FOLDERS}, {held(
+        f"SELECT path, lang, title, body FROM every d WHERE NOT {UNDER_RAW}")}""",
+    "store_reindex": f"""WITH {ALL_DOCS}, {FIRST_FOLDERS}, {held(f"""
+          SELECT path, lang, title, 'old ' || body AS body FROM every d WHERE NOT {UNDER_RAW}
+          UNION ALL SELECT path, lang, title, body FROM every d WHERE {UNDER_SEG}""")}""",
+    "roots_lifecycle": f"""WITH {ALL_DOCS}, {FIRST_FOLDERS},
+        rest AS (SELECT prefix FROM folders WHERE prefix <> (SELECT min(prefix) FROM folders)),
+        registered AS (
+          SELECT path, lang, title, CASE WHEN {UNDER_SEG} THEN body ELSE 'old ' || body END AS body
+          FROM every d),
+        unregistered AS (
+          SELECT * FROM registered
+          WHERE NOT starts_with(path, (SELECT min(prefix) FROM folders))),
+        docs AS (
+          SELECT 'published:' || path AS path, lang, title, 'old ' || body AS body FROM every
+          UNION ALL SELECT 'registered:' || path, lang, title, body FROM registered
+          UNION ALL SELECT 'unregistered:' || path, lang, title, body FROM unregistered
+          UNION ALL SELECT 'reindexed:' || path, lang, title, body FROM unregistered d
+            WHERE NOT {UNDER_RAW.replace('folders', 'rest')}
+          UNION ALL SELECT 'reindexed:' || path, lang, title, 'new ' || body FROM every d
+            WHERE {UNDER_SEG.replace('folders', 'rest')}),
+        {TOKS}, {SIZES},
+        steps AS (SELECT unnest(['published', 'registered', 'unregistered', 'reindexed', 'purged'])
+                  AS step)
+        SELECT step, CASE step WHEN 'registered' THEN (SELECT count(*) FROM folders)
+                 WHEN 'unregistered' THEN (SELECT count(*) FROM rest)
+                 WHEN 'reindexed' THEN (SELECT count(*) FROM rest) ELSE 0 END AS n_roots,
+               (SELECT count(*) FROM docs WHERE starts_with(path, step || ':')) AS n_docs,
+               coalesce(n_postings, 0) AS n_postings, coalesce(n_places, 0) AS n_places
+        FROM steps LEFT JOIN sizes USING (step)""",
+    "purge": f"""WITH {DOCS}, {TOKS}
+        SELECT 'before' AS step, (SELECT count(DISTINCT source) FROM documents) AS n_roots,
+               (SELECT count(*) FROM documents) AS n_docs,
+               count(DISTINCT (path, field, term)) AS n_postings, count(*) AS n_places FROM toks
+        UNION ALL SELECT 'after', 0, 0, 0, 0""",
     "search_term": f"""{WORD_SEARCH} SELECT query_id, path, round(score, 4) AS score FROM hits""",
     "search_bool_parts": f"""{WORD_SEARCH} SELECT query_id, path,
         round(sum(CASE WHEN field = 'body' THEN score END), 4) AS body_score,
@@ -575,6 +625,24 @@ ORACLE = {
         SELECT path, replace(split_part(path, '/', -1), '.', ' ') AS title, body,
                len(list_filter(regexp_extract_all(body, '{W}'), lambda w: lower(w) NOT IN {STOP}))
                  AS n_terms FROM seg_live""",
+    "stream_roots": f"""WITH {EVENTS.replace('changes AS', 'named AS', 1)},
+        every AS (
+          SELECT seq, kind, CASE kind WHEN 'DELETE' THEN path || '/' || (seq % 5) || '.txt'
+                                 ELSE path END AS path, body FROM named),
+        homes AS (
+          SELECT home, min(seq) AS died FROM (
+            SELECT DISTINCT '/corpus/u' || user_id || '/' || (event_id % 5) || '.txt' AS home
+            FROM events WHERE event_type = 'signup')
+          LEFT JOIN every ON kind = 'DELETE' AND path = home GROUP BY 1),
+        changes AS (
+          SELECT * FROM every WHERE EXISTS (
+            SELECT 1 FROM homes WHERE (path = home OR starts_with(path, home || '/'))
+              AND (died IS NULL OR seq <= died))),
+        {FOLDED}
+        SELECT 'doc' AS what, path, md5(body) AS digest FROM seg_live
+        UNION ALL SELECT 'root', home, NULL FROM homes WHERE died IS NULL""",
+    "overflow_reconcile": f"""WITH {ALL_DOCS}, {held(
+        "SELECT path, lang, title, body FROM every")}""",
     "events_in_roots": f"""WITH {EVENTS} SELECT seq, kind, path FROM changes c WHERE EXISTS (
         SELECT 1 FROM events e WHERE event_type = 'signup' AND (
           c.path = '/corpus/u' || e.user_id OR starts_with(c.path, '/corpus/u' || e.user_id || '/')))""",

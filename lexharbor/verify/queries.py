@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from lexharbor.operators.suggest import suggest_terms
 from lexharbor.operators.vocabulary import analyze, analyze_queries
 from lexharbor.plans import search as S
 from lexharbor.plans.snapshot import Snapshots
-from lexharbor.session import scratch_path
+from lexharbor.session import materialize, scratch_path
 from lexharbor.sources import files, roots as root_list
 from lexharbor.streaming.changes import run_changes
 from lexharbor.verify import inputs as I
@@ -264,11 +266,81 @@ def reindex(spark: Spark, sf: str) -> Frame:
     return maintain.reindex(stale, roots, scan, RAW).select("path", "lang", _digest())
 
 
+def _store(spark: Spark, docs: Frame, roots: Frame | None = None) -> Snapshots:
+    store = Snapshots(spark, scratch_path(spark, "store"), PLAIN)
+    store.publish(docs, roots)
+    return store
+
+
+def _held(index) -> Frame:
+    """Stored documents with the number of their body's terms, read off the stored postings."""
+    lengths = index.lengths().filter("field = 'body'").select("path", "len")
+    return index.docs.join(lengths, "path", "left").select(
+        "path", "lang", "title", _digest(),
+        F.coalesce("len", F.lit(0)).cast("long").alias("n_terms"))
+
+
+def _sizes(store: Snapshots, step: str) -> Frame:
+    """What the newest version holds: roots, documents, postings and places."""
+    index = store.open()
+    parts = [store.roots().select(F.lit("n_roots").alias("name"), F.lit(1).alias("n")),
+             index.docs.select(F.lit("n_docs").alias("name"), F.lit(1).alias("n")),
+             index.postings.select(F.lit("n_postings").alias("name"), F.lit(1).alias("n")),
+             index.postings.select(F.lit("n_places").alias("name"), F.col("tf").alias("n"))]
+    names = ["n_roots", "n_docs", "n_postings", "n_places"]
+    every = reduce(Frame.unionByName, parts)
+    return every.agg(*[F.coalesce(F.sum(F.when(F.col("name") == n, F.col("n"))), F.lit(0))
+                       .cast("long").alias(n) for n in names]).select(F.lit(step).alias("step"), *names)
+
+
+def _prefixed(docs: Frame, mark: str) -> Frame:
+    return docs.withColumn("body", F.concat(F.lit(mark), "body"))
+
+
+def _under(docs: Frame, roots: Frame) -> Frame:
+    prefixes = roots.select(F.col("path").alias("prefix"))
+    return docs.join(maintain.paths_under(docs, prefixes, SEGMENT), "path", "left_semi")
+
+
+def store_upsert(spark: Spark, sf: str) -> Frame:
+    return _held(_store(spark, I.docs(spark, sf)).upsert(maintain.latest(_batch(spark, sf))))
+
+
+def store_remove(spark: Spark, sf: str) -> Frame:
+    return _held(_store(spark, I.docs(spark, sf)).remove_all(I.first_folders(spark, sf), RAW))
+
+
+def store_reindex(spark: Spark, sf: str) -> Frame:
+    """Old bodies replaced by a scan of the stored roots."""
+    docs = I.docs(spark, sf)
+    roots = I.roots(spark, sf).join(I.first_folders(spark, sf).withColumnRenamed("prefix", "path"),
+                                    "path", "left_semi").select("seq", "path")
+    store = _store(spark, _prefixed(docs, "old "), roots)
+    return _held(store.reindex(_under(docs, store.roots()), mode=RAW))
+
+
+def roots_lifecycle(spark: Spark, sf: str) -> Frame:
+    """Published, roots registered with a fresh scan, one root taken off, the rest reindexed,
+    everything purged: what each version holds."""
+    docs = I.docs(spark, sf)
+    roots = I.first_folders(spark, sf).withColumnRenamed("prefix", "path")
+    store = _store(spark, _prefixed(docs, "old "))
+    out = [_sizes(store, "published")]
+    store.register(roots, _under(docs, roots))
+    out.append(_sizes(store, "registered"))
+    store.unregister(roots.agg(F.min("path").alias("path")), RAW)
+    out.append(_sizes(store, "unregistered"))
+    store.reindex(_under(_prefixed(docs, "new "), store.roots()), mode=RAW)
+    out.append(_sizes(store, "reindexed"))
+    store.purge()
+    return reduce(Frame.unionByName, [*out, _sizes(store, "purged")])
+
+
 def purge(spark: Spark, sf: str) -> Frame:
-    docs = I.docs(spark, sf).select("path")
-    both = docs.select(F.lit(1).alias("before"), F.lit(0).alias("after")).unionByName(
-        maintain.purge(docs).select(F.lit(0).alias("before"), F.lit(1).alias("after")))
-    return both.agg(F.sum("before").alias("n_before"), F.sum("after").alias("n_after"))
+    store = _store(spark, I.docs(spark, sf), I.roots(spark, sf))
+    before = _sizes(store, "before")
+    store.purge()
+    return before.unionByName(_sizes(store, "after"))
 
 
 # -- search --------------------------------------------------------------------
@@ -386,7 +458,8 @@ def search_topk(spark: Spark, sf: str) -> Frame:
 
 def search_fetch(spark: Spark, sf: str) -> Frame:
     index, queries = I.stored_index(spark, sf), I.word_queries(spark, sf)
-    hits = ranking.fetch(_top(spark, sf), index.docs, ["title", "body"], TOP * queries.count())
+    rows, top = TOP * queries.count(), materialize(_top(spark, sf), "top")
+    hits = ranking.fetch(top, index.docs_of(top, rows), ["title", "body"], rows)
     return hits.select("query_id", F.col("rank").cast("long").alias("rank"), "path", "title",
                        _digest())
 
@@ -474,20 +547,45 @@ def fold_changes(spark: Spark, sf: str) -> Frame:
     return parts[0].unionByName(parts[1])
 
 
+def _event_stream(spark: Spark, sf: str) -> Frame:
+    schema = I.table(spark, sf, "events").schema
+    return I.changes_of(spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+                        .parquet(sf))
+
+
 def apply_changes(spark: Spark, sf: str) -> Frame:
     """The events as a stream into an empty index; its documents and terms afterwards."""
-    schema = I.table(spark, sf, "events").schema
-    stream = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-              .parquet(sf))
-    target = Snapshots(spark, scratch_path(spark, "changes"), PLAIN, buckets=8)
-    run_changes(I.changes_of(stream), target, scratch_path(spark, "offsets"),
-                SEGMENT).awaitTermination()
+    target = Snapshots(spark, scratch_path(spark, "changes"), PLAIN)
+    run_changes(_event_stream(spark, sf), target, scratch_path(spark, "offsets"), SEGMENT).wait()
     index = target.open()
     lengths = index.lengths().filter("field = 'body'").select("path", "len")
     return index.docs.join(lengths, "path").select(
         "path", "title", "body", F.col("len").cast("long").alias("n_terms"))
 
 
+def stream_roots(spark: Spark, sf: str) -> Frame:
+    """The files users signed up with are the roots, an error deletes one: what the stream leaves
+    of documents and roots, each watched until it is deleted."""
+    target = Snapshots(spark, scratch_path(spark, "watched"), PLAIN)
+    file = F.concat(F.lit("/"), (F.col("seq") % 5).cast("string"), F.lit(".txt"))
+    roots = _signups(spark, sf).select("seq", F.concat("path", file).alias("path"))
+    target.register(roots, I.docs(spark, sf).limit(0))
+    events = _event_stream(spark, sf).withColumn("path", F.when(
+        F.col("kind") == changes.DELETE, F.concat("path", file)).otherwise(F.col("path")))
+    run_changes(events, target, scratch_path(spark, "offsets"), SEGMENT, watched=True).wait()
+    return (target.open().docs.select(F.lit("doc").alias("what"), "path", _digest())
+            .unionByName(target.roots().select(F.lit("root").alias("what"), "path",
+                                               F.lit(None).cast("string").alias("digest"))))
+
+
+def overflow_reconcile(spark: Spark, sf: str) -> Frame:
+    """Old bodies, a stream that tells of overflow, and the documents as they are."""
+    target = _store(spark, _prefixed(I.docs(spark, sf), "old "))
+    run_changes(_event_stream(spark, sf), target, scratch_path(spark, "offsets"), SEGMENT,
+                listing=lambda: I.docs(spark, sf)).wait()
+    return _held(target.open())
+
+
 def events_in_roots(spark: Spark, sf: str) -> Frame:
     """Roots are the folders of users who signed up."""
     events = I.change_events(spark, sf)
@@ -500,9 +598,10 @@ QUERIES = {f.__name__.rstrip("_"): f for f in (
     title_terms, tokenize, analyze_en_stop, analyze_en_stem, analyze_lang_tables, lang_detect,
     lang_route, analyze_queries_, query_validate, highlight_mark, postings, postings_lang_tables, doc_length,
     term_stats, field_stats, snapshot_tables, upsert, remove_prefix, remove_prefix_segment,
-    remove_exact, register_roots, unregister_root, reindex, purge, search_term, search_phrase,
+    remove_exact, register_roots, unregister_root, reindex, store_upsert, store_remove, store_reindex,
+    roots_lifecycle, purge, search_term, search_phrase,
     search_phrase_gaps, fuzzy_expand, fuzzy_levenshtein, search_fuzzy, search_prefix,
     search_bool_parts, search_lang, search_stemmed, search_lang_tables, bm25_scores, hit_counts, search_ranked, search_topk,
     search_fetch, fragments, fragment_scores, snippets_top, snippets_merged, snippets_phrase,
     search_batch, suggest_terms_, change_counts, snapshot_diff, fold_changes, apply_changes,
-    events_in_roots)}
+    stream_roots, overflow_reconcile, events_in_roots)}

@@ -87,7 +87,7 @@ def test_a_path_is_stored_once(spark):
     df = {r.term: r.df for r in index.term_stats().filter("field = 'body'").collect()}
     assert df == {"word": 2}
     roots = spark.createDataFrame([(1, "/c"), (2, "/c/1")], "seq long, path string")
-    assert paths(store.reindex(roots, twice.union(twice)).docs) == ["/c/1", "/c/2"]
+    assert paths(store.reindex(twice.union(twice), roots).docs) == ["/c/1", "/c/2"]
 
 
 def test_listing_diff(spark):
@@ -138,7 +138,7 @@ def test_snapshots(spark, corpus, asked):
     assert paths(store.open().docs) == ["/c/ab/king.of.france.txt", "/c/b/empty.txt"]
     roots = spark.createDataFrame([(1, "/c/ab")], "seq long, path string")
     scan = corpus.filter("path like '/c/ab/%'").withColumn("body", F.lit("fresh"))
-    got = store.reindex(roots, scan, SEGMENT)
+    got = store.reindex(scan, roots, SEGMENT)
     assert {r.path: r.body for r in got.docs.collect()} == {
         "/c/ab/king.of.france.txt": "fresh", "/c/b/empty.txt": "A new king"}
     level = store.reconcile(corpus)
@@ -157,20 +157,122 @@ def test_stream_equals_batch(spark):
         events_of(spark, part).coalesce(1).write.mode("append").parquet(folder)
     roots = spark.createDataFrame([("/c",)], "path string")
     store = Snapshots(spark, scratch_path(spark, "s"), DEFAULT, buckets=4)
-    lost = []
     offsets = scratch_path(spark, "o")
     for _ in range(2):  # the second run finds nothing new
-        run_changes(change_stream(spark, folder, files_per_batch=1), store, offsets, SEGMENT,
-                    on_overflow=lost.append).awaitTermination()
+        run_changes(change_stream(spark, folder, files_per_batch=1), store, offsets,
+                    SEGMENT).wait()
     want = changes.fold_changes(events_of(spark, rows), SEGMENT)
     got = store.open().docs
     assert {(r.path, r.body) for r in got.collect()} == {(r.path, r.body) for r in want.collect()}
-    assert len(lost) == 1
     inside = changes.events_in_roots(events_of(spark, rows), roots, SEGMENT)
     assert sorted(r.seq for r in inside.collect()) == [1, 2, 3, 4, 5]
-    before = store.state()[0]
+    before = store.state().v
     store.apply(events_of(spark, rows), SEGMENT, batch_id=0)  # a replayed batch
-    assert store.state()[0] == before
+    assert store.state().v == before
+
+
+def test_overflow_makes_the_batch_compare_with_a_listing(spark):
+    folder = scratch_path(spark, "events")
+    for part in ([(1, "CREATE", "/c/a/x"), (2, "CREATE", "/c/b/y")],
+                 [(3, "OVERFLOW", None), (4, "CREATE", "/c/gone")], [(5, "MODIFY", "/c/a/x")]):
+        events_of(spark, part).coalesce(1).write.mode("append").parquet(folder)
+    now = spark.createDataFrame([("/c/a/x", "en", "x", "b1"), ("/c/new", "en", "new", "lost and found")],
+                                "path string, lang string, title string, body string")
+    store = Snapshots(spark, scratch_path(spark, "s"), DEFAULT, buckets=4)
+    calls = []
+
+    def listing():
+        calls.append(1)
+        return now
+
+    run_changes(change_stream(spark, folder, files_per_batch=1), store, scratch_path(spark, "o"),
+                SEGMENT, listing=listing).wait()
+    got = {r.path: r.body for r in store.open().docs.collect()}
+    assert got.keys() == {"/c/a/x", "/c/new"} and got["/c/new"] == "lost and found"
+    assert calls == [1] and got["/c/a/x"] != "b1"  # the last batch came after the listing
+    before = store.state().v
+    store.apply(events_of(spark, [(3, "OVERFLOW", None)]), SEGMENT, batch_id=1, scan=listing)
+    assert store.state().v == before and calls == [1]  # a replay asks for no listing
+
+
+def test_a_watch_takes_up_new_roots_and_ends_with_the_last(spark):
+    folder = scratch_path(spark, "events")
+    events_of(spark, [(1, "CREATE", "/a/x"), (2, "CREATE", "/b/y")]).coalesce(1).write.parquet(folder)
+    store = Snapshots(spark, scratch_path(spark, "s"), DEFAULT, buckets=4)
+    nothing = store.open().docs
+    store.register(spark.createDataFrame([("/a",)], "path string"), nothing)
+    watch = run_changes(change_stream(spark, folder, files_per_batch=1), store,
+                        scratch_path(spark, "o"), SEGMENT, watched=True,
+                        processingTime="200 milliseconds")
+
+    def until(seen):
+        for _ in range(120):
+            if seen():
+                return True
+            watch.wait(0.5)
+        return False
+
+    try:
+        assert until(lambda: paths(store.open().docs) == ["/a/x"])
+        store.register(spark.createDataFrame([("/b",), ("/a",)], "path string"), nothing)
+        assert [(r.seq, r.path) for r in root_list.listed(store.roots()).collect()] == [
+            (1, "/a"), (3, "/b")]
+        events_of(spark, [(3, "CREATE", "/b/z"), (4, "DELETE", "/b"), (5, "CREATE", "/b/late")]
+                  ).coalesce(1).write.mode("append").parquet(folder)
+        assert until(lambda: paths(store.roots()) == ["/a"])
+        assert paths(store.open().docs) == ["/a/x"]
+        events_of(spark, [(6, "DELETE", "/")]).coalesce(1).write.mode("append").parquet(folder)
+        assert watch.wait(60) and not watch.query.isActive
+        assert store.roots().isEmpty() and store.open().docs.isEmpty()
+    finally:
+        watch.stop()
+
+
+def test_roots_are_versioned_with_the_documents(spark, corpus):
+    store = Snapshots(spark, scratch_path(spark, "r"), DEFAULT, buckets=4)
+    given = spark.createDataFrame([(9, "/c/b"), (3, "/c/a")], "seq long, path string")
+    store.publish(corpus, given)
+    old = store.state()
+    again = corpus.filter("path like '/c/ab/%'").withColumn("body", F.lit("new"))
+    store.register(spark.createDataFrame([("/c/ab",), ("/c/a",)], "path string"), again)
+    assert [r.path for r in root_list.listed(store.roots()).collect()] == ["/c/a", "/c/b", "/c/ab"]
+    assert store.open().docs.filter("body = 'new'").count() == 1
+    store.unregister(spark.createDataFrame([("/c",), ("/nowhere",)], "path string"))
+    assert store.state().v == old.v + 1  # neither is listed
+    store.unregister(spark.createDataFrame([("/c/a",)], "path string"), SEGMENT)
+    assert paths(store.roots()) == ["/c/ab", "/c/b"] and len(paths(store.open().docs)) == 2
+    store.reindex(corpus.filter("path like '/c/b/%'"), mode=SEGMENT)  # the stored roots
+    assert paths(store.open().docs) == ["/c/b/empty.txt"]
+    assert len(paths(store._index(old).docs)) == 3 and paths(store._roots(old)) == ["/c/a", "/c/b"]
+    store.purge()
+    assert store.roots().isEmpty() and store.open().docs.isEmpty()
+    store.publish(corpus)
+    assert store.roots().isEmpty()
+
+
+def test_files_that_cannot_be_read_become_rows(spark, tmp_path):
+    tree = tmp_path / "tree"
+    spark.createDataFrame([("some words",)], "value string").coalesce(1).write.text(str(tree / "a"))
+    (tree / "good.txt").write_text("fine")
+    (tree / "x.pdf").write_bytes(b"%PDF-1.4")
+    damaged = next((tree / "a").glob("part-*.txt"))
+    damaged.write_text("other words, so that the stored checksum no longer holds")
+    read = {r.path: (r.body, r.error) for r in files.read_files(spark, str(tree)).collect()}
+    assert read[str(damaged)] == (None, "the file could not be read")
+    assert read[str(tree / "good.txt")] == ("fine", None)
+    assert read[str(tree / "x.pdf")] == (None, "no extractor for application/pdf")
+
+
+def test_one_pass_serves_all_extractors(spark, tmp_path):
+    for name in ("a.txt", "b.pdf", "c.rtf", "d.odt"):
+        (tmp_path / name).write_text(name)
+    rows = files.scan(spark, str(tmp_path))
+    got = files.extract(rows, {"pdf": lambda p, c: "pdf!", "rtf": lambda p, c: "rtf!"})
+    assert {(r.path.rsplit("/", 1)[-1], r.body, r.error) for r in got.collect()} == {
+        ("a.txt", "a.txt", None), ("b.pdf", "pdf!", None), ("c.rtf", "rtf!", None),
+        ("d.odt", None, "no extractor for application/vnd.oasis.opendocument.text")}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan binaryFile") == 1
 
 
 def test_media_types(spark):

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from lexharbor.operators import lookup, ranking, snippets
 from lexharbor.operators.analysis import DEFAULT, PLAIN, STANDARD, Registry
 from lexharbor.operators.suggest import suggest_terms
+from lexharbor.plans import search as S
 from lexharbor.plans.index import build_index
 from lexharbor.plans.search import search
+from lexharbor.plans.snapshot import Snapshots
 
 
 @pytest.fixture(scope="module")
@@ -69,7 +71,7 @@ def test_rank_all_equals_one_window(spark):
         (F.col("id") % 3).alias("query_id"), F.concat(F.lit("p"), "id").alias("path"),
         F.when(F.col("id") % 3 == 0, F.lit(1.0)).otherwise((F.col("id") * 7919 % 50) / 7.0)
         .alias("score"))
-    every = {(r.query_id, r.path): r["rank"] for r in ranking.rank_all(hits, 3, cuts=8).collect()}
+    every = {(r.query_id, r.path): r["rank"] for r in ranking.rank_all(hits).collect()}
     plain = {(r.query_id, r.path): r["rank"] for r in ranking.top_k(hits, 10_000).collect()}
     assert every == plain
 
@@ -151,3 +153,54 @@ def test_suggestions(spark):
     asked = spark.createDataFrame([("ki",), ("x",)], "prefix string")
     got = suggest_terms(vocabulary, asked, 1).collect()
     assert [(r.prefix, r.term, r["rank"]) for r in got] == [("ki", "kind", 1)]
+
+
+def test_lookups_open_only_the_folders_their_terms_fall_into(spark, tmp_path):
+    words = [f"w{i}" for i in range(300)]
+    docs = spark.createDataFrame(
+        [(f"/d/{i}", "en" if i % 2 else "fr", "t", " ".join(words[i:i + 6])) for i in range(290)],
+        "path string, lang string, title string, body string")
+    store = Snapshots(spark, str(tmp_path / "index"), PLAIN, buckets=2, splits=2, slots=16)
+    index = store.publish(docs)
+    plain = build_index(docs, PLAIN)
+
+    def asked(n):
+        return spark.range(n).select(
+            F.col("id").alias("query_id"), F.lit("term").alias("kind"), F.lit("en").alias("lang"),
+            F.concat(F.lit("w"), F.col("id") * 7).alias("text"))
+
+    for n in (1, 10, 10_000):
+        hits = search(index, asked(n), kinds=["term"]).hits
+        clauses = S.clause_hits(index, asked(n), ["term"])["term"]
+        plan = clauses._jdf.queryExecution().executedPlan().toString()
+        filters = next(line for line in plan.split("FileScan")[1:] if "positions" in line or "tf#" in line)
+        pruned = filters.split("PartitionFilters:")[1].split("PushedFilters")[0]
+        assert "slot#" in pruned and "lang#" in pruned
+        assert "GreaterThanOrEqual(term" in filters
+        reach = index.reach(S.term_clauses(S.analyze_queries(asked(n), PLAIN)))
+        within = index.postings_within(reach).select("slot", "lang").distinct().collect()
+        assert {r.slot for r in within} <= set(reach.slots) and {r.lang for r in within} == {"en"}
+        assert len(reach.slots) <= min(16, n)
+        want = search(plain, asked(n), kinds=["term"]).hits
+        assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_phrase_costs_its_rarest_terms_documents(spark, tmp_path):
+    rows = [(f"/d/{i}", "fr", "", "le roi de la terre " * 3 + ("rare fin" if i % 50 == 0 else "fin rare "
+             if i % 50 == 1 else "fin")) for i in range(400)]
+    docs = spark.createDataFrame(rows, "path string, lang string, title string, body string")
+    index = Snapshots(spark, str(tmp_path / "index"), PLAIN, buckets=2).publish(docs)
+    asked = spark.createDataFrame([(1, "phrase", "fr", "de la terre rare fin"),
+                                   (2, "phrase", "fr", "la terre absent"), (3, "phrase", "fr", "rare"),
+                                   (4, "phrase", "fr", "terre le roi")],
+                                  "query_id int, kind string, lang string, text string")
+    clauses = S.phrase_clauses(S.analyze_queries(asked, PLAIN))
+    per_query = {r.query_id: r.n for r in lookup.phrase_rows(index, clauses).groupBy("query_id")
+                 .agg(F.count(F.lit(1)).alias("n")).collect()}
+    # 16 documents hold the rarest word, so 16 rows for each of the five words
+    assert per_query == {1: 16 * 5, 3: 16, 4: 400 * 3}
+    hits = {(r.query_id, r.path): r.freq for r in lookup.phrase_hits(index, clauses).collect()}
+    want = {(1, p): 1 for p, *_, body in rows if "terre rare fin" in body}
+    want |= {(3, p): body.split().count("rare") for p, *_, body in rows if "rare" in body.split()}
+    want |= {(4, p): body.count("terre le roi") for p, *_, body in rows}
+    assert hits == want
