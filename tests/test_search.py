@@ -179,7 +179,7 @@ def test_lookups_open_only_the_folders_their_terms_fall_into(spark, tmp_path):
         assert "GreaterThanOrEqual(term" in filters
         reach = index.reach(S.term_clauses(S.analyze_queries(asked(n), PLAIN)))
         within = index.postings_within(reach).select("slot", "lang").distinct().collect()
-        assert {r.slot for r in within} <= set(reach.slots) and {r.lang for r in within} == {"en"}
+        assert {r.slot for r in within} <= set(reach.slots) and {r.lang for r in within} <= {"en"}
         assert len(reach.slots) <= min(16, n)
         want = search(plain, asked(n), kinds=["term"]).hits
         assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, want.collect()))
