@@ -144,10 +144,10 @@ def fuzzy_candidates(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
     return near.select("lang", "field", "word", "term", "df").distinct()
 
 
-def fuzzy_expand(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
+def fuzzy_expand(vocabulary: DataFrame, words: DataFrame, n: int = MAX_EXPANSIONS) -> DataFrame:
     """``(lang, field, word, term, df, edits, boost, rank, top_df)``.
 
-    The best expansions of each word by boost, then term; ``top_df`` is the largest
+    The ``n`` best expansions of each word by boost, then term; ``top_df`` is the largest
     document frequency among them, which scoring uses for all.
     """
     least = F.least(F.length("word"), F.length("term"))
@@ -158,7 +158,7 @@ def fuzzy_expand(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
     per_word = Window.partitionBy("lang", "field", "word")
     best = per_word.orderBy(F.desc("boost"), "term")
     return (scored.withColumn("rank", F.row_number().over(best))
-            .filter(F.col("rank") <= MAX_EXPANSIONS)
+            .filter(F.col("rank") <= n)
             .withColumn("top_df", F.max("df").over(per_word)))
 
 
@@ -171,10 +171,10 @@ def levenshtein_expand(vocabulary: DataFrame, words: DataFrame) -> DataFrame:
             .select("lang", "field", "word", "term", "edits"))
 
 
-def fuzzy_hits(index, qterms: DataFrame) -> DataFrame:
-    """``(query_id, path, field, term, score, boost)`` over all expansions of each word."""
+def fuzzy_hits(index, qterms: DataFrame, n: int = MAX_EXPANSIONS) -> DataFrame:
+    """``(query_id, path, field, term, score, boost)`` over the ``n`` best expansions of each word."""
     words = qterms.select("lang", "field", F.col("term").alias("word")).distinct()
-    expansions = index.expansions(words)
+    expansions = index.expansions(words, n)
     weighed = (expansions.join(index.field_stats().select("lang", "field", "n_docs", "avg_len"),
                                ["lang", "field"])
                .withColumn("weight", F.col("boost") * idf(F.col("n_docs"), F.col("top_df")))

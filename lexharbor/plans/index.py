@@ -68,9 +68,9 @@ class Index:
         return (self.terms.groupBy("lang", "field", "term")
                 .agg(F.sum("df").alias("df"), F.sum("ttf").alias("ttf")))
 
-    def expansions(self, words: DataFrame) -> DataFrame:
-        """The best expansions of ``words(lang, field, word)`` with their document frequencies."""
-        return lookup.fuzzy_expand(self.term_stats(), words)
+    def expansions(self, words: DataFrame, n: int = lookup.MAX_EXPANSIONS) -> DataFrame:
+        """The ``n`` best expansions of ``words(lang, field, word)`` with document frequencies."""
+        return lookup.fuzzy_expand(self.term_stats(), words, n)
 
     def field_stats(self) -> DataFrame:
         """One row per language and field."""

@@ -68,8 +68,8 @@ def phrase_clauses(analysed: DataFrame, gap_aware: bool = False) -> DataFrame:
             .select("query_id", "lang", "field", tokens.alias("tokens")))
 
 
-def clause_hits(index: Index, queries: DataFrame, kinds=KINDS,
-                gap_aware: bool = False) -> dict[str, DataFrame]:
+def clause_hits(index: Index, queries: DataFrame, kinds=KINDS, gap_aware: bool = False,
+                expansions: int = lookup.MAX_EXPANSIONS) -> dict[str, DataFrame]:
     """Scored clause rows by kind; one plan per kind asked for."""
     analysed = analyze_queries(queries, index.registry)
     out = {}
@@ -78,7 +78,7 @@ def clause_hits(index: Index, queries: DataFrame, kinds=KINDS,
         if kind == TERM:
             out[kind] = lookup.term_hits(index, term_clauses(mine))
         elif kind == FUZZY:
-            out[kind] = lookup.fuzzy_hits(index, term_clauses(mine))
+            out[kind] = lookup.fuzzy_hits(index, term_clauses(mine), expansions)
         elif kind == PHRASE:
             out[kind] = lookup.phrase_hits(index, phrase_clauses(mine, gap_aware))
         else:
@@ -86,22 +86,25 @@ def clause_hits(index: Index, queries: DataFrame, kinds=KINDS,
     return out
 
 
-def search_hits(index: Index, queries: DataFrame, kinds=KINDS,
-                gap_aware: bool = False) -> DataFrame:
+def search_hits(index: Index, queries: DataFrame, kinds=KINDS, gap_aware: bool = False,
+                expansions: int = lookup.MAX_EXPANSIONS) -> DataFrame:
     """``(query_id, path, score)``: body and title clauses joined by OR."""
-    return lookup.either_clause(*clause_hits(index, queries, kinds, gap_aware).values())
+    return lookup.either_clause(
+        *clause_hits(index, queries, kinds, gap_aware, expansions).values())
 
 
 def search(index: Index, queries: DataFrame, k: int | None = None, details: bool = False,
-           kinds=KINDS, gap_aware: bool = False, pre: str = "<b>", post: str = "</b>") -> Found:
+           kinds=KINDS, gap_aware: bool = False, pre: str = "<b>", post: str = "</b>",
+           expansions: int = lookup.MAX_EXPANSIONS, best: int = snippets.BEST) -> Found:
     """Run ``queries(query_id, kind, lang, text)``; those of kinds not in ``kinds`` are rejected.
 
     ``k`` limits the hits shown per query, not those counted; ``None`` or 0 shows all.
-    ``details`` adds snippets of the hits shown.
+    ``details`` adds snippets of the hits shown, of the ``best`` fragments each. A fuzzy word
+    stands for its ``expansions`` nearest terms.
     """
     k = ranking.check_limit(k)
     accepted, rejected = validate(queries, kinds)
-    hits = search_hits(index, accepted, kinds, gap_aware)
+    hits = search_hits(index, accepted, kinds, gap_aware, expansions)
     if k is None:
         # ranking everything reads the hits several times: look them up once
         hits = materialize(hits, "hits")
@@ -113,11 +116,13 @@ def search(index: Index, queries: DataFrame, k: int | None = None, details: bool
     found = Found(shown, ranking.hit_counts(hits), rejected)
     if details:
         bound = BROADCAST_ROWS + 1 if k is None else k * n_queries
-        found.snippets = snippets_of(index, accepted, shown, bound, kinds, gap_aware, pre, post)
+        found.snippets = snippets_of(index, accepted, shown, bound, kinds, gap_aware, pre, post,
+                                     expansions, best)
     return found
 
 
-def wanted_terms(index: Index, queries: DataFrame, kinds=KINDS) -> DataFrame:
+def wanted_terms(index: Index, queries: DataFrame, kinds=KINDS,
+                 expansions: int = lookup.MAX_EXPANSIONS) -> DataFrame:
     """``(query_id, term, weight)`` to look for in bodies, from either field's terms."""
     analysed = analyze_queries(queries, index.registry)
     parts = []
@@ -127,7 +132,7 @@ def wanted_terms(index: Index, queries: DataFrame, kinds=KINDS) -> DataFrame:
     if FUZZY in kinds:
         asked = term_clauses(analysed.filter(F.col("kind") == FUZZY))
         words = asked.select("lang", "field", F.col("term").alias("word")).distinct()
-        near = index.expansions(words)
+        near = index.expansions(words, expansions)
         parts.append(asked.withColumnRenamed("term", "word")
                      .join(near, ["lang", "field", "word"])
                      .select("query_id", "term", F.col("boost").alias("weight")))
@@ -139,7 +144,9 @@ def wanted_terms(index: Index, queries: DataFrame, kinds=KINDS) -> DataFrame:
 
 
 def winning_fragments(index: Index, queries: DataFrame, shown: DataFrame, rows: int,
-                      kinds=KINDS, gap_aware: bool = False) -> DataFrame:
+                      kinds=KINDS, gap_aware: bool = False,
+                      expansions: int = lookup.MAX_EXPANSIONS,
+                      n: int = snippets.BEST) -> DataFrame:
     """``(query_id, path, frag_no, n_frags, score, start, end, marks)`` of hits shown."""
     hits = shown.select("query_id", "path")
     parts = []
@@ -147,9 +154,9 @@ def winning_fragments(index: Index, queries: DataFrame, shown: DataFrame, rows:
         # fragments of a document are the same for every such query: cut once per path
         bodies = _bodies(index, hits.select("path").distinct(), rows)
         cut = snippets.cut_bodies(bodies, index.registry)
-        wanted = hits.join(wanted_terms(index, queries, kinds), "query_id")
+        wanted = hits.join(wanted_terms(index, queries, kinds, expansions), "query_id")
         best = snippets.best_fragments(snippets.fragment_scores(
-            _words(index, cut), wanted))
+            _words(index, cut), wanted), n)
         parts.append(snippets.merged(best, snippets.fragments(cut)))
     if PHRASE in kinds:
         keys = ("query_id", "path")
@@ -161,7 +168,7 @@ def winning_fragments(index: Index, queries: DataFrame, shown: DataFrame, rows:
         bodies = _bodies(index, matched.select("query_id", "path").distinct(), rows)
         cut = snippets.cut_bodies(bodies, index.registry, keys, places.filter("place > 0"))
         best = snippets.best_fragments(snippets.fragment_scores(
-            _words(index, cut, keys), places.drop("place").distinct(), keys))
+            _words(index, cut, keys), places.drop("place").distinct(), keys), n)
         parts.append(snippets.merged(best, snippets.fragments(cut, keys), keys))
     if not parts:
         return None
@@ -180,24 +187,25 @@ def _bodies(index: Index, hits: DataFrame, rows: int) -> DataFrame:
 
 
 def snippets_of(index: Index, queries: DataFrame, shown: DataFrame, rows: int, kinds=KINDS,
-                gap_aware: bool = False, pre: str = "<b>", post: str = "</b>") -> DataFrame:
+                gap_aware: bool = False, pre: str = "<b>", post: str = "</b>",
+                expansions: int = lookup.MAX_EXPANSIONS, best: int = snippets.BEST) -> DataFrame:
     """``(query_id, path, rank, frag_rank, frag_no, score, text)``: snippets of the hits shown.
 
     ``frag_rank`` counts a hit's fragments best first, equal scores by place in the text. A hit
     without any (a path match, another field's match) keeps one row with no text. ``rows``
     bounds ``shown``.
     """
-    won = winning_fragments(index, queries, shown, rows, kinds, gap_aware)
+    won = winning_fragments(index, queries, shown, rows, kinds, gap_aware, expansions, best)
     base = shown.select("query_id", "path", "rank")
     if won is None:
         return base.select("*", F.lit(None).cast("int").alias("frag_rank"),
                            F.lit(None).cast("int").alias("frag_no"),
                            F.lit(None).cast("double").alias("score"),
                            F.lit(None).cast("string").alias("text"))
-    best = Window.partitionBy("query_id", "path").orderBy(F.desc("score"), "frag_no")
-    won = materialize(won.withColumn("frag_rank", F.row_number().over(best)), "fragments")
+    order = Window.partitionBy("query_id", "path").orderBy(F.desc("score"), "frag_no")
+    won = materialize(won.withColumn("frag_rank", F.row_number().over(order)), "fragments")
     texts = (index.docs_of(won, rows).select("path", "body")
-             .join(broadcast_within(won, rows * snippets.BEST), "path")
+             .join(broadcast_within(won, rows * best), "path")
              .select("query_id", "path", "frag_rank", "frag_no", F.col("score"), snippets.marked_text(
                  F.col("body"), F.col("start"), F.col("end"), F.col("marks"), pre, post)
                  .alias("text")))

@@ -380,9 +380,21 @@ def body_terms(where: str, possessive: bool, stop: bool) -> str:
         SELECT path, regexp_extract_all({text}, '{W}') AS ws FROM docs WHERE {where})) {keep}"""
 
 
+def suggested(matches: str) -> str:
+    return f"""WITH {DOCS}, {TOKS}, {STATS}, {WORDS}, p AS (
+        SELECT DISTINCT substring(word, 1, 3) AS prefix FROM words)
+        SELECT prefix, term, df, rank FROM (
+          SELECT prefix, term, df, row_number() OVER (
+            PARTITION BY prefix ORDER BY df DESC, term) AS rank
+          FROM p JOIN tstats ON lang = 'en' AND field = 'body' AND {matches}(term, prefix))
+        WHERE rank <= 30"""
+
+
 ORACLE = {
     "scan_docs": f"""WITH {DOCS} SELECT path, lang, title, length(body) AS n_chars,
         md5(body) AS digest FROM docs""",
+    "scan_tree": """SELECT source, lang, doc_id, md5(text) AS digest, NULL::VARCHAR AS error
+        FROM documents""",
     "media_type_counts": f"WITH {DOCS}, {TYPED} SELECT mime, count(*) AS n FROM typed GROUP BY 1",
     "media_type_filter": f"WITH {DOCS}, {TYPED} SELECT path, mime FROM typed WHERE {INDEXED}",
     "extract_text": f"""WITH {DOCS} SELECT path, length(body) AS n_chars, md5(body) AS digest
@@ -602,13 +614,8 @@ ORACLE = {
             FROM documents GROUP BY source) JOIN docs ON starts_with(path, prefix)),
         {RANKED} SELECT query_id, path, rank, round(score, 4) AS score FROM ranked
         WHERE rank <= 10""",
-    "suggest_terms": f"""WITH {DOCS}, {TOKS}, {STATS}, {WORDS}, p AS (
-        SELECT DISTINCT substring(word, 1, 3) AS prefix FROM words)
-        SELECT prefix, term, df, rank FROM (
-          SELECT prefix, term, df, row_number() OVER (
-            PARTITION BY prefix ORDER BY df DESC, term) AS rank
-          FROM p JOIN tstats ON lang = 'en' AND field = 'body' AND starts_with(term, prefix))
-        WHERE rank <= 30""",
+    "suggest_terms": suggested("starts_with"),
+    "suggest_inside": suggested("contains"),
     "change_counts": f"WITH {EVENTS} SELECT kind, count(*) AS n FROM changes GROUP BY kind",
     "snapshot_diff": f"""WITH {DOCS}, old AS (SELECT path, length(body) AS n FROM docs), new AS (
         SELECT path, length(body) + coalesce(quality, 0) AS n FROM docs LEFT JOIN labels USING (doc_id)

@@ -18,7 +18,7 @@ from lexharbor.operators.suggest import suggest_terms
 from lexharbor.operators.vocabulary import analyze, analyze_queries
 from lexharbor.plans import search as S
 from lexharbor.plans.snapshot import Snapshots
-from lexharbor.session import materialize, scratch_path
+from lexharbor.session import broadcast_within, materialize, scratch_path
 from lexharbor.sources import files, roots as root_list
 from lexharbor.streaming.changes import run_changes
 from lexharbor.verify import inputs as I
@@ -45,6 +45,22 @@ def scan_docs(spark: Spark, sf: str) -> Frame:
                                     F.length("body").cast("long").alias("n_chars"), _digest())
 
 
+def scan_tree(spark: Spark, sf: str) -> Frame:
+    """Every document written as a file of its own, the tree listed, read and taken apart again."""
+    root, end = scratch_path(spark, "tree"), "\x1e"
+    folders = ["source", "lang", "doc_id"]
+    (I.table(spark, sf, "documents").select(*folders, F.col("text").alias("value"))
+     .repartition(*folders).write.partitionBy(*folders).option("lineSep", end).text(root))
+
+    def named(folder: str):
+        return F.regexp_extract("path", f"/{folder}=([^/]*)/", 1)
+
+    body = F.regexp_replace("body", f"{end}$", "")
+    return files.read_files(spark, root).select(
+        named("source").alias("source"), named("lang").alias("lang"),
+        named("doc_id").cast("long").alias("doc_id"), F.md5(body).alias("digest"), "error")
+
+
 def _typed(spark: Spark, sf: str) -> Frame:
     chosen = F.array(*[F.lit(e) for e in EXTENSIONS])[
         (F.col("doc_id") % len(EXTENSIONS)).cast("int")]
@@ -471,10 +487,12 @@ def fragments(spark: Spark, sf: str) -> Frame:
 
 def _fragment_scores(spark: Spark, sf: str) -> Frame:
     index, queries = I.stored_index(spark, sf), I.word_queries(spark, sf)
-    hits = _top(spark, sf).select("query_id", "path")
+    rows, top = TOP * queries.count(), materialize(_top(spark, sf), "top")
+    hits = top.select("query_id", "path")
     wanted = hits.join(S.wanted_terms(index, queries, [S.TERM]), "query_id")
-    words = snippets.words_of_cut(snippets.cut_bodies(index.docs, PLAIN))
-    return snippets.fragment_scores(words, wanted)
+    shown = broadcast_within(hits.select("path").distinct(), rows)
+    bodies = index.docs_of(hits, rows).join(shown, "path", "left_semi")
+    return snippets.fragment_scores(snippets.words_of_cut(snippets.cut_bodies(bodies, PLAIN)), wanted)
 
 
 def fragment_scores(spark: Spark, sf: str) -> Frame:
@@ -516,11 +534,20 @@ def search_batch(spark: Spark, sf: str) -> Frame:
                              _score())
 
 
-def suggest_terms_(spark: Spark, sf: str) -> Frame:
+def _suggested(spark: Spark, sf: str, inside: bool) -> Frame:
     vocabulary = I.stored_index(spark, sf).term_stats().filter(
         "lang = 'en' AND field = 'body'")
     asked = I.words(spark, sf).select(F.substring("word", 1, 3).alias("prefix"))
-    return suggest_terms(vocabulary, asked).withColumn("rank", F.col("rank").cast("long"))
+    return suggest_terms(vocabulary, asked, inside=inside).withColumn(
+        "rank", F.col("rank").cast("long"))
+
+
+def suggest_terms_(spark: Spark, sf: str) -> Frame:
+    return _suggested(spark, sf, False)
+
+
+def suggest_inside(spark: Spark, sf: str) -> Frame:
+    return _suggested(spark, sf, True)
 
 
 # -- changes -------------------------------------------------------------------
@@ -594,7 +621,7 @@ def events_in_roots(spark: Spark, sf: str) -> Frame:
 
 
 QUERIES = {f.__name__.rstrip("_"): f for f in (
-    scan_docs, media_type_counts, media_type_filter, extract_text, extractor_hook, list_roots,
+    scan_docs, scan_tree, media_type_counts, media_type_filter, extract_text, extractor_hook, list_roots,
     title_terms, tokenize, analyze_en_stop, analyze_en_stem, analyze_lang_tables, lang_detect,
     lang_route, analyze_queries_, query_validate, highlight_mark, postings, postings_lang_tables, doc_length,
     term_stats, field_stats, snapshot_tables, upsert, remove_prefix, remove_prefix_segment,
@@ -603,5 +630,5 @@ QUERIES = {f.__name__.rstrip("_"): f for f in (
     search_phrase_gaps, fuzzy_expand, fuzzy_levenshtein, search_fuzzy, search_prefix,
     search_bool_parts, search_lang, search_stemmed, search_lang_tables, bm25_scores, hit_counts, search_ranked, search_topk,
     search_fetch, fragments, fragment_scores, snippets_top, snippets_merged, snippets_phrase,
-    search_batch, suggest_terms_, change_counts, snapshot_diff, fold_changes, apply_changes,
+    search_batch, suggest_terms_, suggest_inside, change_counts, snapshot_diff, fold_changes, apply_changes,
     stream_roots, overflow_reconcile, events_in_roots)}

@@ -37,6 +37,18 @@ def test_snippets_of_the_small_corpus(found):
     assert got[5, "/c/a/king.txt"] is None and got[2, "/c/ab/king.of.france.txt"] is None
 
 
+def test_number_of_expansions_and_fragments_shown(spark):
+    docs = spark.createDataFrame([("/1", "fr", "", "kings kinga king kina " + "filler words go on " * 9
+                                   + "kings and again")], "path string, lang string, title string, body string")
+    asked = spark.createDataFrame([(1, "fuzzy", "fr", "king")],
+                                  "query_id int, kind string, lang string, text string")
+    index = build_index(docs, PLAIN)
+    few = search(index, asked, 5, details=True, expansions=1, best=1).snippets.collect()
+    assert [r.text.count("<b>") for r in few] == [1]
+    many = search(index, asked, 5, details=True).snippets.collect()
+    assert sorted(r.text.count("<b>") for r in many) == [1, 4]
+
+
 def test_score_of_one_term(corpus, asked):
     hits = search(build_index(corpus, PLAIN), asked.filter("query_id = 1"), kinds=["term"]).hits
     got = {r.path: r.score for r in hits.collect()}
@@ -153,6 +165,10 @@ def test_suggestions(spark):
     asked = spark.createDataFrame([("ki",), ("x",)], "prefix string")
     got = suggest_terms(vocabulary, asked, 1).collect()
     assert [(r.prefix, r.term, r["rank"]) for r in got] == [("ki", "kind", 1)]
+    more = spark.createDataFrame([("in",), ("n",), ("ee",), ("",)], "prefix string")
+    inside = suggest_terms(vocabulary, more, 2, inside=True).orderBy("prefix", "rank").collect()
+    assert [(r.prefix, r.term) for r in inside if r.prefix] == [
+        ("ee", "queen"), ("in", "kind"), ("in", "king"), ("n", "queen"), ("n", "kind")]
 
 
 def test_lookups_open_only_the_folders_their_terms_fall_into(spark, tmp_path):
