@@ -9,6 +9,7 @@ from lexharbor.sources.files import BY_EXTENSION
 from lexharbor.verify.inputs import PHRASE_BASE, PREFIX_BASE, QUERY_BASE
 
 W = r"[\p{L}\p{N}]+"
+RUN = r"[\p{L}\p{M}\p{N}_]+"
 POSS = r"([\p{L}\p{N}])(?:[''’＇][sS])+([^\p{L}\p{N}]|$)"
 STOP = "(" + ", ".join(f"'{w}'" for w in STOP_EN) + ")"
 APOS = "('''', '’', '＇')"
@@ -406,6 +407,23 @@ ORACLE = {
         SELECT path, unnest(ws) AS w, unnest(range(len(ws)))::INT AS pos FROM (
           SELECT path, regexp_extract_all(title, '{W}') AS ws FROM docs))""",
     "tokenize": body_terms("true", False, False),
+    "tokenize_joined": f"""WITH {DOCS},
+        cut AS (
+          SELECT path, unnest(range(len(ws))) AS k, unnest(gaps[1:len(ws)]) AS gap, unnest(ws) AS w
+          FROM (SELECT path, string_split_regex(body, '{RUN}') AS gaps,
+                       regexp_extract_all(body, '{RUN}') AS ws FROM docs)),
+        pairs AS (SELECT *, lag(w) OVER (PARTITION BY path ORDER BY k) AS prev FROM cut),
+        judged AS (
+          SELECT *, NOT coalesce(
+            (regexp_matches(gap, '^[''’.:]$') AND regexp_matches(prev, '[\\p{{L}}\\p{{M}}_]$')
+             AND regexp_matches(w, '^[\\p{{L}}_]'))
+            OR (regexp_matches(gap, '^[.,;''’]$') AND regexp_matches(prev, '\\p{{N}}$')
+                AND regexp_matches(w, '^\\p{{N}}')), false) AS fresh FROM pairs),
+        placed AS (
+          SELECT *, sum(fresh::INT) OVER (PARTITION BY path ORDER BY k) - 1 AS pos FROM judged)
+        SELECT path, pos::INT AS pos, lower(string_agg(
+          CASE WHEN fresh THEN w ELSE gap || w END, '' ORDER BY k)) AS term
+        FROM placed GROUP BY path, pos""",
     "analyze_en_stop": body_terms("lang = 'en'", True, True),
     "analyze_en_stem": f"""WITH {DOCS}, {CUT_TOKS}, {stemmed(EN_BODY)}
         SELECT path, pos::INT AS pos, stem AS term FROM cut JOIN stemmed USING (term)

@@ -7,11 +7,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexharbor.functions.text import kept_length, mark_words
+from lexharbor.functions.text import WORDS_JOINED, kept_length, mark_words
 from lexharbor.operators import changes, language, lookup, maintain, ranking, snippets
 from lexharbor.operators import postings as P
 from lexharbor.operators.analysis import (
-    DEFAULT, ENGLISH, ENGLISH_STOP, PLAIN, STANDARD, STOP_EN, Registry, Tables,
+    DEFAULT, ENGLISH, ENGLISH_STOP, Analyzer, PLAIN, STANDARD, STOP_EN, Registry, Tables,
     analyze_with_tables, explode_tokens)
 from lexharbor.operators.prefixes import RAW, SEGMENT
 from lexharbor.operators.suggest import suggest_terms
@@ -109,6 +109,12 @@ def tokenize(spark: Spark, sf: str) -> Frame:
     return analyze(I.docs(spark, sf), "path", "body", STANDARD)
 
 
+def tokenize_joined(spark: Spark, sf: str) -> Frame:
+    """Words that keep an inner apostrophe, dot or colon between letters, and the signs inside
+    numbers."""
+    return analyze(I.docs(spark, sf), "path", "body", Analyzer(pattern=WORDS_JOINED))
+
+
 def analyze_en_stop(spark: Spark, sf: str) -> Frame:
     return analyze(I.docs(spark, sf).filter("lang = 'en'"), "path", "body", ENGLISH_STOP)
 
@@ -447,7 +453,7 @@ def search_lang_tables(spark: Spark, sf: str) -> Frame:
 def bm25_scores(spark: Spark, sf: str) -> Frame:
     index = I.stored_index(spark, sf)
     scored = (index.postings.join(index.term_stats(), ["lang", "field", "term"])
-              .join(F.broadcast(index.field_stats()), ["lang", "field"]))
+              .join(index.field_stats(), ["lang", "field"]))
     weight = lookup.idf(F.col("n_docs"), F.col("df"))
     score = lookup.bm25(weight, F.col("tf"), index.norm(F.col("len")), F.col("avg_len"))
     return scored.select("lang", "field", "term", "path", F.round(score, 4).alias("score"))
@@ -622,7 +628,7 @@ def events_in_roots(spark: Spark, sf: str) -> Frame:
 
 QUERIES = {f.__name__.rstrip("_"): f for f in (
     scan_docs, scan_tree, media_type_counts, media_type_filter, extract_text, extractor_hook, list_roots,
-    title_terms, tokenize, analyze_en_stop, analyze_en_stem, analyze_lang_tables, lang_detect,
+    title_terms, tokenize, tokenize_joined, analyze_en_stop, analyze_en_stem, analyze_lang_tables, lang_detect,
     lang_route, analyze_queries_, query_validate, highlight_mark, postings, postings_lang_tables, doc_length,
     term_stats, field_stats, snapshot_tables, upsert, remove_prefix, remove_prefix_segment,
     remove_exact, register_roots, unregister_root, reindex, store_upsert, store_remove, store_reindex,
