@@ -15,8 +15,8 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 # Text held by one block of documents; Python tasks hold a few blocks' arrays at a time.
 BLOCK_BYTES = 1 << 20
-# Documents are big rows: so many go to Python in one Arrow batch.
-BATCH_ROWS = 512
+# Documents are big rows: so many rows and bytes go to Python in one Arrow batch.
+BATCH_ROWS, BATCH_BYTES = 512, 8 << 20
 LOWEST = -(2 ** 63)
 
 
@@ -27,6 +27,7 @@ def documents_of(spark: SparkSession, sf_dir: str, name: str = "documents") -> D
 def small_batches(spark: SparkSession) -> None:
     """Arrow batches are counted in rows; keep those of long texts small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def id_and_text(docs: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
+import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from lexharbor.llm import pii
@@ -71,3 +73,92 @@ def test_base_spans_always_stay(make, model):
     d = {r.doc_id: r for r in pii.digest(pii.find(docs, model)).collect()}
     assert d[77].spans == "" and d[None].n_email == 1 and d[None].spans == "email:0:6"
     assert pii.find(make([]), model).collect() == []
+
+
+def labellings(region):
+    """Every segmentation of a region: lists of (segment number, kind) in order of place."""
+    def after(at):
+        if at == len(region.plain):
+            yield []
+            return
+        for rest in after(at + 1):
+            yield rest
+        for k, (i, j, _) in enumerate(region.segments):
+            if i == at:
+                for kind, rest in itertools.product(range(len(pii.KINDS)), list(after(j))):
+                    yield [(k, kind), *rest]
+    return list(after(0))
+
+
+def score_of(model, region, labels):
+    o, s = model.potentials(region)
+    starts = {region.segments[k][0]: (k, kind) for k, kind in labels}
+    at, before, total, last = 0, len(pii.KINDS), 0.0, len(pii.KINDS)
+    while at < len(region.plain):
+        if at in starts:
+            k, kind = starts[at]
+            total += model.steps[before, kind] + s[k][kind]
+            at, before = region.segments[k][1], kind
+        else:
+            total += model.steps[before, last] + o[at]
+            at, before = at + 1, last
+    return total
+
+
+def test_best_and_likelihood_equal_enumeration():
+    """The dynamic programs against all segmentations of small regions, with random weights."""
+    rng = np.random.default_rng(4)
+    seen = 0
+    for text in ("a@b", "x 12 y", "+1 2", "7.8", "a1 b2", "q (3)", "1-2@c"):
+        names = pii.Names()
+        found = list(pii.regions(text, names))
+        for r in found:
+            every = labellings(r)
+            assert len(every) > 4
+            m = pii.SemiMarkov(names, *(rng.normal(size=s) for s in (
+                (len(names), 4), len(names), (5, 5))))
+            scores = np.array([score_of(m, r, x) for x in every])
+            top = every[int(scores.argmax())]
+            assert m.best(r) == [(kind, r.bounds[r.segments[k][0]], r.bounds[r.segments[k][1]])
+                                 for k, kind in top], text
+            gold = every[len(every) // 2]
+            r.gold = [k * len(pii.KINDS) + kind for k, kind in gold]
+            grads = [np.zeros_like(w) for w in (m.kinds, m.plain, m.steps)]
+            value = m.gradient(r, *grads)
+            whole = np.logaddexp.reduce(scores)
+            assert abs(value - (score_of(m, r, gold) - whole)) < 1e-8
+            step = 1e-6
+            for w, g in zip((m.kinds, m.plain, m.steps), grads, strict=True):
+                for at in [tuple(rng.integers(0, d) for d in w.shape) for _ in range(4)]:
+                    w[at] += step
+                    up = score_of(m, r, gold) - np.logaddexp.reduce([score_of(m, r, x) for x in every])
+                    w[at] -= step
+                    assert abs((up - value) / step - g[at]) < 1e-3
+            seen += 1
+    assert seen >= 6
+
+
+def test_ties_and_small_samples_leave_plain_text():
+    names = pii.Names()
+    region = next(pii.regions("call 555 1234 or 12 3", names))
+    zero = pii.SemiMarkov(names, np.zeros((len(names), 4)), np.zeros(len(names)), np.zeros((5, 5)))
+    assert zero.best(region) == []
+    bare = pii.fit([])
+    assert found("at 12 3 of 555 1234 parts", bare) == []
+    assert found("to jo.b[at]mail7[dot]example[dot]org now", bare) == [
+        ("email", "jo.b[at]mail7[dot]example[dot]org")]
+
+
+def test_sample_holds_every_kind_and_copies_once(make):
+    """A kind of one text among thousands is drawn; a text that fills half the table is one text."""
+    rare = sample()[0]
+    rows = [(i, f"chapter {i} of 12") for i in range(400)] + [(1000 + i, rare) for i in range(400)]
+    rows += [(2000 + i, f"user{i}@host{i}.example.org wrote") for i in range(400)]
+    drawn = []
+    keep, pii.fit = pii.fit, drawn.extend
+    try:
+        pii.train(make(rows), rows=40)
+    finally:
+        pii.fit = keep
+    assert drawn.count(rare) == 1 and 2 <= len(drawn) <= 40
+    assert not any(t.startswith("chapter") for t in drawn)

@@ -49,6 +49,26 @@ def test_null_and_repeated_ids_are_judged_row_by_row(spark, make):
     assert sum(t.startswith(lone) for _, t in texts(kept)) == 1
 
 
+def test_columns_of_the_stages_own_names_keep_their_values(spark, make):
+    """Inputs may have columns called like a stage's key or the classifier's."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    folder = scratch_path(spark, "bench")
+    for name in ("labels", "documents"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    spark.createDataFrame([(9, passage)], "item_id long, text string").write.parquet(
+        f"{folder}/benchmark.parquet")
+    docs = (make([(i, f"plain words number {i} stand here") for i in range(6)] + [(7, passage)])
+            .selectExpr("*", "10 * doc_id AS stage_key", "'s' AS Predicted", "-doc_id AS flagged",
+                        "doc_id + 1 AS mix_copy", "'r' AS mix_repeats", "1 AS stage_key_"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert rows, name
+        assert all((r.stage_key, r.Predicted, r.flagged, r.mix_copy, r.mix_repeats, r.score)
+                   == (10 * r.doc_id, "s", -r.doc_id, r.doc_id + 1, "r", 0.5) for r in rows), name
+
+
 def test_rows_without_id_are_mixed_each_for_itself(spark, make):
     docs = make([(None if i % 3 else 7, "w " * (i % 9 + 1), f"s{i % 2}") for i in range(80)])
     out = corpus_pipeline.mixed(spark, docs, SF).collect()
@@ -71,6 +91,6 @@ def test_run_writes_and_reads_tokens(spark):
 
 
 def test_every_operator_is_registered():
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(ORACLE) <= set(QUERIES)
     assert os.path.exists(corpus_pipeline.__file__) and len(corpus_pipeline.STAGES) == 5
