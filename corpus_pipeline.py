@@ -20,30 +20,42 @@ from lexharbor.llm.common import documents_of
 from lexharbor.session import materialize
 
 
-# A stage's own key of a row; dropped before the stage returns.
-KEY = "stage_key"
+def fresh(name: str, docs: DataFrame) -> str:
+    """``name``, made longer until no column of ``docs`` is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a hash of id and text, so a null or repeated id judges no other text."""
-    return docs.withColumn(KEY, F.xxhash64(F.col("doc_id").cast("long"), "text"))
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a hash of id and text, so a null or repeated id judges no other text.
+
+    The name of the key's column comes with it; the stage drops it before it returns.
+    """
+    key = fresh("stage_key", docs)
+    return docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), "text")), key
 
 
-def by_key(docs: DataFrame) -> DataFrame:
+def by_key(docs: DataFrame, key: str) -> DataFrame:
     """What an operator reads of keyed ``docs``: the key in place of the id."""
-    return docs.select(F.col(KEY).alias("doc_id"), "text")
+    return docs.select(F.col(key).alias("doc_id"), "text")
 
 
-def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+def without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """The rows of keyed ``docs`` whose key is not among ``gone``."""
-    return docs.join(gone.select(KEY).distinct(), KEY, "left_anti").drop(KEY)
+    return docs.join(gone.select(key).distinct(), key, "left_anti").drop(key)
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Trained on the labelled rows of ``documents``; a score under the threshold stays."""
     model = toxicity.train(documents_of(spark, sf_dir), documents_of(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model)
-    return scored.filter("predicted = 0").select(docs.columns)
+    # columns of the input that are called like the classifier's keep their values
+    own = {c: fresh(f"given_{c.lower()}", docs) for c in docs.columns
+           if c.lower() in ("score", "predicted", "flagged")}
+    scored = toxicity.score(docs.withColumnsRenamed(own), model)
+    return (scored.filter("predicted = 0").drop("score", "predicted", "flagged")
+            .withColumnsRenamed({b: a for a, b in own.items()}).select(docs.columns))
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,13 +64,13 @@ def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     Rows that repeat an id and its text are one document. Rows of null id are documents each, so
     of those with the same words one stays too.
     """
-    rows = keyed(docs)
-    found = neardup.near_duplicates(by_key(rows)).select(F.col("doc_id").alias(KEY), "component_id")
-    judged = materialize(found.distinct().join(rows.select(KEY, "doc_id").distinct(), KEY), "judged")
+    rows, key = keyed(docs)
+    found = neardup.near_duplicates(by_key(rows, key)).select(F.col("doc_id").alias(key), "component_id")
+    judged = materialize(found.distinct().join(rows.select(key, "doc_id").distinct(), key), "judged")
     first = judged.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", KEY)).alias("first"))
-    gone = judged.join(first.select(F.col(f"first.{KEY}").alias(KEY)), KEY, "left_anti")
-    kept = without(rows, gone)
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key)).alias("first"))
+    gone = judged.join(first.select(F.col(f"first.{key}").alias(key)), key, "left_anti")
+    kept = without(rows, gone, key)
     if docs.filter("doc_id IS NULL").isEmpty():
         return kept
     single = F.col("doc_id").isNull() & (mixing.words_in() > 0)
@@ -66,18 +78,19 @@ def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = keyed(docs)
-    found = containment.contained_items(by_key(rows), documents_of(spark, sf_dir, "benchmark"))
-    return without(rows, found.select(F.col("doc_id").alias(KEY)))
+    rows, key = keyed(docs)
+    found = containment.contained_items(by_key(rows, key), documents_of(spark, sf_dir, "benchmark"))
+    return without(rows, found.select(F.col("doc_id").alias(key)), key)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document taken twice is two rows; every row is taken as often as the mix says of it."""
-    rows = materialize(docs.withColumn(KEY, F.monotonically_increasing_id()), "mix-rows")
-    taken = (mixing.mix(rows, carry=(KEY,)).filter("repeats > 0")
-             .select(KEY, F.col("repeats").cast("int").alias("mix_repeats")))
-    return (rows.join(taken, KEY)
-            .withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_repeats"))))
+    key, times, copy = (fresh(c, docs) for c in ("stage_key", "mix_repeats", "mix_copy"))
+    rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "mix-rows")
+    taken = (mixing.mix(rows, carry=(key,)).filter("repeats > 0")
+             .select(key, F.col("repeats").cast("int").alias(times)))
+    return (rows.join(taken, key)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
             .select(docs.columns))
 
 
