@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Words are what white space of ASCII separates.
@@ -40,21 +41,30 @@ def total_bytes(docs: DataFrame) -> int:
     return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
 
-def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, Column, int]:
-    """``block, doc_id, text`` shuffled once by block; the block of a column ``doc``; name bits.
+def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+    """``block, doc_id, text`` shuffled once by block; name bits.
 
-    A block is about ``block_bytes`` of text, whatever the table's size, picked by a hash of the
-    id (a null id reads as the lowest number). Several passes over the same blocks share the one
-    shuffle within a query. The bits are those that keep names of so much text mostly apart.
+    A block is about ``block_bytes`` of text, whatever the table's size, picked by a hash of id
+    and text, so texts that share one id, or none, are spread. Several passes over the same blocks
+    share the one shuffle within a query. The bits are those that keep names of so much text
+    mostly apart.
     """
     size = total_bytes(docs)
     blocks = F.lit(max(1, -(-size // block_bytes)))
     wide = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     dealt = docs.select(
-        F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(LOWEST))), blocks).cast("int").alias("block"),
+        F.pmod(F.xxhash64("doc_id", "text"), blocks).cast("int").alias("block"),
         "doc_id", "text").repartition(wide, "block")
-    of_doc = F.pmod(F.xxhash64("doc"), blocks).cast("int")
-    return dealt, of_doc, min(63, max(size, 2).bit_length() + 8)
+    return dealt, min(63, max(size, 2).bit_length() + 8)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of queries that have ended and whose result is written.
+
+    It does so when the driver collects garbage, by itself perhaps long after.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def texts_buffer(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:

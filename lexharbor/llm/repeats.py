@@ -18,6 +18,9 @@ place, so a passage that stands in a third of all documents costs a row for each
 each document. Rounds that only sort out candidates keep as many bits of a name as the size of the
 corpus asks for; a chance match there costs a comparison. What decides compares 64 bits of the
 longer string together with the anchor's name.
+
+The first round is a query of its own: the shared names are written and its shuffle, the largest
+of all, can go before the others begin.
 """
 
 from __future__ import annotations
@@ -32,7 +35,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import in_blocks, in_sorted, order_ids, pair_names, settle, signed, unsigned
+from ..session import materialize
+from .common import (in_blocks, in_sorted, order_ids, pair_names, release_shuffles, settle, signed,
+                     unsigned)
 
 DUPLICATE, OPEN, WINDOW = 1, 2, 3
 
@@ -123,12 +128,13 @@ def _ordered(docs: pa.Table) -> pa.Table:
     return docs.take(pc.sort_indices(docs, sort_keys=keys, null_placement="at_start"))
 
 
-def _rows(s: Stretches | None, core=None, name=None, doc=None, place=None) -> pa.Table:
+def _rows(key=None, core=None, name=None, doc=None, place=None) -> pa.Table:
+    """Rows for the rounds; ``at`` holds the place and, in its low half, the block to answer."""
     empty = np.zeros(0, dtype=np.int64)
-    if s is None:
-        core, name, doc, place = empty.view(np.uint64), empty.view(np.uint64), empty, empty
+    if key is None:
+        return pa.table({"core": empty, "name": empty, "doc": empty, "at": empty})
     return pa.table({"core": signed(core), "name": signed(name), "doc": doc,
-                     "place": place.astype(np.int32)})
+                     "at": (place.astype(np.int64) << 32) + key[0].as_py()})
 
 
 def repeats(docs: DataFrame, parse: Callable[[pa.Table], Parsed], by_place: bool,
@@ -138,8 +144,10 @@ def repeats(docs: DataFrame, parse: Callable[[pa.Table], Parsed], by_place: bool
 
     ``by_place``: an earlier start in the same document counts as earlier too.
     """
-    blocks, block_of_doc, bits = in_blocks(docs)
-    place = F.struct("doc", "place")
+    blocks, bits = in_blocks(docs)
+    place = F.struct("doc", F.shiftright("at", 32))
+    block_of_row = F.col("at").bitwiseAND(F.lit(2 ** 32 - 1)).cast("int").alias("block")
+    rows = "core long, name long, doc long, at long"
     at_name = Window.partitionBy("core", "name")
 
     def read(table):
@@ -161,19 +169,20 @@ def repeats(docs: DataFrame, parse: Callable[[pa.Table], Parsed], by_place: bool
     def cores(key, table):
         return counted(key, read(table)[1].core)
 
-    shared = kept_shared(blocks.groupBy("block").applyInArrow(
-        cores, "block int, core long, many boolean"))
+    shared = materialize(kept_shared(blocks.groupBy("block").applyInArrow(
+        cores, "block int, core long, many boolean")), "shared-names")
+    release_shuffles(docs.sparkSession)
 
     def stretches(key, table, known):
         if not table.num_rows or not known.num_rows:
-            return _rows(None)
+            return _rows()
         _, s = read(table)
         heads = s.grouped[0]
         h = heads[in_sorted(s.core[heads], np.sort(unsigned(known.column("core"))))]
-        return _rows(s, s.core[h], s.name[h], s.doc[h], s.place[h])
+        return _rows(key, s.core[h], s.name[h], s.doc[h], s.place[h])
 
     by_stretch = (blocks.groupBy("block").cogroup(shared.groupBy("block"))
-                  .applyInArrow(stretches, "core long, name long, doc long, place int"))
+                  .applyInArrow(stretches, rows))
     at_core = Window.partitionBy("core")
     judged = (by_stretch.withColumn("least", F.min("name").over(at_core))
               .withColumn("most", F.max("name").over(at_core))
@@ -181,7 +190,7 @@ def repeats(docs: DataFrame, parse: Callable[[pa.Table], Parsed], by_place: bool
               .withColumn("kind", F.when(place > F.col("first"), F.lit(DUPLICATE))
                           .when(F.col("least") != F.col("most"), F.lit(OPEN)))
               .filter("kind IS NOT NULL")
-              .select(block_of_doc.alias("block"), F.col("kind").cast("int").alias("kind"), "name"))
+              .select(block_of_row, F.col("kind").cast("int").alias("kind"), "name"))
     doubtful = judged.filter(F.col("kind") == OPEN)
 
     def said_of(said, kind):
@@ -228,16 +237,16 @@ def repeats(docs: DataFrame, parse: Callable[[pa.Table], Parsed], by_place: bool
 
     def windows(key, table, said):
         if not table.num_rows or not said.num_rows:
-            return _rows(None)
+            return _rows()
         _, s = read(table)
         _, own, name, at, h, _ = windows_of(s, settled(s, said)[1], said)
-        return _rows(s, s.core[own[h]], name[h], s.doc[own[h]], at[h])
+        return _rows(key, s.core[own[h]], name[h], s.doc[own[h]], at[h])
 
     by_window = (blocks.groupBy("block").cogroup(doubtful.groupBy("block"))
-                 .applyInArrow(windows, "core long, name long, doc long, place int"))
+                 .applyInArrow(windows, rows))
     earlier = (by_window.withColumn("first", F.min(place).over(at_name))
                .filter(place > F.col("first"))
-               .select(block_of_doc.alias("block"), F.lit(0).cast("int").alias("kind"), "name"))
+               .select(block_of_row, F.lit(0).cast("int").alias("kind"), "name"))
     answers = judged.unionByName(earlier)
     if refine:
         answers = answers.unionByName(doubtful.filter(F.col("kind") == WINDOW))

@@ -1,10 +1,11 @@
+import functools
 import hashlib
 import re
 
 import numpy as np
 import pyarrow as pa
 
-from lexharbor.llm import substrings
+from lexharbor.llm import repeats, substrings
 from lexharbor.llm.repeats import Stretches
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -60,6 +61,21 @@ def test_bytes_equal_brute_force(make, mixed_rows):
     assert sorted(map(tuple, got), key=str) == by_bytes(mixed_rows)
 
 
+def test_many_blocks_equal_brute_force(make, mixed_rows, monkeypatch):
+    """Blocks of a few documents; texts without an id, or of one id, are spread over them."""
+    monkeypatch.setattr(repeats, "in_blocks",
+                        functools.partial(repeats.in_blocks, block_bytes=1500))
+    rows = mixed_rows + [(None, f"{i} " + t) for i, (_, t) in enumerate(mixed_rows) if t]
+    rows += [(6, t + f" {i}") for i, (_, t) in enumerate(mixed_rows[20:40])]
+    rows = [(d, t[:600] if t else t) for d, t in rows]
+    blocks = repeats.in_blocks(make([r for r in rows if r[0] in (None, 6)]).select("doc_id", "text"))[0]
+    assert blocks.select("block").distinct().count() > 5
+    got = substrings.remove_repeated_words(make(rows)).drop("kept").collect()
+    assert sorted(map(tuple, got), key=str) == by_words(rows)
+    got = substrings.remove_repeated_bytes(make(rows)).drop("kept").collect()
+    assert sorted(map(tuple, got), key=str) == by_bytes(rows)
+
+
 def test_empty_table(make):
     assert substrings.remove_repeated_words(make([])).collect() == []
     assert substrings.remove_repeated_bytes(make([])).collect() == []
