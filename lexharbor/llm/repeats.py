@@ -107,8 +107,10 @@ class Stretches:
 
 
 def first_of_equals(key: np.ndarray, doc: np.ndarray, place: np.ndarray):
-    """Of entries in order of place: the first of each key, and which entries come after it."""
-    order = np.argsort(key, kind="stable")
+    """The first of each key by (doc, place), and which entries come after it."""
+    ahead = (doc[1:] > doc[:-1]) | ((doc[1:] == doc[:-1]) & (place[1:] >= place[:-1]))
+    # entries stand in order but where several texts have one id
+    order = np.argsort(key, kind="stable") if ahead.all() else np.lexsort((place, doc, key))
     sorted_key = key[order]
     new = np.ones(len(order), dtype=bool)
     new[1:] = sorted_key[1:] != sorted_key[:-1]
