@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import re
 import zlib
 
@@ -11,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Words are what white space of ASCII separates.
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -58,13 +59,18 @@ def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFram
     return dealt, min(63, max(size, 2).bit_length() + 8)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of queries that have ended and whose result is written.
-
-    It does so when the driver collects garbage, by itself perhaps long after.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def written_round(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder; the shuffle files made for it go at once."""
+    spark, name = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        return materialize(df, label)
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def texts_buffer(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:

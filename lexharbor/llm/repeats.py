@@ -19,8 +19,8 @@ each document. Rounds that only sort out candidates keep as many bits of a name
 corpus asks for; a chance match there costs a comparison. What decides compares 64 bits of the
 longer string together with the anchor's name.
 
-The first round is a query of its own: the shared names are written and its shuffle, the largest
-of all, can go before the others begin.
+Each round is a query of its own: its small result is written and its shuffle files go before the
+next begins. Every round shuffles the texts anew, which costs less than to keep all files.
 """
 
 from __future__ import annotations
@@ -35,9 +35,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .common import (in_blocks, in_sorted, order_ids, pair_names, release_shuffles, settle, signed,
-                     unsigned)
+from .common import (in_blocks, in_sorted, order_ids, pair_names, settle, signed, unsigned,
+                     written_round)
 
 DUPLICATE, OPEN, WINDOW = 1, 2, 3
 
@@ -171,9 +170,8 @@ def repeats(docs: DataFrame, parse: Callable[[pa.Table], Parsed], by_place: bool
     def cores(key, table):
         return counted(key, read(table)[1].core)
 
-    shared = materialize(kept_shared(blocks.groupBy("block").applyInArrow(
+    shared = written_round(kept_shared(blocks.groupBy("block").applyInArrow(
         cores, "block int, core long, many boolean")), "shared-names")
-    release_shuffles(docs.sparkSession)
 
     def stretches(key, table, known):
         if not table.num_rows or not known.num_rows:
@@ -193,6 +191,7 @@ def repeats(docs: DataFrame, parse: Callable[[pa.Table], Parsed], by_place: bool
                           .when(F.col("least") != F.col("most"), F.lit(OPEN)))
               .filter("kind IS NOT NULL")
               .select(block_of_row, F.col("kind").cast("int").alias("kind"), "name"))
+    judged = written_round(judged, "judged-stretches")
     doubtful = judged.filter(F.col("kind") == OPEN)
 
     def said_of(said, kind):
@@ -221,8 +220,9 @@ def repeats(docs: DataFrame, parse: Callable[[pa.Table], Parsed], by_place: bool
                 names = commons(s, start[once], own[once])
             return counted(key, names)
 
-        near = kept_shared(blocks.groupBy("block").cogroup(doubtful.groupBy("block"))
-                           .applyInArrow(parts, "block int, core long, many boolean"))
+        near = written_round(
+            kept_shared(blocks.groupBy("block").cogroup(doubtful.groupBy("block"))
+                        .applyInArrow(parts, "block int, core long, many boolean")), "near-windows")
         doubtful = doubtful.unionByName(near.select(
             "block", F.lit(WINDOW).cast("int").alias("kind"), F.col("core").alias("name")))
 
