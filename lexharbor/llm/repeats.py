@@ -19,8 +19,9 @@ each document. Rounds that only sort out candidates keep as many bits of a name
 corpus asks for; a chance match there costs a comparison. What decides compares 64 bits of the
 longer string together with the anchor's name.
 
-Each round is a query of its own: its small result is written and its shuffle files go before the
-next begins. Every round shuffles the texts anew, which costs less than to keep all files.
+The first round, the second and the third are queries of their own: the small results of the first
+two are written and their shuffle files go before the next begins. Each shuffles the texts anew,
+which costs less than to keep all files.
 """
 
 from __future__ import annotations
@@ -220,9 +221,8 @@ def repeats(docs: DataFrame, parse: Callable[[pa.Table], Parsed], by_place: bool
                 names = commons(s, start[once], own[once])
             return counted(key, names)
 
-        near = written_round(
-            kept_shared(blocks.groupBy("block").cogroup(doubtful.groupBy("block"))
-                        .applyInArrow(parts, "block int, core long, many boolean")), "near-windows")
+        near = kept_shared(blocks.groupBy("block").cogroup(doubtful.groupBy("block"))
+                           .applyInArrow(parts, "block int, core long, many boolean"))
         doubtful = doubtful.unionByName(near.select(
             "block", F.lit(WINDOW).cast("int").alias("kind"), F.col("core").alias("name")))
 
