@@ -11,6 +11,7 @@ from lexharbor.plans.snapshot import Snapshots
 from lexharbor.session import scratch_path
 from lexharbor.sources import files, roots as root_list
 from lexharbor.streaming.changes import EVENTS, change_stream, run_changes
+from lexharbor.verify import inputs
 
 
 def paths(df):
@@ -335,3 +336,18 @@ def test_reindex_files_checks_all_roots_first(spark, tmp_path):
     with pytest.raises(ValueError):
         store.reindex_files(bad)
     assert len(paths(store.open().docs)) == 1
+
+
+def test_a_tree_is_written_by_shelves_and_read_whole(spark, tmp_path):
+    rows = [(f"s/{i % 3}", None if i % 5 == 0 else "en", i, f"text {i}") for i in range(200)]
+    rows += [("s/0", "en", 501, None), ("s/0", "en", 502, "a"), ("s/0", "en", 502, "a")]
+    docs = spark.createDataFrame(rows, "source string, lang string, doc_id long, text string")
+    inputs.write_tree(docs, ["source", "lang", "doc_id"], "text", "|", str(tmp_path / "t"))
+    shelves = list((tmp_path / "t").iterdir())
+    assert 33 <= len(shelves) <= inputs.LEAST_SHELVES  # Spark lists over 32 folders as a job
+    assert not list((tmp_path / "t").rglob("*.crc"))
+    got = {tuple(r.path.split("/")[-4:-1]): r.body
+           for r in files.read_files(spark, str(tmp_path / "t")).collect()}
+    want = {("source=s%2F" + s[2:], f"lang={lang or '__HIVE_DEFAULT_PARTITION__'}", f"doc_id={i}"):
+            f"{t or ''}|" for s, lang, i, t in rows}
+    assert got == want | {("source=s%2F0", "lang=en", "doc_id=502"): "a|a|"}
