@@ -7,7 +7,7 @@ from lexharbor.operators import changes, language, maintain
 from lexharbor.operators.analysis import DEFAULT
 from lexharbor.operators.prefixes import RAW, SEGMENT
 from lexharbor.plans.search import search
-from lexharbor.plans.snapshot import Snapshots
+from lexharbor.plans.snapshot import Snapshots, State
 from lexharbor.session import scratch_path
 from lexharbor.sources import files, roots as root_list
 from lexharbor.streaming.changes import EVENTS, change_stream, run_changes
@@ -351,3 +351,11 @@ def test_a_tree_is_written_by_shelves_and_read_whole(spark, tmp_path):
     want = {("source=s%2F" + s[2:], f"lang={lang or '__HIVE_DEFAULT_PARTITION__'}", f"doc_id={i}"):
             f"{t or ''}|" for s, lang, i, t in rows}
     assert got == want | {("source=s%2F0", "lang=en", "doc_id=502"): "a|a|"}
+
+
+def test_tasks_that_write_an_index_grow_with_the_text(spark, tmp_path):
+    store = Snapshots(spark, str(tmp_path), buckets=8)
+    for size in (1 << 30, 6 << 30):
+        state = store._dealt(State(), size)
+        assert size / (state.buckets * state.splits) <= 16 << 20
+    assert store._dealt(State(), 1000).splits == 1
