@@ -11,24 +11,44 @@ from ..session import materialize
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` for every node of ``links`` (``a``, ``b``): the least node it reaches.
 
-    Each round takes the least label among a node and its neighbours, then that label's own label,
-    so long chains halve. A round's table is written to the shared folder, which cuts the lineage;
-    the rounds end when no label changes. A hot node costs one row in the partial aggregation of
+    Each round hangs every node under its least neighbour, if that is less, and takes the nodes to
+    the tops of the trees so made, whose paths halve from step to step. Then a link joins the tops
+    of its two ends: links within a tree go, those that fall together are one, so a round reads
+    what is left, not all links again. A top either takes in a neighbour or hangs under another in
+    the next round, so nodes at least halve in two rounds. What a round makes is written to the
+    shared folder, which cuts the lineage. A hot node costs one row in the partial aggregation of
     each task.
     """
-    both = materialize(links.select("a", "b").union(links.select(F.col("b"), F.col("a")))
-                       .filter("a != b").distinct(), "links")
-    labels = materialize(both.groupBy(F.col("a").alias("node"))
-                         .agg(F.least(F.col("node"), F.min("b")).alias("component")), "labels")
+    left = materialize(_ordered(links), "links")
+    ends = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
+    labels = ends.withColumn("component", F.col("node"))
+    while not left.isEmpty():
+        tops = _tops(materialize(left.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("top")),
+                                 "trees"))
+        labels = materialize(_moved(labels, tops, "component"), "labels")
+        left = materialize(_ordered(_moved(_moved(left, tops, "a"), tops, "b")), "links")
+    return labels
+
+
+def _ordered(links: DataFrame) -> DataFrame:
+    return (links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            .filter("a != b").distinct())
+
+
+def _moved(rows: DataFrame, tops: DataFrame, column: str) -> DataFrame:
+    """``rows`` with the nodes of ``column`` replaced by their tops; others stay."""
+    known = tops.select(F.col("node").alias(column), F.col("top").alias("of"))
+    return rows.join(known, column, "left").select(
+        *[F.coalesce("of", c).alias(c) if c == column else F.col(c) for c in rows.columns])
+
+
+def _tops(trees: DataFrame) -> DataFrame:
+    """``node, top`` of trees given as ``node, top`` with the node above each as its top."""
     while True:
-        near = (both.join(labels.withColumnRenamed("node", "b"), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near")))
-        least = labels.join(near, "node").select(
-            "node", F.col("component").alias("old"), F.least("component", "near").alias("new"))
-        root = labels.select(F.col("node").alias("new"), F.col("component").alias("root"))
-        stepped = materialize(least.join(root, "new").select(
-            "node", F.least("new", "root").alias("component"),
-            (F.least("new", "root") != F.col("old")).alias("moved")), "labels")
-        labels = stepped.select("node", "component")
+        above = trees.select(F.col("node").alias("top"), F.col("top").alias("next"))
+        stepped = materialize(trees.join(above, "top", "left").select(
+            "node", F.coalesce("next", "top").alias("top"),
+            F.col("next").isNotNull().alias("moved")), "trees")
+        trees = stepped.select("node", "top")
         if stepped.filter("moved").isEmpty():
-            return labels
+            return trees
