@@ -1,4 +1,6 @@
 import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -359,3 +361,30 @@ def test_tasks_that_write_an_index_grow_with_the_text(spark, tmp_path):
         state = store._dealt(State(), size)
         assert size / (state.buckets * state.splits) <= 16 << 20
     assert store._dealt(State(), 1000).splits == 1
+
+
+def test_different_grams_of_a_text_are_one_row_each(spark):
+    texts = ["Ab-ab  AB!", None, "", "42", "é𝒜ż" * 3, "to be or not to be " * 500]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select(
+        "k", language.counted_grams(language.letters_of(F.col("t"))).alias("g"))
+    for r in rows.collect():
+        letters = " " + " ".join(re.findall(r"[^\W\d_]+", (texts[r.k] or "").lower())) + " "
+        runs = Counter(letters[i:i + 3] for i in range(len(letters) - 2)) if texts[r.k] else {}
+        assert {g.gram: g.n for g in r.g or ()} == runs and len(r.g or ()) == len(runs)
+        assert all(g.n_grams == sum(runs.values()) for g in r.g or ())
+
+
+def test_detection_cuts_the_labelled_texts_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def noted(text):
+        read.add(1)
+        return text
+
+    rows = spark.createDataFrame([("en", "the king"), ("fr", "le roi"), ("de", "der herr")],
+                                 "lang string, text string")
+    profile = language.train(rows.select("lang", noted("text").alias("text")))
+    docs = spark.createDataFrame([("/1", "the king"), ("/2", None)], "path string, body string")
+    got = {r.path: r.detected for r in language.detect(docs, profile).collect()}
+    assert got == {"/1": "en", "/2": None} and read.value == 3
