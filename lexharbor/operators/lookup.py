@@ -72,8 +72,10 @@ def phrase_rows(index, phrases: DataFrame) -> DataFrame:
     and document that may hold it; ``starts`` are the places where the phrase would begin.
 
     The rarest term of each phrase comes first: its documents are the candidates, stored once.
-    The other terms' postings are cut down to the candidates before anything is shuffled, so
-    a phrase costs its rarest term's documents times its length, however frequent the rest.
+    Each candidate asks for the other terms of its phrase in its own document, and a posting is
+    joined with what was asked of it by term and document. So each posting of a term asked for
+    is read once, however many phrases hold the term, and no more rows are made than candidates
+    times the length of their phrase.
     Phrases with a term found nowhere drop out at once.
     """
     qterms = (phrases.select("query_id", "lang", "field", F.size("tokens").alias("n"),
@@ -88,16 +90,20 @@ def phrase_rows(index, phrases: DataFrame) -> DataFrame:
                 idf(F.col("n_docs"), F.col("df")).alias("weight")), "phrase_terms")
     keys = ["query_id", "path", "field"]
 
-    def rows_of(part: DataFrame) -> DataFrame:
-        joined = index.postings_within(reach).join(broadcast_within(part, reach.rows), KEY)
+    def rows_of(joined: DataFrame) -> DataFrame:
         return joined.select(*keys, "n", "weight", "avg_len", "len",
                              F.expr("transform(positions, p -> p - place)").alias("starts"))
 
-    rarest = materialize(rows_of(side.filter("turn = 1").drop("turn")), "candidates")
-    wanted = rarest.filter("n > 1").select(*keys)
-    rest = rows_of(side.filter("turn > 1").drop("turn")).join(
-        broadcast_within(wanted, count_up_to(wanted, BROADCAST_ROWS)), keys, "left_semi")
-    return rarest.unionByName(rest)
+    first, others = side.filter("turn = 1"), side.filter("turn > 1")
+    rarest = materialize(rows_of(index.postings_within(reach).join(
+        broadcast_within(first, reach.rows), KEY)), "candidates")
+    wanted = rarest.filter("n > 1").select(*keys).distinct()
+    asked = materialize(others.drop("turn").join(
+        broadcast_within(wanted, count_up_to(wanted, BROADCAST_ROWS)), ["query_id", "field"]), "asked")
+    terms = broadcast_within(others.select(*KEY).distinct(), reach.rows)
+    rest = index.postings_within(reach).join(terms, KEY, "left_semi").join(
+        broadcast_within(asked, count_up_to(asked, BROADCAST_ROWS)), [*KEY, "path"])
+    return rarest.unionByName(rows_of(rest))
 
 
 def phrase_hits(index, phrases: DataFrame) -> DataFrame:

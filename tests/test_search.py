@@ -220,3 +220,20 @@ def test_a_phrase_costs_its_rarest_terms_documents(spark, tmp_path):
     want |= {(3, p): body.split().count("rare") for p, *_, body in rows if "rare" in body.split()}
     want |= {(4, p): body.count("terre le roi") for p, *_, body in rows}
     assert hits == want
+
+
+def test_a_posting_is_joined_with_what_a_candidate_asks_of_it(spark):
+    """Thirty phrases share a word of all documents; each is in one document by its rarest word."""
+    docs = spark.createDataFrame([(f"/{i}", "fr", "", f"x common w{i} end x common") for i in range(30)],
+                                 "path string, lang string, title string, body string")
+    asked = spark.createDataFrame([(i, "phrase", "fr", f"common w{i} end x common") for i in range(30)],
+                                  "query_id int, kind string, lang string, text string")
+    index = build_index(docs, PLAIN)
+    phrases = S.phrase_clauses(S.analyze_queries(asked, index.registry))
+    rows = lookup.phrase_rows(index, phrases)
+    assert rows.count() == 30 * 5
+    joins = [line for line in rows._jdf.queryExecution().optimizedPlan().toString().split("\n")
+             if "Join Inner" in line and "term#" in line]
+    assert joins and all("path#" in line for line in joins)
+    got = {(r.query_id, r.path, r.freq) for r in lookup.phrase_hits(index, phrases).collect()}
+    assert got == {(i, f"/{i}", 1) for i in range(30)}
