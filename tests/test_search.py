@@ -237,3 +237,15 @@ def test_a_posting_is_joined_with_what_a_candidate_asks_of_it(spark):
     assert joins and all("path#" in line for line in joins)
     got = {(r.query_id, r.path, r.freq) for r in lookup.phrase_hits(index, phrases).collect()}
     assert got == {(i, f"/{i}", 1) for i in range(30)}
+
+
+def test_fuzzy_hits_are_dealt_by_document_before_they_multiply(spark, corpus):
+    asked = spark.createDataFrame(
+        [(i, "fuzzy", "en", w) for i, w in enumerate(("qeuen", "quene", "queen", "kign"))],
+        "query_id int, kind string, lang string, text string")
+    hits = S.search_hits(build_index(corpus, PLAIN), asked, [S.FUZZY])
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(path" in plan and "hashpartitioning(query_id" not in plan
+    found = sorted((r["query_id"], r["path"].split("/")[-1]) for r in hits.collect())
+    both = ["king.of.france.txt", "king.txt"]
+    assert found == [(i, p) for i in range(4) for p in both]
