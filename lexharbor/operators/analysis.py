@@ -140,13 +140,14 @@ DEFAULT = Registry()
 PLAIN = Registry(bound={("body", "en"): ENGLISH_STOP})
 
 
-def field_tokens(docs: DataFrame, registry: Registry = DEFAULT, *carry: str) -> DataFrame:
+def field_tokens(docs: DataFrame, registry: Registry = DEFAULT, *carry: str,
+                 names: tuple[str, ...] = FIELDS) -> DataFrame:
     """``(path, lang, *carry, field, tokens)``: one row per document and field, terms as cut."""
     lang = F.col("lang")
     both = F.array(*[
         F.struct(F.lit(name).alias("field"),
                  registry.tokens(name, lang, F.col(name)).alias("tokens"))
-        for name in FIELDS])
+        for name in names])
     return docs.select("path", "lang", *carry, F.inline(both))
 
 

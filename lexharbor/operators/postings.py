@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexharbor.operators import vocabulary
 from lexharbor.operators.analysis import DEFAULT, FIELDS, Registry, field_tokens
+from lexharbor.session import broadcast_within
 
 
-def postings(docs: DataFrame, registry: Registry = DEFAULT, *carry: str) -> DataFrame:
+def postings(docs: DataFrame, registry: Registry = DEFAULT, *carry: str,
+             known: DataFrame | None = None) -> DataFrame:
     """``(path, lang, field, len, term, tf, first, positions)`` from document rows.
 
     Built inside each document row: sort its tokens by (term, pos), find where a
@@ -19,20 +24,43 @@ def postings(docs: DataFrame, registry: Registry = DEFAULT, *carry: str) -> Data
     counts can be read off the postings.
 
     Where stem rules or tables apply, the distinct terms are looked up once and the postings
-    of terms that fall together merged by :func:`merged`.
+    of terms that fall together merged by :func:`merged`; ``known`` gives what :func:`known_terms`
+    of the same documents found. Few terms that change are broadcast, so that documents stay in
+    the task they are in; with a column of ``carry`` by which they were dealt, nothing is shuffled.
     """
-    tokens = field_tokens(docs, registry, *carry)
     if not registry.resolves():
-        return postings_of_tokens(tokens, *carry)
-    lang, name = F.col("lang"), F.col("field")
-    mine = F.lit(False)
-    for f in FIELDS:
-        if registry.resolved_langs(f):
-            mine = mine | ((name == f) & lang.isin(*registry.resolved_langs(f)))
-    raw = postings_of_tokens(tokens, *carry)
-    changed = raw.filter(mine)
-    known = vocabulary.term_map(changed, registry)
-    return raw.filter(~mine).unionByName(merged(vocabulary.resolve(changed, known), *carry))
+        return postings_of_tokens(field_tokens(docs, registry, *carry), *carry)
+    known = known_terms(docs, registry) if known is None else known
+    few = broadcast_within(known, known.count())
+    parts = []
+    for tokens, settled in _tokens_by_rule(docs, registry, *carry):
+        rows = postings_of_tokens(tokens, *carry)
+        parts.append(merged(vocabulary.resolve(rows, few), *carry) if settled else rows)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _tokens_by_rule(docs: DataFrame, registry: Registry,
+                    *carry: str) -> Iterator[tuple[DataFrame, bool]]:
+    """Tokens of each field, those apart whose terms stem rules or tables settle.
+
+    Every text is cut in one of the parts only.
+    """
+    for name in FIELDS:
+        langs, rest = registry.resolved_langs(name), docs
+        if langs:
+            ruled = F.col("lang").isin(*langs)
+            yield field_tokens(docs.filter(ruled), registry, *carry, names=(name,)), True
+            rest = docs.filter(~ruled)
+        yield field_tokens(rest, registry, *carry, names=(name,)), False
+
+
+def known_terms(docs: DataFrame, registry: Registry = DEFAULT) -> DataFrame:
+    """What stem rules and tables make of the terms of ``docs``, by :func:`vocabulary.term_map`."""
+    terms = [tokens.select("lang", "field", F.explode_outer(F.array_distinct(
+                 F.transform("tokens", lambda t: t["term"]))).alias("term"))
+             for tokens, settled in _tokens_by_rule(docs, registry) if settled]
+    return vocabulary.term_map(reduce(DataFrame.unionByName, terms).filter("term is not null"),
+                               registry)
 
 
 def merged(rows: DataFrame, *carry: str) -> DataFrame:

@@ -14,7 +14,7 @@ from lexharbor.functions.text import title_of, words_of
 from lexharbor.operators.analysis import PLAIN, Registry, Tables
 from lexharbor.plans.index import Index
 from lexharbor.plans.snapshot import Snapshots
-from lexharbor.session import scratch_path
+from lexharbor.session import materialize, scratch_path
 
 QUERY_BASE = 100_000
 PHRASE_BASE = 500_000_000_000
@@ -80,7 +80,7 @@ def language_tables(spark: SparkSession, sf_dir: str) -> Tables:
             .select("lang", F.explode(F.array_distinct(F.transform(
                 words_of(F.col("body")), F.lower))).alias("term")))
     asked = words(spark, sf_dir).select(F.explode(langs).alias("lang"), F.col("word").alias("term"))
-    terms = held.unionByName(asked).distinct()
+    terms = materialize(held.unionByName(asked).distinct(), "words")
     return Tables(OTHER_LANGS, terms.filter(F.length("term") <= 3), terms.filter(
         F.col("term").endswith("s")).select(
             "lang", "term", F.expr("substring(term, 1, length(term) - 1)").alias("stem")))

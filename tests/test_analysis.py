@@ -214,3 +214,27 @@ def test_small_expressions(spark):
     assert row.title == "king of france txt"
     assert row.up == ["/", "/c", "/c/a", "/c/a/x"]
     assert row.marked == "<b>The</b> King, <b>the</b> end"
+
+
+def test_stems_are_settled_where_the_documents_lie(spark):
+    """Documents dealt by a column stay where they are, however their terms fall together."""
+    docs = spark.createDataFrame(
+        [(f"/{i}", ("en", "fr", None)[i % 3], f"kings {i}", f"The kings of a king {i} ran, run, running")
+         for i in range(40)], "path string, lang string, title string, body string")
+    dealt = docs.withColumn("unit", (F.hash("path") % 4 + 4).cast("int")).repartitionById(8, "unit")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = P.postings(dealt, DEFAULT, "unit")
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in plan.split("\n") if " Exchange " in line]
+        assert moved and all("shufflepartitionidpassthrough" in line for line in moved)
+        got = {(r.path, r.field, r.term): (r.len, r.tf, r.positions) for r in rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got["/0", "body", "king"] == (6, 2, [1, 4]) and got["/0", "body", "run"] == (6, 2, [7, 8])
+    assert got["/1", "body", "kings"] == (9, 1, [1]) and got["/0", "title", "kings"][1] == 1
+    assert ("/2", "title", "kings") in got and not [k for k in got if k[:2] == ("/2", "body")]
+    plain = {(r.path, r.field, r.term): (r.len, r.tf, r.positions)
+             for r in P.postings(docs, DEFAULT).collect()}
+    assert got == plain

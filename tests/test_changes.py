@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexharbor.operators import changes, language, maintain
-from lexharbor.operators.analysis import DEFAULT
+from lexharbor.operators.analysis import DEFAULT, PLAIN
 from lexharbor.operators.prefixes import RAW, SEGMENT
+from lexharbor.plans.index import build_index
 from lexharbor.plans.search import search
 from lexharbor.plans.snapshot import Snapshots, State
 from lexharbor.session import scratch_path
@@ -388,3 +389,28 @@ def test_detection_cuts_the_labelled_texts_once(spark):
     docs = spark.createDataFrame([("/1", "the king"), ("/2", None)], "path string, body string")
     got = {r.path: r.detected for r in language.detect(docs, profile).collect()}
     assert got == {"/1": "en", "/2": None} and read.value == 3
+
+
+def test_folders_are_written_side_by_side_each_by_term(spark, tmp_path):
+    """More folders than a task opens at once; the session's own setting is back afterwards."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    docs = spark.createDataFrame([(f"/{i}", f"l{i % 12}", f"t{i}", f"z{i % 7} b c{i} a a") for i in range(90)],
+                                 "path string, lang string, title string, body string")
+    spark.conf.set(name, "3")
+    try:
+        for registry in (PLAIN, DEFAULT):
+            root = f"{tmp_path}/{len(registry.bound)}{registry.resolves()}"
+            index = Snapshots(spark, root, registry, buckets=1, splits=1, slots=3).publish(docs)
+            assert spark.conf.get(name) == "3"
+            columns = ["path", "lang", "field", "len", "term", "tf", "first", "positions"]
+            want = build_index(docs, registry).postings.select(columns)
+            got = index.postings.select(columns)
+            assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    finally:
+        spark.conf.unset(name)
+    few = Snapshots(spark, f"{tmp_path}/few", PLAIN, buckets=2, splits=2, slots=2).publish(
+        docs.withColumn("lang", F.lit("fr"))).postings
+    terms = {}
+    for r in few.select(F.input_file_name().alias("file"), "term").collect():
+        terms.setdefault(r.file, []).append(r.term)
+    assert len(terms) > 8 and all(t == sorted(t) for t in terms.values())
