@@ -100,3 +100,19 @@ def test_copies_find_the_nearest_different_page(spark):
     got = sorted((r.page_id, r.text) for r in pages.extract(df.repartition(3)).collect())
     assert got[:8] == [(i, "Copied") for i in range(1, 8)] + [(8, "Other")]
     assert got[8:10] == [(9, "First"), (9, "Own")] and got[10] == (10, "Last")
+
+
+def test_lines_beside_an_article_are_compared(spark):
+    def page(text, *lines, article="Teaser"):
+        return (f"<article><p>{article}</p></article><p>Home</p><p>{text}</p>"
+                + "".join(f"<p>{x}</p>" for x in lines))
+
+    rows = [(1, "http://h.org/a/1", page("One")), (2, "http://h.org/a/2", page("Two", "More")),
+            (2, "http://h.org/a/2", page("Two", "More")),
+            (3, "http://h.org/b/1", page("Imprint")), (4, "http://h.org/b/2", page("Imprint", article="B")),
+            (5, "http://alone.org/1", page("One")), (6, None, page("One")),
+            (7, "http://h.org/a/3", "<p>Home</p><p>Three</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.text) for r in pages.extract(df).collect())
+    assert got == [(1, "Teaser\nOne"), (2, "Teaser\nTwo\nMore"), (2, "Teaser\nTwo\nMore"),
+                   (3, "Teaser"), (4, "B"), (5, "Teaser"), (6, "Teaser"), (7, "Three")]
