@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +19,8 @@ from lexharbor.session import BROADCAST_ROWS, broadcast_within, count_up_to, mat
 UNSEEN_SHARE, MARGIN = 0.00001, 100
 # Characters of a gram.
 GRAM = 3
+# Characters counted at once: the arrays of a task hold about a hundred bytes for each.
+PIECE_CHARS = 1 << 18
 
 
 def letters_of(text: Column) -> Column:
@@ -24,12 +29,18 @@ def letters_of(text: Column) -> Column:
     return F.concat(F.lit(" "), letters, F.lit(" "))
 
 
-@F.arrow_udf(T.ArrayType(T.StructType([
-    T.StructField("gram", T.StringType()), T.StructField("n", T.LongType()),
-    T.StructField("n_grams", T.IntegerType())])))
-def counted_grams(letters: pa.Array) -> pa.Array:
-    """All different runs of ``GRAM`` characters of each text, how often each occurs in it, and how
-    many runs the text has in all."""
+def _pieces(letters: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Where each run of texts of about ``PIECE_CHARS`` characters starts, and the run."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(letters), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(letters):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + PIECE_CHARS, "right")))
+        yield start, letters.slice(start, stop - start)
+        start = stop
+
+
+def _counted(letters: pa.Array) -> pa.ListArray:
     texts = letters.to_pylist()
     points = np.frombuffer("".join(t or "" for t in texts).encode("utf-32-le"), np.uint32)
     sizes = np.array([len(t or "") for t in texts], np.int64)
@@ -52,6 +63,36 @@ def counted_grams(letters: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]), pa.int32()), found)
 
 
+@F.arrow_udf(T.ArrayType(T.StructType([
+    T.StructField("gram", T.StringType()), T.StructField("n", T.LongType()),
+    T.StructField("n_grams", T.IntegerType())])))
+def counted_grams(letters: pa.Array) -> pa.Array:
+    """All different runs of ``GRAM`` characters of each text, how often each occurs in it, and how
+    many runs the text has in all."""
+    return pa.concat_arrays([_counted(piece) for _, piece in _pieces(letters)] or [_counted(letters)])
+
+
+def gram_rows(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """``(key, gram, n, n_grams)``: the :func:`counted_grams` of each text, a row for each.
+
+    Python holds the grams of a piece of a batch at a time, not those of all its texts.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for start, piece in _pieces(b.column(1)):
+                lists = _counted(piece)
+                whose = pc.add(pc.list_parent_indices(lists), start)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(whose), *lists.flatten().flatten()], names)
+
+    source = rows.select(key, letters_of(F.col(text)).alias("letters"))
+    schema = T.StructType([
+        source.schema[0], T.StructField("gram", T.StringType()), T.StructField("n", T.LongType()),
+        T.StructField("n_grams", T.IntegerType())])
+    names = schema.names
+    return source.mapInArrow(run, schema)
+
+
 def train(labelled: DataFrame, keep: int | None = None) -> DataFrame:
     """``(lang, gram, weight)`` from ``(lang, text)``: the grams of each language.
 
@@ -59,9 +100,7 @@ def train(labelled: DataFrame, keep: int | None = None) -> DataFrame:
     whole number of thousandths, so sums do not depend on their order. All grams are
     kept; ``keep`` asks for a smaller model of that many commonest grams per language.
     """
-    counts = (labelled.select("lang", F.inline_outer(counted_grams(letters_of(F.col("text")))))
-              .filter("gram is not null")
-              .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    counts = gram_rows(labelled, "lang", "text").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # read again for the totals and by whoever asks the model: texts are cut once
     counts = materialize(counts, "grams")
     kept = counts
@@ -85,8 +124,7 @@ def detect(docs: DataFrame, profile: DataFrame, key: str = "path", text: str = "
     leave one row per document before the next shuffle. Certain means the best language leads the
     next by ``margin`` per gram. Documents without a known gram have no language.
     """
-    cut = (docs.select(key, F.inline_outer(counted_grams(letters_of(F.col(text)))))
-           .filter("gram is not null"))
+    cut = gram_rows(docs, key, text)
     profile = materialize(profile, "profile")
     # a model has few languages, however many documents it comes from
     langs = sorted(r["lang"] for r in profile.select("lang").distinct().collect())

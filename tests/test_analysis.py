@@ -238,3 +238,23 @@ def test_stems_are_settled_where_the_documents_lie(spark):
     plain = {(r.path, r.field, r.term): (r.len, r.tf, r.positions)
              for r in P.postings(docs, DEFAULT).collect()}
     assert got == plain
+
+
+def test_a_task_counts_the_grams_of_few_texts_at_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    from lexharbor.operators import language
+
+    texts = [" abcab ", None, " a ", "", " b" * 40, " \U0001f600xy "] * 3
+    whole = language._counted(pa.array(texts, pa.string())).to_pylist()
+    seen = []
+    counted = language._counted
+    monkeypatch.setattr(language, "_counted", lambda p: seen.append(len(p)) or counted(p))
+    monkeypatch.setattr(language, "PIECE_CHARS", 16)
+    pieces = language._pieces(pa.array(texts, pa.string()))
+    assert [row for _, p in pieces for row in language._counted(p).to_pylist()] == whole
+    assert sum(seen) == len(texts) and len(seen) > 3 and max(seen) < 9
+    rows = spark.createDataFrame([(i % 4 or None, t) for i, t in enumerate(texts)],
+                                 "k long, t string")
+    got = language.gram_rows(rows, "k", "t").groupBy("k").count().collect()
+    assert {r.k for r in got} == {None, 1, 2, 3}
