@@ -7,6 +7,8 @@ beyond that the join shuffles and adaptive execution splits frequent terms.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -214,11 +216,18 @@ def prefix_hits(paths: DataFrame, queries: DataFrame) -> DataFrame:
             .select("query_id", "path", F.lit(1.0).alias("score")))
 
 
-def either_clause(*clauses: DataFrame) -> DataFrame:
-    """``(query_id, path, score)``: a document matching any clause, scores added."""
+def either_clause(*clauses: DataFrame, apart: bool = False) -> DataFrame:
+    """``(query_id, path, score)``: a document matching any clause, scores added.
+
+    ``apart`` says that no query has hits in two of the clauses: the hits of each then add up
+    alone, where its documents lie, and are not shuffled together.
+    """
     rows = [c.select("query_id", "path", "score") for c in clauses]
-    every = rows[0]
-    for more in rows[1:]:
-        every = every.unionByName(more)
-    return every.groupBy("query_id", "path").agg(
-        exact_sum(F.col("score")).alias("score"))
+    if apart:
+        rows = [_added(r) for r in rows]
+    every = reduce(DataFrame.unionByName, rows)
+    return every if apart else _added(every)
+
+
+def _added(hits: DataFrame) -> DataFrame:
+    return hits.groupBy("query_id", "path").agg(exact_sum(F.col("score")).alias("score"))

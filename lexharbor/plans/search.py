@@ -88,9 +88,15 @@ def clause_hits(index: Index, queries: DataFrame, kinds=KINDS, gap_aware: bool =
 
 def search_hits(index: Index, queries: DataFrame, kinds=KINDS, gap_aware: bool = False,
                 expansions: int = lookup.MAX_EXPANSIONS) -> DataFrame:
-    """``(query_id, path, score)``: body and title clauses joined by OR."""
+    """``(query_id, path, score)``: body and title clauses joined by OR.
+
+    Queries of several kinds may share a ``query_id``; only then are hits added across kinds.
+    """
+    several = len(kinds) > 1 and not (
+        queries.filter(F.col("kind").isin(*kinds)).groupBy("query_id")
+        .agg(F.count_distinct("kind").alias("n")).filter("n > 1").isEmpty())
     return lookup.either_clause(
-        *clause_hits(index, queries, kinds, gap_aware, expansions).values())
+        *clause_hits(index, queries, kinds, gap_aware, expansions).values(), apart=not several)
 
 
 def search(index: Index, queries: DataFrame, k: int | None = None, details: bool = False,

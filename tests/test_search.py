@@ -249,3 +249,34 @@ def test_fuzzy_hits_are_dealt_by_document_before_they_multiply(spark, corpus):
     found = sorted((r["query_id"], r["path"].split("/")[-1]) for r in hits.collect())
     both = ["king.of.france.txt", "king.txt"]
     assert found == [(i, p) for i in range(4) for p in both]
+
+
+def _exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+
+
+def test_only_kinds_that_share_a_query_are_added_up_together(spark, corpus, asked, monkeypatch):
+    index = build_index(corpus, PLAIN)
+    calls = []
+    either = lookup.either_clause
+    monkeypatch.setattr(lookup, "either_clause",
+                        lambda *c, apart=False: calls.append(apart) or either(*c, apart=apart))
+
+    def hits(queries):
+        return {(r.query_id, r.path): round(r.score, 6)
+                for r in S.search_hits(index, queries).collect()}
+
+    accepted = S.validate(asked)[0]
+    alone = hits(accepted)
+    same = hits(accepted.withColumn("query_id", F.when(
+        F.col("kind").isin("term", "fuzzy"), F.lit(None)).otherwise(F.col("query_id"))))
+    assert calls == [True, False]
+    for path in {p for q, p in alone if q in (1, 4, 6, 8)}:
+        assert abs(same[(None, path)] - sum(alone.get((q, path), 0) for q in (1, 4, 6, 8))) < 1e-5
+    assert {k: v for k, v in same.items() if k[0] is not None} == {
+        k: v for k, v in alone.items() if k[0] not in (1, 4, 6, 8)}
+    parts = [spark.range(9).selectExpr("id AS query_id", "string(id) AS path", "1D AS score")
+             .repartition(3, "path") for _ in "ab"]
+    # documents lie together: their hits add up without another shuffle
+    assert len(_exchanges(either(*parts, apart=True))) == len(_exchanges(parts[0])) * 2
