@@ -231,3 +231,27 @@ def either_clause(*clauses: DataFrame, apart: bool = False) -> DataFrame:
 
 def _added(hits: DataFrame) -> DataFrame:
     return hits.groupBy("query_id", "path").agg(exact_sum(F.col("score")).alias("score"))
+
+
+def with_df(postings: DataFrame, stats: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``postings`` joined with ``stats(lang, field, term, df, …)`` of all their terms.
+
+    The statistics of up to ``limit`` of the commonest terms are broadcast, so nearly all postings
+    stay where they are; those of rarer terms alone are shuffled.
+    """
+    stats = materialize(stats, "stats")
+    level = F.floor(F.log2("df"))
+    sizes = stats.groupBy(level.alias("level")).count().collect()  # one row for each power of two
+    least, held = None, 0
+    for row in sorted(sizes, key=lambda r: -r["level"]):
+        held += row["count"]
+        if held > limit:
+            break
+        least = row["level"]
+    if held <= limit:
+        return postings.join(F.broadcast(stats), KEY)
+    if least is None:
+        return postings.join(stats, KEY)
+    common = F.broadcast(stats.filter(level >= least))
+    rare = postings.join(F.broadcast(common.select(*KEY)), KEY, "left_anti")
+    return postings.join(common, KEY).unionByName(rare.join(stats.filter(level < least), KEY))

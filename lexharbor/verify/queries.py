@@ -451,8 +451,8 @@ def search_lang_tables(spark: Spark, sf: str) -> Frame:
 
 def bm25_scores(spark: Spark, sf: str) -> Frame:
     index = I.stored_index(spark, sf)
-    scored = (index.postings.join(index.term_stats(), ["lang", "field", "term"])
-              .join(index.field_stats(), ["lang", "field"]))
+    scored = (lookup.with_df(index.postings, index.term_stats())
+              .join(F.broadcast(index.field_stats()), ["lang", "field"]))
     weight = lookup.idf(F.col("n_docs"), F.col("df"))
     score = lookup.bm25(weight, F.col("tf"), index.norm(F.col("len")), F.col("avg_len"))
     return scored.select("lang", "field", "term", "path", F.round(score, 4).alias("score"))

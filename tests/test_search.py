@@ -280,3 +280,18 @@ def test_only_kinds_that_share_a_query_are_added_up_together(spark, corpus, aske
              .repartition(3, "path") for _ in "ab"]
     # documents lie together: their hits add up without another shuffle
     assert len(_exchanges(either(*parts, apart=True))) == len(_exchanges(parts[0])) * 2
+
+
+def test_statistics_of_rare_terms_alone_are_joined_by_shuffle(spark, corpus):
+    index = build_index(corpus.unionByName(corpus.select(
+        "path", F.lit(None).cast("string").alias("lang"), "title", "body")), PLAIN)
+    want = sorted(index.postings.join(index.term_stats(), lookup.KEY).select(
+        *lookup.KEY, "path", "tf", "df", "ttf").collect())
+    for limit in (0, 1, 3, 100):
+        got = lookup.with_df(index.postings, index.term_stats(), limit)
+        assert sorted(got.select(*lookup.KEY, "path", "tf", "df", "ttf").collect()) == want
+    # all terms small enough: postings are not shuffled
+    rows = spark.createDataFrame([("en", "body", "a", "p")], "lang string, field string, term string, path string")
+    stats = spark.createDataFrame([("en", "body", "a", 1, 1)],
+                                  "lang string, field string, term string, df long, ttf long")
+    assert not _exchanges(lookup.with_df(rows, stats))
