@@ -15,7 +15,8 @@ from pyspark.sql.window import Window
 
 from lexharbor.functions.edits import MOST_KEYS, deletion_keys, swap_distance
 from lexharbor.operators.prefixes import RAW, match_prefixes
-from lexharbor.session import BROADCAST_ROWS, broadcast_within, count_up_to, materialize
+from lexharbor.session import (
+    BROADCAST_ROWS, broadcast_within, count_up_to, least_level, materialize)
 
 KEY = ["lang", "field", "term"]
 
@@ -240,18 +241,11 @@ def with_df(postings: DataFrame, stats: DataFrame, limit: int = BROADCAST_ROWS)
     stay where they are; those of rarer terms alone are shuffled.
     """
     stats = materialize(stats, "stats")
-    level = F.floor(F.log2("df"))
-    sizes = stats.groupBy(level.alias("level")).count().collect()  # one row for each power of two
-    least, held = None, 0
-    for row in sorted(sizes, key=lambda r: -r["level"]):
-        held += row["count"]
-        if held > limit:
-            break
-        least = row["level"]
-    if held <= limit:
+    if count_up_to(stats, limit) <= limit:
         return postings.join(F.broadcast(stats), KEY)
+    least = least_level(stats, "df", limit)
     if least is None:
         return postings.join(stats, KEY)
-    common = F.broadcast(stats.filter(level >= least))
+    common = F.broadcast(stats.filter(F.col("df") >= least))
     rare = postings.join(F.broadcast(common.select(*KEY)), KEY, "left_anti")
-    return postings.join(common, KEY).unionByName(rare.join(stats.filter(level < least), KEY))
+    return postings.join(common, KEY).unionByName(rare.join(stats.filter(F.col("df") < least), KEY))

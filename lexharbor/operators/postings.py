@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lexharbor.operators import vocabulary
 from lexharbor.operators.analysis import DEFAULT, FIELDS, Registry, field_tokens
-from lexharbor.session import broadcast_within
+from lexharbor.session import BROADCAST_ROWS, count_up_to, least_level
 
 
 def postings(docs: DataFrame, registry: Registry = DEFAULT, *carry: str,
@@ -25,20 +25,35 @@ def postings(docs: DataFrame, registry: Registry = DEFAULT, *carry: str,
 
     Where stem rules or tables apply, the distinct terms are looked up once and the postings
     of terms that fall together merged by :func:`merged`; ``known`` gives what :func:`known_terms`
-    of the same documents found. Few terms that change are broadcast, so that documents stay in
-    the task they are in; with a column of ``carry`` by which they were dealt, nothing is shuffled.
+    of the same documents found. Few terms that change are broadcast, of many that stem rules
+    change the commonest, so that documents stay in the task they are in; with a column of ``carry``
+    by which they were dealt, nothing is shuffled. Many that tables change are joined by term.
     """
     if not registry.resolves():
         return postings_of_tokens(field_tokens(docs, registry, *carry), *carry)
     known = known_terms(docs, registry) if known is None else known
-    few = broadcast_within(known, known.count())
+    changed = vocabulary.changed(known)
+    if count_up_to(changed, BROADCAST_ROWS) <= BROADCAST_ROWS:
+        resolve, by = vocabulary.resolve, F.broadcast(changed)
+    elif registry.tables is not None:
+        resolve, by = vocabulary.resolve, changed
+    else:
+        least = least_level(known, "n", BROADCAST_ROWS)
+        resolve, by = vocabulary.resolve_rare, known.filter(
+            F.lit(False) if least is None else F.col("n") >= least)
     parts = []
     for tokens, settled in _tokens_by_rule(docs, registry, *carry):
         rows = postings_of_tokens(tokens, *carry)
-        parts.append(merged(vocabulary.resolve(rows, few), *carry) if settled else rows)
+        parts.append(merged(resolve(rows, by), *carry) if settled else rows)
     return reduce(DataFrame.unionByName, parts)
 
 
+def shuffles(known: DataFrame, registry: Registry) -> bool:
+    """Whether :func:`postings` takes documents out of the tasks they were dealt to."""
+    return registry.tables is not None and count_up_to(
+        vocabulary.changed(known), BROADCAST_ROWS) > BROADCAST_ROWS
+
+
 def _tokens_by_rule(docs: DataFrame, registry: Registry,
                     *carry: str) -> Iterator[tuple[DataFrame, bool]]:
     """Tokens of each field, those apart whose terms stem rules or tables settle.

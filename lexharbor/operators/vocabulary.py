@@ -24,13 +24,13 @@ def stem_map(terms: DataFrame) -> DataFrame:
 
 
 def term_map(terms: DataFrame, registry: Registry) -> DataFrame:
-    """``(lang, field, term, to)``: the terms that change; ``to`` is null for stop words.
+    """``(lang, field, term, to, n)``: the terms that change; ``to`` is null for stop words.
 
-    ``terms(lang, field, term)`` may repeat; each distinct one is looked up once. The result is
-    stored, so a join with it knows its true size: a small one is broadcast, a large one shuffled
-    and its hot terms split.
+    ``terms(lang, field, term)`` may repeat, ``n`` times; each distinct one is looked up once. The
+    result is stored, so a join with it knows its true size: a small one is broadcast, a large one
+    shuffled and its hot terms split. Terms that stem rules leave as they are stay in, as ``to``.
     """
-    terms = terms.select(*KEY).distinct()
+    terms = terms.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
     parts = []
     ruled = F.lit(False)
     for (name, lang), analyzer in registry.bound.items():
@@ -38,7 +38,7 @@ def term_map(terms: DataFrame, registry: Registry) -> DataFrame:
             ruled = ruled | ((F.col("field") == name) & (F.col("lang") == lang))
     if any(a.stem for a in registry.bound.values()):
         found = stem_map(terms.filter(ruled))
-        parts.append(found.filter("stem <> term").select(*KEY, F.col("stem").alias("to")))
+        parts.append(found.select(*KEY, F.col("stem").alias("to"), "n"))
     if registry.tables is not None:
         tables = registry.tables
         mine = terms.filter((F.col("field") == "body") & F.col("lang").isin(*tables.langs))
@@ -46,16 +46,33 @@ def term_map(terms: DataFrame, registry: Registry) -> DataFrame:
         one = tables.stems.groupBy("lang", "term").agg(F.min("stem").alias("stem"))
         looked = mine.join(stop, ["lang", "term"], "left").join(one, ["lang", "term"], "left")
         parts.append(looked.filter("stop or stem <> term").select(
-            *KEY, F.when(F.col("stop").isNull(), F.col("stem")).alias("to")))
+            *KEY, F.when(F.col("stop").isNull(), F.col("stem")).alias("to"), "n"))
     every = parts[0]
     for more in parts[1:]:
         every = every.unionByName(more)
     return materialize(every, "vocabulary")
 
 
+def changed(known: DataFrame) -> DataFrame:
+    """The terms of a :func:`term_map` that change."""
+    return known.filter("to is null or to <> term")
+
+
+def resolve_rare(rows: DataFrame, common: DataFrame) -> DataFrame:
+    """``rows(lang, field, term, …)`` of terms under stem rules alone, each replaced by its stem.
+
+    Those of the ``common`` terms, all of a :func:`term_map` that are commoner than some others,
+    are looked up; to the rarer terms the rules are applied in their rows.
+    """
+    looked = rows.join(F.broadcast(common.select(*KEY, "to")), KEY, "left").withColumn(
+        "rare", F.when(F.col("to").isNull(), F.col("term")))
+    return stems(looked, "rare").select(*[
+        F.coalesce("to", "stem").alias("term") if c == "term" else F.col(c) for c in rows.columns])
+
+
 def resolve(rows: DataFrame, known: DataFrame) -> DataFrame:
     """``rows(lang, field, term, …)`` with terms replaced, and without those that are dropped."""
-    marked = known.select(*KEY, "to", F.lit(True).alias("changes"))
+    marked = changed(known).select(*KEY, "to", F.lit(True).alias("changes"))
     joined = rows.join(marked, KEY, "left").filter("changes is null or to is not null")
     return joined.select(*[F.coalesce("to", "term").alias("term") if c == "term" else F.col(c)
                            for c in rows.columns])

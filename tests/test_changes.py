@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexharbor.operators import changes, language, maintain
+from lexharbor.operators import postings as P
 from lexharbor.operators.analysis import DEFAULT, PLAIN
 from lexharbor.operators.prefixes import RAW, SEGMENT
 from lexharbor.plans.index import build_index
@@ -414,3 +415,15 @@ def test_folders_are_written_side_by_side_each_by_term(spark, tmp_path):
     for r in few.select(F.input_file_name().alias("file"), "term").collect():
         terms.setdefault(r.file, []).append(r.term)
     assert len(terms) > 8 and all(t == sorted(t) for t in terms.values())
+
+
+def test_rare_terms_are_stemmed_in_their_rows(spark, corpus, monkeypatch):
+    docs = corpus.unionByName(spark.createDataFrame([
+        ("/c/d/x.txt", "en", "x txt", "Kings running and runs, relational conditionally kings"),
+        ("/c/d/y.txt", "de", "y txt", "kings laufen")], corpus.schema))
+    want = sorted(P.postings(docs, DEFAULT).collect())
+    for limit in (0, 3):
+        monkeypatch.setattr(P, "BROADCAST_ROWS", limit)
+        got = P.postings(docs, DEFAULT)
+        assert sorted(got.collect()) == want
+        assert not P.shuffles(P.known_terms(docs, DEFAULT), DEFAULT)
