@@ -9,10 +9,11 @@ from lexharbor.operators import changes, language, maintain
 from lexharbor.operators import postings as P
 from lexharbor.operators.analysis import DEFAULT, PLAIN
 from lexharbor.operators.prefixes import RAW, SEGMENT
+from lexharbor.plans import snapshot
 from lexharbor.plans.index import build_index
 from lexharbor.plans.search import search
 from lexharbor.plans.snapshot import Snapshots, State
-from lexharbor.session import scratch_path
+from lexharbor.session import materialize, scratch_path
 from lexharbor.sources import files, roots as root_list
 from lexharbor.streaming.changes import EVENTS, change_stream, run_changes
 from lexharbor.verify import inputs
@@ -417,6 +418,42 @@ def test_folders_are_written_side_by_side_each_by_term(spark, tmp_path):
     assert len(terms) > 8 and all(t == sorted(t) for t in terms.values())
 
 
+def _postings_of(index):
+    return sorted((r.lang or "", r.field, r.term, r.path or "", r.len, r.tf, r.first, tuple(r.positions))
+                  for r in index.postings.collect())
+
+
+def _stats_of(index):
+    return sorted((r.lang or "", r.field, r.term, r.df, r.ttf) for r in index.term_stats().collect())
+
+
+def test_an_update_carries_the_postings_of_what_stays(spark, corpus, tmp_path, monkeypatch):
+    base = corpus.unionByName(spark.createDataFrame(
+        [("/c/d/x.txt", None, "x txt", "Kings running and running"), (None, "en", "none", "no path")],
+        corpus.schema))
+    batch = spark.createDataFrame([("/c/a/king.txt", "en", "king txt", "A new king stopped"),
+                                   ("/new", "de", "new", "neu")], corpus.schema)
+    cut = []
+    plain = P.postings
+    monkeypatch.setattr(P, "postings", lambda docs, *a, **k: cut.append(
+        {r.path for r in docs.select("path").collect()}) or plain(docs, *a, **k))
+    for limit, registry in ((10, DEFAULT), (0, PLAIN)):
+        monkeypatch.setattr(snapshot, "CARRIED_ROWS", limit)
+        store = Snapshots(spark, str(tmp_path / f"i{limit}{registry is PLAIN}"), registry, buckets=2)
+        store.publish(base)
+        cut.clear()
+        for gone, fresh in ((None, batch), ("/c/ab", None)):
+            index = store.upsert(fresh) if gone is None else store.remove(gone, SEGMENT)
+            docs = materialize(index.docs, "test")
+            other = Snapshots(spark, str(tmp_path / f"o{len(cut)}{limit}{registry is PLAIN}{gone}".replace("/", "_")),
+                              registry, buckets=2).publish(docs)
+            if gone is None and limit:
+                assert cut[0] == {"/c/a/king.txt", "/new"}
+            if gone and limit:
+                assert len(cut) == 3  # two publications to compare with, one update
+            assert _postings_of(index) == _postings_of(other) and _stats_of(index) == _stats_of(other)
+
+
 def test_rare_terms_are_stemmed_in_their_rows(spark, corpus, monkeypatch):
     docs = corpus.unionByName(spark.createDataFrame([
         ("/c/d/x.txt", "en", "x txt", "Kings running and runs, relational conditionally kings"),
